@@ -1,0 +1,143 @@
+import random
+
+import numpy as np
+import pytest
+from plain_features import plain_features
+from pyspark.sql import types as T
+
+from linksieve.functions.lexicons import DEFAULT_LEXICONS, Lexicons, country_suffixes
+from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES, with_features
+from linksieve.plans.sample_corpus import raw_urls, table
+
+HOSTILE = [
+    "", " ", "   \t", "/", "////", ":", "://", "https://", "http://////", "?", "#", "@", "%", "%%%%%",
+    "http://@@@", "a@b@c@host.com/x@y", "just some words", "http://[::1]/x", "[2001:db8::1]:8080/p",
+    "http://[oops/x", "[a]b:c", "[]:::80", "example.com:textport/x", "http://user:pw@host.com:8080/p?q=1#f",
+    "https://user:pw@shop.example.com:8443/a/b?x=1&y=2#top", "пример.рф/путь", "ПРИМЕР.РФ",
+    "xn--e1afmkfd.xn--p1ai/path", "z" * 5000, "http://" + "deep." * 200 + "example.com",
+    "javascript:alert(1)", "ftp://1.2.3.4:21/f", "1.2.3.4", "255.255.255.255", "256.1.1.1", "001.002.003.004",
+    "1.2.3.4.5", "1.2.3", "0xdeadbeef/a", "0X7F000001", "0xzz", "1.2.3.4/paypal", "www.bbc.co.uk",
+    "co.uk", "bbc.co.uk/a.b/c.", "a..b", ".", "..", ".com", "com.", "host.com/.hidden", "host.com/a.TAR.GZ",
+    "host.com/setup.EXE", "host.com/x.exe/", "host.com/x.exe?y.zip", "a?b#c?d/e", "a#b?c", "http://x?y/z@w",
+    "bit.ly/abc", "example.com/bit.ly", "x.t.co", "t.co", "sites.google.com", "a.sites.google.com/x",
+    "s3.amazonaws.com", "b.s3.amazonaws.com", "onedrive.live.com", "x.onedrive.live.com", "duckdns.org",
+    "x.duckdns.org", "myduckdns.org", "paypal.co.uk/signin", "paypal.login.co.uk/signin", "paypal/x",
+    "groups.com/pineapple", "suspended-account-verification.top", "aaaa\n\n\n\n\n\nbb", "\n\n\n", "\n",
+    "x.com/deadbeef0", "x.com/deadbeef0g", "x.com/_deadbeef0", "x.com/яdeadbeef0", "x.com/DEADBEEF99?",
+    "bcdfg.hjklm.top", "12345", "1.2.3.4\n", "a b\u0085c.com", "😀😀😀.com/😀", "İstanbul.COM/İ", "ß.de/ẞ",
+    " x.com　", "²³½.com", "x.com/\x00\x00\x00", "a.b/c//d///e", "http://http://x", None,
+]
+
+
+def feature_rows(spark, urls):
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("url", T.StringType())])
+    df = spark.createDataFrame(list(enumerate(urls)), schema)
+    return [r.asDict() for r in with_features(df).orderBy("n").collect()]
+
+
+def assert_same(got, url):
+    want = plain_features(url)
+    assert list(want) == list(FEATURE_NAMES)
+    for name, value in want.items():
+        assert got[name] is not None, (name, url)
+        assert got[name] == pytest.approx(float(np.float32(value)), rel=1e-6, abs=1e-6), (name, url)
+
+
+def test_families_partition_the_features():
+    assert [len(v) for v in FEATURE_FAMILIES.values()] == [20, 13, 14]
+    assert len(set(FEATURE_NAMES)) == 47
+
+
+def test_lexicon_sizes():
+    suffixes = country_suffixes()
+    assert len(suffixes) == len(set(suffixes)) == 395
+    lex = DEFAULT_LEXICONS
+    assert [len(x) for x in (lex.shorteners, lex.keywords, lex.brands, lex.suspicious_tlds,
+                             lex.free_hosting, lex.ranked_tlds, lex.executable_extensions)] == [
+        27, 32, 34, 37, 67, 55, 10]
+    assert Lexicons(brands=("acme",)).fingerprint() != lex.fingerprint()
+
+
+def test_hostile_strings(spark):
+    for row, url in zip(feature_rows(spark, HOSTILE), HOSTILE):
+        assert_same(row, url)
+
+
+def test_corpus_against_plain_python(spark, sf_dir):
+    urls = [r.url for r in raw_urls(spark, sf_dir).select("url").distinct().collect()]
+    urls += [r.url for r in table(spark, sf_dir, "pages").select("url").collect()]
+    for row, url in zip(feature_rows(spark, urls), urls):
+        assert_same(row, url)
+
+
+# Letters added to Unicode after the version of the running JDK would count as
+# letters in Python only, so the alphabet stays within long-standing blocks.
+ALPHABET = list("ab1.:/?#@%[]-_=&x0fF\n ") + list("éßяДяÇ中文ñΩ²½٣😀\u3000\u00a0\u0301")
+
+
+def test_random_strings(spark):
+    draw = random.Random(7)
+    urls = ["".join(draw.choices(ALPHABET, k=draw.randint(0, 40))) for _ in range(3000)]
+    for row, url in zip(feature_rows(spark, urls), urls):
+        assert_same(row, url)
+
+
+@pytest.mark.parametrize(
+    "url, expected",
+    [
+        ("www.bbc.co.uk", {"num_subdomains": 2, "subdomain_length": 3}),
+        ("999.999.999.999/x", {"has_ip_host": 0}),
+        ("example.com:8080/path", {"hostname_length": 11, "has_port": 1, "uses_https": 0}),
+        ("paypal.co.uk/signin", {"brand_domain_mismatch": 0}),
+        ("paypal.login.co.uk/signin", {"brand_domain_mismatch": 1}),
+        ("paypal.secure-login.xyz/webscr", {"brand_domain_mismatch": 1}),
+        ("example.com/bit.ly", {"is_shortener": 0}),
+        ("site.com/%2Fa%2Fb", {"num_encoded_chars": 2}),
+        ("https://user:pw@shop.example.com:8443/a/b?x=1&y=2#top",
+         {"uses_https": 1, "has_port": 1, "has_userinfo": 1, "has_fragment": 1,
+          "num_path_segments": 2, "num_query_params": 2, "num_subdomains": 1}),
+        ("", dict.fromkeys(set(FEATURE_NAMES) - {"tld_rank"}, 0) | {"tld_rank": 55}),
+        ("http://evil.com/" + "a" * 5000, {"longest_consecutive_run": 5000, "url_length": 5016}),
+        ("secure-login-verify.example.com", {"subdomain_length": 19}),
+        ("example.com", {"tld_rank": 0}),
+        ("example.top", {"tld_rank": 55}),
+        ("12345", {"digit_letter_ratio": 1}),
+    ],
+)
+def test_hand_values(spark, url, expected):
+    row = feature_rows(spark, [url])[0]
+    assert {k: row[k] for k in expected} == expected
+
+
+def test_schema_is_fixed_even_without_rows(spark):
+    out = with_features(spark.createDataFrame([], "url string"))
+    assert out.columns == ["url", *FEATURE_NAMES]
+    assert {f.dataType for f in out.schema.fields[1:]} == {T.FloatType()}
+    assert out.count() == 0
+
+
+def test_rows_and_other_columns_are_kept(spark, sf_dir):
+    raw = raw_urls(spark, sf_dir)
+    out = with_features(raw, features=["url_length"])
+    assert out.columns == ["row_id", "url", "label", "url_length"]
+    assert out.count() == raw.count()
+
+
+def test_long_whitespace_and_slashes_stay_linear(spark):
+    url = "a" + " " * 300_000 + "b/" + "/" * 300_000 + "c"
+    row = feature_rows(spark, [url])[0]
+    assert row["longest_consecutive_run"] == 300_001
+    assert row["url_length"] == len(url)
+
+
+def test_plan_is_map_only_and_native(spark, sf_dir):
+    plan = with_features(raw_urls(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert "Python" not in plan
+
+
+def test_only_needed_columns_are_read(spark, sf_dir):
+    df = with_features(table(spark, sf_dir, "pages"), features=["num_dots"]).select("num_dots")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<url:string>" in plan
+    assert "xn--" not in plan
