@@ -40,7 +40,7 @@ def shannon_bits(text: Column) -> Column:
     """
     n = F.length(text)
     runs = F.regexp_extract_all(
-        F.array_join(F.array_sort(F.split(text, "")), ""), F.lit(r"(?s)(.)\1+"), F.lit(0)
+        F.array_join(F.sort_array(F.split(text, "")), ""), F.lit(r"(?s)(.)\1+"), F.lit(0)
     )
     weighted = F.aggregate(
         runs, F.lit(0.0), lambda acc, run: acc + F.length(run) * F.log2(F.length(run))

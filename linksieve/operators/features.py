@@ -69,8 +69,7 @@ def _ends_in(host: Column, domains: Iterable[str]) -> Column:
     return any_of(tests)
 
 
-def _expensive(lex: Lexicons) -> dict[str, Column]:
-    """Array measures. They have no generated code, hence a projection of their own."""
+def _array_measures() -> dict[str, Column]:
     return {
         "longest_host_token": longest(_c("host_parts")),
         "longest_path_segment": longest(_c("segments")),
@@ -142,7 +141,7 @@ def _structural(lex: Lexicons) -> dict[str, Column]:
 def _suspicion(lex: Lexicons) -> dict[str, Column]:
     host, registered, tld, lowered = _c("host"), _c("registered"), _c("tld"), _c("lower_text")
     digits, letters, domain_letters = _c("digits"), _c("letters"), _c("registered_letters")
-    ranks = F.create_map(*[F.lit(v) for pair in zip(lex.ranked_tlds, range(len(lex.ranked_tlds))) for v in pair])
+    rank = F.array_position(F.array(*[F.lit(name) for name in lex.ranked_tlds]), tld)
     return {
         "is_shortener": registered.isin(list(lex.shorteners)) | host.isin(list(lex.shorteners)),
         "has_suspicious_tld": tld.isin(list(lex.suspicious_tlds)),
@@ -154,7 +153,7 @@ def _suspicion(lex: Lexicons) -> dict[str, Column]:
             domain_letters > 0, count_chars(registered, "[aeiou]") / domain_letters
         ).otherwise(0.0),
         "is_free_hosting": registered.isin(list(lex.free_hosting)) | _ends_in(host, lex.free_hosting),
-        "tld_rank": F.coalesce(F.try_element_at(ranks, tld), F.lit(len(lex.ranked_tlds))),
+        "tld_rank": F.when(rank > 0, rank - 1).otherwise(len(lex.ranked_tlds)),
         "has_hex_token": lowered.rlike(_HEX_TOKEN),
     }
 
@@ -181,15 +180,18 @@ def with_features(
     and no value is ever null, NaN or infinite. Columns that are not asked for,
     and the URL parts only they need, are pruned by the optimizer.
 
-    Each group of columns is its own projection: a single one with all columns
-    makes a generated method too long for the JIT compiler.
+    The parts run in whole-stage code. The feature columns end up in one
+    projection that holds array measures, which Spark compiles outside of it, in
+    many small methods; as one whole-stage method the same columns would be too
+    long for the JIT compiler.
     """
     out = with_url_parts(df, url, _PREFIX, lexicons.suffixes, keep_text=True)
     out = out.withColumns({_PREFIX + name: column for name, column in _counts().items()})
-    groups = (
-        _lexical(), _structural(lexicons), _suspicion(lexicons), _words(lexicons),
-        _expensive(lexicons),
+    measures = {
+        **_lexical(), **_structural(lexicons), **_suspicion(lexicons), **_words(lexicons),
+        **_array_measures(),
+    }
+    return out.select(
+        *[F.col(f"`{name}`") for name in df.columns],
+        *[measures[name].cast("float").alias(name) for name in features],
     )
-    for group in groups:
-        out = out.withColumns({name: column.cast("float") for name, column in group.items()})
-    return out.select(*[F.col(f"`{name}`") for name in df.columns], *features)

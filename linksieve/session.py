@@ -17,6 +17,7 @@ def local_session(app: str = "linksieve", cores: str = "*", **conf: str) -> Spar
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
