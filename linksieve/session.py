@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and continue from the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the checkpoint folder, for tables that stages hand over."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
