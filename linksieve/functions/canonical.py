@@ -37,8 +37,9 @@ def strip_trailing_slashes(url: Column) -> Column:
 
 def lower_host(url: Column) -> Column:
     """C4. Lower-case what stands before the first slash, keep the rest."""
-    host = F.substring_index(url, "/", 1)
-    return F.concat(F.lower(host), F.substring(url, F.length(host) + 1, F.length(url)))
+    pieces = F.split(url, "/", 2)
+    rest = F.concat(F.lit("/"), F.get(pieces, F.lit(1)))
+    return F.concat(F.lower(F.get(pieces, F.lit(0))), F.coalesce(rest, F.lit("")))
 
 
 def canonicalize(url: Column) -> Column:

@@ -26,11 +26,12 @@ _IPV4_ADDRESS = rf"^{_OCTET}(?:[.]{_OCTET}){{3}}\n?\z"
 
 def tail(text: Column, start: Column) -> Column:
     """Everything from the 1-based position ``start``."""
-    return F.substring(text, start, F.length(text))
+    return F.substr(text, start)
 
 
 def head(text: Column, length: Column) -> Column:
-    return F.substring(text, F.lit(1), F.greatest(length, F.lit(0)))
+    """The first characters; none for a length of zero or less."""
+    return F.substr(text, F.lit(1), length)
 
 
 def host_labels(host: Column) -> Column:

@@ -29,16 +29,21 @@ def url_groups(raw: DataFrame) -> DataFrame:
     Everything the cleaning steps and their audit need, from a single shuffle.
     Rows are pre-aggregated per task, so a URL (or the empty string, which
     gathers all missing URLs) may hold any share of the rows.
+
+    The empty string gets no label. So dropping it is a test on an aggregate,
+    which the optimizer cannot move below the shuffle, where it would canonicalise
+    every URL a second time.
     """
     canonical = raw.select(
         F.coalesce(canonicalize(F.col("url")), F.lit("")).alias("url"),
         F.col("label").cast("byte").alias("label"),
     )
+    label = F.when(F.col("url") != "", F.col("label"))
     return canonical.groupBy("url").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count("label").alias("labelled"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
+        F.count(label).alias("labelled"),
+        F.min(label).alias("low"),
+        F.max(label).alias("high"),
     )
 
 
@@ -48,37 +53,32 @@ def clean_corpus(raw: DataFrame) -> DataFrame:
     Missing and empty URLs go, copies collapse to one row, and a URL seen with
     both labels goes altogether, as no label can be right for it.
     """
-    groups = url_groups(raw)
-    return groups.filter((F.col("url") != "") & (F.col("low") == F.col("high"))).select(
-        "url", F.col("low").alias("label")
-    )
+    unanimous = url_groups(raw).filter(F.col("low") == F.col("high"))
+    return unanimous.select("url", F.col("low").alias("label"))
 
 
 def cleaning_audit(raw: DataFrame) -> DataFrame:
     """C9. One row that accounts for every raw row.
 
     raw = missing + duplicates + conflicts + final; ``conflict_rows`` counts the
-    rows left after removal of copies, two per URL with both labels. Rows of a URL
-    that has no label at all are part of ``missing_rows``.
+    rows left after removal of copies, two per URL with both labels. Rows without
+    a label are part of ``missing_rows``.
     """
-    usable = (F.col("url") != "") & (F.col("labelled") > 0)
-    conflict = usable & (F.col("low") != F.col("high"))
-    single = usable & (F.col("low") == F.col("high"))
+    single = F.col("low") == F.col("high")
+    conflict = F.col("low") != F.col("high")
 
-    def total(condition, value=F.lit(1)):
+    def total(value, condition=F.lit(True)):
         return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long")
 
-    kept = F.when(conflict, 2).otherwise(1)
+    copies = F.col("labelled") - F.when(conflict, 2).when(single, 1).otherwise(0)
     counts = url_groups(raw).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("raw_rows"),
-        total(F.lit(True), F.col("rows") - F.when(usable, F.col("labelled")).otherwise(0)).alias(
-            "missing_rows"
-        ),
-        total(usable, F.col("labelled") - kept).alias("duplicate_rows"),
-        total(conflict, F.lit(2)).alias("conflict_rows"),
-        total(single).alias("final_rows"),
-        total(single & (F.col("low") == 0)).alias("legitimate_rows"),
-        total(single & (F.col("low") == 1)).alias("phishing_rows"),
+        total(F.col("rows")).alias("raw_rows"),
+        total(F.col("rows") - F.col("labelled")).alias("missing_rows"),
+        total(copies).alias("duplicate_rows"),
+        total(F.lit(2), conflict).alias("conflict_rows"),
+        total(F.lit(1), single).alias("final_rows"),
+        total(F.lit(1), single & (F.col("low") == 0)).alias("legitimate_rows"),
+        total(F.lit(1), single & (F.col("low") == 1)).alias("phishing_rows"),
     )
 
     def percent(name):

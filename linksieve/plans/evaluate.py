@@ -17,6 +17,7 @@ from linksieve.sources.reports import IMPORTANCE_DIGITS, METRIC_DIGITS, rounded,
 
 @dataclass(frozen=True)
 class Evaluation:
+    test_split: DataFrame
     comparison: DataFrame
     confusion: DataFrame
     roc: DataFrame
@@ -39,12 +40,17 @@ def evaluate_models(models: dict[str, PipelineModel], table: DataFrame) -> Evalu
     reads them again.
     """
     spark = table.sparkSession
-    scored = checkpointed(scored_by_model(models, table.filter("split = 'test'")))
+    test = table.filter("split = 'test'")
+    scored = checkpointed(scored_by_model(models, test))
     importance = reduce(
         DataFrame.unionByName,
         [feature_importance(model, name, spark) for name, model in models.items()],
     )
     return Evaluation(
+        test.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg((F.col("label") == 1).cast("double")).alias("phishing_fraction"),
+        ),
         score_metrics(scored, ["model"]),
         confusion_matrix(scored, ["model"]),
         roc_curve(scored, ["model"]),
@@ -54,6 +60,7 @@ def evaluate_models(models: dict[str, PipelineModel], table: DataFrame) -> Evalu
 
 def write_evaluation(result: Evaluation, folder: str, models: list[str]) -> None:
     """S5. The evaluation as report tables under ``folder``."""
+    write_report(result.test_split, f"{folder}/test_split", "json")
     write_report(result.comparison, f"{folder}/metrics", "json")
     write_report(rounded(result.comparison, METRIC_DIGITS), f"{folder}/model_comparison")
     write_report(result.confusion, f"{folder}/confusion_matrices", "json")

@@ -36,7 +36,7 @@ from linksieve.operators.scoring import (
 from linksieve.operators.tuning import tune
 from linksieve.plans import ablation as A
 from linksieve.plans.evaluate import evaluate_models
-from linksieve.plans.sample_corpus import many_raw_urls, raw_urls, table
+from linksieve.plans.sample_corpus import many_raw_urls, pages, raw_urls
 from linksieve.plans.train import train_models
 from linksieve.session import checkpointed, ensure_checkpoint_dir, scratch_path
 from linksieve.sources.features import load_features
@@ -171,7 +171,7 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parts(table(spark, sf_dir, "pages"), "page_id")
+    return _parts(pages(spark, sf_dir), "page_id")
 
 
 def family_features(family: str) -> Query:
@@ -191,7 +191,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + FX. All features of the page URLs in canonical form."""
     return _doubles(
-        featurize(table(spark, sf_dir, "pages")), ["page_id", "canonical_url"], FEATURE_NAMES
+        featurize(pages(spark, sf_dir)), ["page_id", "canonical_url"], FEATURE_NAMES
     )
 
 
@@ -332,8 +332,7 @@ def scored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, models = _fitted(spark, sf_dir)
     folder = scratch_path(spark, "models")
     save_model(models["boosted_trees"], folder, "boosted_trees")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return score_urls(load_model(folder), pages)
+    return score_urls(load_model(folder), pages(spark, sf_dir))
 
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:

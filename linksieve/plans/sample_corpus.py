@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linksieve.session import spread
+
 _TEMPLATE = """
 SELECT {row_id} AS row_id,
   CASE WHEN {key} % 101 = 0 THEN NULL WHEN {key} % 103 = 0 THEN 'http://' ELSE concat(
@@ -58,17 +60,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, url`` of the crawled pages."""
+    return spread(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def raw_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, url, label``: one row per order."""
-    return spark.sql(
-        ORDERS_SQL.replace("FROM orders", "FROM {orders}"),
-        orders=table(spark, sf_dir, "orders"),
-    )
+    sql = ORDERS_SQL.replace("FROM orders", "FROM {orders}")
+    return spread(spark.sql(sql, orders=table(spark, sf_dir, "orders")))
 
 
 def many_raw_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, url, label``: one row per line item, nearly all URLs distinct."""
-    return spark.sql(
-        LINEITEM_SQL.replace("FROM lineitem", "FROM {lineitem}"),
-        lineitem=table(spark, sf_dir, "lineitem"),
-    )
+    sql = LINEITEM_SQL.replace("FROM lineitem", "FROM {lineitem}")
+    return spread(spark.sql(sql, lineitem=table(spark, sf_dir, "lineitem")))

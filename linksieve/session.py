@@ -51,6 +51,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it arrives in fewer splits.
+
+    A file with one row group is one task, however many cores wait. Large inputs
+    have more splits than cores and are left alone, so they are never shuffled.
+    Only for plain scans: asking a plan with shuffles for its partitions runs it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the checkpoint folder, for tables that stages hand over."""
     ensure_checkpoint_dir(spark)

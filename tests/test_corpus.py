@@ -4,7 +4,7 @@ from linksieve.functions.canonical import canonicalize
 from linksieve.operators.corpus import (
     canonical_urls, clean_corpus, cleaning_audit, distinct_pairs, drop_empty,
 )
-from linksieve.plans.sample_corpus import raw_urls
+from linksieve.plans.sample_corpus import raw_urls, table
 from linksieve.sources.urls import (
     load_corpus, load_raw, read_corpus_csv, urls_frame, write_corpus_csv,
 )
@@ -72,7 +72,10 @@ def test_conflicts_empty_and_missing(spark):
 
 
 def test_cleaning_is_one_shuffle_without_python(spark, sf_dir):
-    plan = clean_corpus(raw_urls(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    labelled = table(spark, sf_dir, "pages").selectExpr("url", "page_id % 2 AS label")
+    plan = clean_corpus(labelled)._jdf.queryExecution().executedPlan().toString()
+    # Canonicalised in one projection, and not again in a filter below it.
+    assert plan.count("Filter ") == 1 and plan.index("Filter ") < plan.index("Exchange")
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan and plan.count("partial_min") >= 1
 

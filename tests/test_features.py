@@ -131,7 +131,7 @@ def test_long_whitespace_and_slashes_stay_linear(spark):
 
 
 def test_plan_is_map_only_and_native(spark, sf_dir):
-    plan = with_features(raw_urls(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    plan = with_features(table(spark, sf_dir, "pages"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "Python" not in plan
 
