@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linksieve.functions import canonical as C
@@ -59,8 +59,19 @@ QUICK = {
 }
 
 
+REAL_FEATURES = {
+    "path_to_url_ratio", "digit_letter_ratio", "domain_entropy", "url_entropy", "vowel_ratio_domain",
+}
+
+
 def _doubles(df: DataFrame, keys: Iterable[str], names: Iterable[str]) -> DataFrame:
-    return df.select(*keys, *[F.round(F.col(n).cast("double"), DIGITS).alias(n) for n in names])
+    """Features as doubles; those that are not whole numbers are rounded."""
+
+    def value(name: str) -> Column:
+        double = F.col(name).cast("double")
+        return F.round(double, DIGITS) if name in REAL_FEATURES else double
+
+    return df.select(*keys, *[value(n).alias(n) for n in names])
 
 
 def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
