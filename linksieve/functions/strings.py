@@ -1,55 +1,71 @@
-"""Small string measures shared by the feature columns."""
+r"""String measures as SQL text.
+
+The feature table has hundreds of small expressions. As text each column costs
+one call to the JVM to build; as Column objects it would be one call per operator
+and list entry, about a second per query before any work starts.
+
+Patterns are raw literals, ``r'...'``, so a backslash is a backslash.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
+
+
+def quoted(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+def column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def count_text(text: Column, piece: str) -> Column:
+def in_list(text: str, values: Iterable[str]) -> str:
+    """Membership; Spark keeps a long list as a hash set."""
+    entries = [quoted(v) for v in values]
+    return f"({text} IN ({', '.join(entries)}))" if entries else "false"
+
+
+def count_text(text: str, piece: str) -> str:
     """Occurrences of one character."""
-    return F.length(text) - F.length(F.replace(text, F.lit(piece), F.lit("")))
+    return f"(length({text}) - length(replace({text}, {quoted(piece)}, '')))"
 
 
-def count_chars(text: Column, pattern: str) -> Column:
+def count_chars(text: str, char_class: str) -> str:
     """Characters that belong to a regex class such as ``[0-9]``."""
-    return F.length(text) - F.length(F.regexp_replace(text, f"{pattern}+", ""))
+    return f"(length({text}) - length(regexp_replace({text}, r'{char_class}+', '')))"
 
 
-def longest(pieces: Column) -> Column:
+def longest(pieces: str) -> str:
     """Length of the longest string of an array, 0 for an empty array."""
-    return F.coalesce(F.array_max(F.transform(pieces, F.length)), F.lit(0))
+    return f"coalesce(array_max(transform({pieces}, x -> length(x))), 0)"
 
 
-def any_of(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+def words_found(text: str, words: Iterable[str]) -> str:
+    """Number of distinct words that occur. A byte search per word beats one big pattern."""
+    return " + ".join(["0", *[f"int(contains({text}, {quoted(w)}))" for w in words]])
 
 
-def sum_of(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, [t.cast("int") for t in tests], F.lit(0))
+def any_word_found(text: str, words: Iterable[str]) -> str:
+    return "(" + " OR ".join(["false", *[f"contains({text}, {quoted(w)})" for w in words]]) + ")"
 
 
-def shannon_bits(text: Column) -> Column:
-    """Shannon entropy over the characters, 0 for an empty string.
+def shannon_bits(text: str) -> str:
+    r"""Shannon entropy over the characters, 0 for an empty string.
 
     Sorting the characters turns each distinct one into a run, so one pattern
     scan yields all counts; log2(n) - sum(k * log2 k) / n needs no division per
     character. Characters seen once add nothing and are not extracted at all.
     """
-    n = F.length(text)
-    runs = F.regexp_extract_all(
-        F.array_join(F.sort_array(F.split(text, "")), ""), F.lit(r"(?s)(.)\1+"), F.lit(0)
-    )
-    weighted = F.aggregate(
-        runs, F.lit(0.0), lambda acc, run: acc + F.length(run) * F.log2(F.length(run))
-    )
-    return F.when(n > 0, F.log2(n) - weighted / n).otherwise(F.lit(0.0))
-
-
-def longest_run(text: Column) -> Column:
-    """Longest run of one repeated character; line feeds do not count."""
-    repeats = longest(F.regexp_extract_all(text, F.lit(r"([^\n])\1+"), F.lit(0)))
-    single = F.when(F.length(F.replace(text, F.lit("\n"), F.lit(""))) > 0, 1).otherwise(0)
-    return F.greatest(repeats, single)
+    sorted_text = f"array_join(sort_array(split({text}, '')), '')"
+    runs = rf"regexp_extract_all({sorted_text}, r'(?s)(.)\1+', 0)"
+    weighted = f"aggregate({runs}, 0D, (sum, run) -> sum + length(run) * log2(length(run)))"
+    n = f"length({text})"
+    return f"if({n} > 0, log2({n}) - {weighted} / {n}, 0D)"
+
+
+def longest_run(text: str) -> str:
+    r"""Longest run of one repeated character; line feeds do not count."""
+    repeats = longest(rf"regexp_extract_all({text}, r'([^\n])\1+', 0)")
+    return f"greatest({repeats}, int(length(replace({text}, '\\n', '')) > 0))"

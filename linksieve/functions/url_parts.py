@@ -8,54 +8,102 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksieve.functions.canonical import SCHEME_PATTERN
 from linksieve.functions.lexicons import DEFAULT_LEXICONS
+from linksieve.functions.strings import column, in_list
 
 PART_NAMES = (
     "scheme", "fragment", "query", "path", "userinfo", "host", "port", "host_parts", "is_ip",
     "tld", "registered", "subdomain", "segments", "last_segment", "extension",
 )
+_HELPERS = (
+    "text", "raw_scheme", "rest", "before_fragment", "before_query", "authority", "netloc", "name",
+)
 
+# A final line feed is tolerated in an address.
 _HEX_ADDRESS = r"^0x[0-9a-f]+\n?\z"
 _OCTET = "(?:[01]?[0-9]{1,2}|2[0-4][0-9]|25[0-5])"
 _IPV4_ADDRESS = rf"^{_OCTET}(?:[.]{_OCTET}){{3}}\n?\z"
 
 
-def tail(text: Column, start: Column) -> Column:
-    """Everything from the 1-based position ``start``."""
-    return F.substr(text, start)
-
-
-def head(text: Column, length: Column) -> Column:
-    """The first characters; none for a length of zero or less."""
-    return F.substr(text, F.lit(1), length)
-
-
-def host_labels(host: Column) -> Column:
-    """P8. The dot-separated labels, empty ones kept; no labels for no host."""
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.split(host, r"\."))
-
-
-def is_ip_host(host: Column) -> Column:
-    """P9. A bracketed, hexadecimal or dotted IPv4 address (host in lower case)."""
-    return host.startswith("[") | host.rlike(_HEX_ADDRESS) | host.rlike(_IPV4_ADDRESS)
-
-
-def registered_domain(host: Column, suffixes: Iterable[str] | None = None) -> Column:
-    """P11 for names: the last two labels, or three when the last two are a suffix."""
-    suffixes = DEFAULT_LEXICONS.suffixes if suffixes is None else suffixes
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(list(suffixes)), F.substring_index(host, ".", -3)).otherwise(last_two)
+def registered_domain(host: str, suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes) -> str:
+    """P11 for names, as SQL over the SQL text ``host``: the last two labels, or three
+    when the last two are a public suffix."""
+    last_two = f"substring_index({host}, '.', -2)"
+    listed = in_list(last_two, suffixes)
+    return f"if({listed}, substring_index({host}, '.', -3), {last_two})"
+
+
+def _steps(suffixes: Iterable[str]) -> list[dict[str, str]]:
+    """Parts by stage; ``{part}`` stands for the column of a part of an earlier stage."""
+    # Patterns hold braces, so they are filled in together with the columns.
+    return [
+        {"raw_scheme": "regexp_extract({text}, r'{scheme_pattern}', 1)"},
+        {
+            "scheme": "lower({raw_scheme})",
+            "rest": "if({raw_scheme} = '', {text}, substr({text}, length({raw_scheme}) + 4))",
+        },
+        # The fragment is cut before the query, the query before the path.
+        {"before_fragment": "substring_index({rest}, '#', 1)"},
+        {
+            "fragment": "substr({rest}, length({before_fragment}) + 2)",
+            "before_query": "substring_index({before_fragment}, '?', 1)",
+        },
+        {
+            "query": "substr({before_fragment}, length({before_query}) + 2)",
+            "authority": "substring_index({before_query}, '/', 1)",
+        },
+        {
+            "path": "substr({before_query}, length({authority}) + 1)",
+            "netloc": "substring_index({authority}, '@', -1)",
+        },
+        {
+            "userinfo": "substr({authority}, 1, length({authority}) - length({netloc}) - 1)",
+            "name": """
+                CASE WHEN NOT startswith({netloc}, '[') THEN substring_index({netloc}, ':', 1)
+                     WHEN contains({netloc}, ']') THEN substr({netloc}, 1, instr({netloc}, ']'))
+                     ELSE {netloc} END
+            """,
+        },
+        {
+            "host": "lower({name})",
+            "port": """
+                if(startswith({netloc}, '['), trim(LEADING ':' FROM substr({netloc}, length({name}) + 1)),
+                   substr({netloc}, length({name}) + 2))
+            """,
+            "segments": "array_remove(split({path}, '/'), '')",
+        },
+        {
+            "is_ip": """
+                startswith({host}, '[') OR {host} RLIKE r'{hex_address}' OR {host} RLIKE r'{ipv4_address}'
+            """,
+            "host_parts": r"if({host} = '', cast(array() AS array<string>), split({host}, r'\.'))",
+            "last_segment": "coalesce(try_element_at({segments}, -1), '')",
+        },
+        {
+            "tld": "if(contains({host}, '.') AND NOT {is_ip}, substring_index({host}, '.', -1), '')",
+            "registered": "if({is_ip}, '', " + registered_domain("{host}", suffixes) + ")",
+            "extension": """
+                if(contains({last_segment}, '.'),
+                   concat('.', lower(substring_index({last_segment}, '.', -1))), '')
+            """,
+        },
+        {
+            "subdomain": """
+                if({registered} = '', '', substr({host}, 1, length({host}) - length({registered}) - 1))
+            """,
+        },
+    ]
 
 
 def with_url_parts(
     df: DataFrame,
     url: str = "url",
     prefix: str = "",
-    suffixes: Iterable[str] | None = None,
+    suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes,
     keep_text: bool = False,
 ) -> DataFrame:
     """Add the parts of column ``url``, named ``prefix`` + part name.
@@ -63,79 +111,12 @@ def with_url_parts(
     A null URL is read as an empty string; no part is ever null. ``keep_text``
     leaves that string in the result as ``prefix`` + ``text``.
     """
-
-    def c(name: str) -> Column:
-        return F.col(f"`{prefix}{name}`")
-
-    def add(frame: DataFrame, **columns: Column) -> DataFrame:
-        return frame.withColumns({prefix + name: column for name, column in columns.items()})
-
-    out = add(df, text=F.coalesce(F.col(f"`{url}`"), F.lit("")))
-    out = add(out, raw_scheme=F.regexp_extract(c("text"), SCHEME_PATTERN, 1))
-    out = add(
-        out,
-        scheme=F.lower(c("raw_scheme")),
-        rest=F.when(c("raw_scheme") == "", c("text")).otherwise(
-            tail(c("text"), F.length(c("raw_scheme")) + 4)
-        ),
-    )
-    # The fragment is cut before the query, the query before the path.
-    out = add(out, before_fragment=F.substring_index(c("rest"), "#", 1))
-    out = add(
-        out,
-        fragment=tail(c("rest"), F.length(c("before_fragment")) + 2),
-        before_query=F.substring_index(c("before_fragment"), "?", 1),
-    )
-    out = add(
-        out,
-        query=tail(c("before_fragment"), F.length(c("before_query")) + 2),
-        authority=F.substring_index(c("before_query"), "/", 1),
-    )
-    out = add(
-        out,
-        path=tail(c("before_query"), F.length(c("authority")) + 1),
-        netloc=F.substring_index(c("authority"), "@", -1),
-    )
-    bracketed = c("netloc").startswith("[")
-    closing = F.instr(c("netloc"), "]")
-    out = add(
-        out,
-        userinfo=head(c("authority"), F.length(c("authority")) - F.length(c("netloc")) - 1),
-        name=F.when(~bracketed, F.substring_index(c("netloc"), ":", 1))
-        .when(closing > 0, head(c("netloc"), closing))
-        .otherwise(c("netloc")),
-    )
-    after_name = tail(c("netloc"), F.length(c("name")) + 1)
-    out = add(
-        out,
-        host=F.lower(c("name")),
-        port=F.when(bracketed, F.ltrim(after_name, F.lit(":"))).otherwise(
-            tail(after_name, F.lit(2))
-        ),
-        segments=F.array_remove(F.split(c("path"), "/"), ""),
-    )
-    out = add(
-        out,
-        is_ip=is_ip_host(c("host")),
-        host_parts=host_labels(c("host")),
-        last_segment=F.coalesce(F.try_element_at(c("segments"), F.lit(-1)), F.lit("")),
-    )
-    out = add(
-        out,
-        tld=F.when(c("host").contains(".") & ~c("is_ip"), F.substring_index(c("host"), ".", -1))
-        .otherwise(""),
-        registered=F.when(c("is_ip"), "").otherwise(registered_domain(c("host"), suffixes)),
-        extension=F.when(
-            c("last_segment").contains("."),
-            F.concat(F.lit("."), F.lower(F.substring_index(c("last_segment"), ".", -1))),
-        ).otherwise(""),
-    )
-    out = add(
-        out,
-        subdomain=F.when(
-            c("registered") != "",
-            head(c("host"), F.length(c("host")) - F.length(c("registered")) - 1),
-        ).otherwise(""),
-    )
-    helpers = ["raw_scheme", "rest", "before_fragment", "before_query", "authority", "netloc", "name"]
-    return out.drop(*[prefix + h for h in helpers + ([] if keep_text else ["text"])])
+    fill = {name: column(prefix + name) for name in (*PART_NAMES, *_HELPERS)} | {
+        "scheme_pattern": SCHEME_PATTERN,
+        "hex_address": _HEX_ADDRESS,
+        "ipv4_address": _IPV4_ADDRESS,
+    }
+    out = df.withColumn(prefix + "text", F.expr(f"coalesce({column(url)}, '')"))
+    for step in _steps(suffixes):
+        out = out.withColumns({prefix + n: F.expr(sql.format(**fill)) for n, sql in step.items()})
+    return out.drop(*[prefix + h for h in _HELPERS if not (keep_text and h == "text")])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linksieve.functions.strings import column, quoted
 from linksieve.functions.url_parts import with_url_parts
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES
 
@@ -24,13 +25,21 @@ def _mean(condition: Column) -> Column:
 
 def _long(wide: DataFrame, by: Sequence[str], names: Iterable[str], key: str, fields: Sequence[str]) -> DataFrame:
     """Turn one row of columns ``<name>.<field>`` into a row per name."""
-    rows = F.array(
-        *[
-            F.struct(F.lit(n).alias(key), *[F.col(f"`{n}.{f}`").alias(f) for f in fields])
-            for n in names
-        ]
-    )
-    return wide.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
+    structs = [
+        f"named_struct('{key}', {quoted(n)}, " + ", ".join(f"'{f}', {column(f'{n}.{f}')}" for f in fields) + ")"
+        for n in names
+    ]
+    return wide.select(*by, F.expr(f"explode(array({', '.join(structs)}))").alias("r")).select(*by, "r.*")
+
+
+def _per_feature(features: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
+    """One aggregation over all features; ``fields`` are SQL over a column ``{c}``."""
+    aggs = [
+        F.expr(sql.format(c=column(name))).alias(f"{name}.{field}")
+        for name in names
+        for field, sql in fields.items()
+    ]
+    return _long(features.agg(*aggs), (), names, "feature", list(fields))
 
 
 def rule_audit(
@@ -102,13 +111,8 @@ def domain_ceiling(df: DataFrame) -> DataFrame:
 
 def fire_rates(features: DataFrame, names: Sequence[str] = FEATURE_NAMES) -> DataFrame:
     """D5. Share of rows where a feature is not 0; constant features are flagged."""
-    aggs = []
-    for name in names:
-        aggs += [
-            _mean(F.col(name) != 0).alias(f"{name}.fire_share"),
-            (F.min(name) == F.max(name)).alias(f"{name}.is_constant"),
-        ]
-    return _long(features.agg(*aggs), (), names, "feature", ("fire_share", "is_constant"))
+    fields = {"fire_share": "avg(double({c} <> 0))", "is_constant": "min({c}) = max({c})"}
+    return _per_feature(features, names, fields)
 
 
 def contract_check(features: DataFrame, names: Sequence[str] = FEATURE_NAMES) -> DataFrame:
@@ -120,20 +124,12 @@ def contract_check(features: DataFrame, names: Sequence[str] = FEATURE_NAMES) ->
     present = [(f.name, f.dataType) for f in features.schema.fields if f.name in set(names)]
     if present != [(name, T.FloatType()) for name in names]:
         raise ValueError("feature columns must be exactly the expected ones, in order, as floats")
-    infinity = float("inf")
-
-    def total(condition: Column) -> Column:
-        return F.count(F.when(condition, 1))
-
-    aggs = []
-    for name in names:
-        column = F.col(name)
-        aggs += [
-            total(column.isNull()).alias(f"{name}.nulls"),
-            total(F.isnan(column)).alias(f"{name}.nans"),
-            total(F.abs(column) == infinity).alias(f"{name}.infinities"),
-        ]
-    return _long(features.agg(*aggs), (), names, "feature", ("nulls", "nans", "infinities"))
+    fields = {
+        "nulls": "count_if({c} IS NULL)",
+        "nans": "count_if(isnan({c}))",
+        "infinities": "count_if(abs({c}) = double('Infinity'))",
+    }
+    return _per_feature(features, names, fields)
 
 
 def domain_overlap(df: DataFrame, tested: str = "test", trained: str = "train") -> DataFrame:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksieve.functions.lexicons import DEFAULT_LEXICONS, Lexicons
 from linksieve.functions.strings import (
-    any_of,
+    any_word_found,
+    column,
     count_chars,
     count_text,
+    in_list,
     longest,
     longest_run,
+    quoted,
     shannon_bits,
-    sum_of,
+    words_found,
 )
 from linksieve.functions.url_parts import with_url_parts
 
@@ -45,126 +48,109 @@ FEATURE_FAMILIES: dict[str, tuple[str, ...]] = {
 FEATURE_NAMES: tuple[str, ...] = tuple(n for names in FEATURE_FAMILIES.values() for n in names)
 FEATURE_VERSION = 1
 
+# URL parts and helpers are columns with this prefix, dropped at the end.
 _PREFIX = "__"
 
 # A word boundary spelled out, so that it does not change with the Java version.
 _HEX_TOKEN = r"(?<![\p{L}\p{N}_])[0-9a-f]{8,}(?![\p{L}\p{N}_])"
 
 
-def _c(part: str) -> Column:
-    return F.col(_PREFIX + part)
-
-
-def _ends_in(host: Column, domains: Iterable[str]) -> Column:
+def _ends_in(host: str, domains: Iterable[str]) -> str:
     """True when ``host`` is a sub-host of a listed domain.
 
     Entries are grouped by their number of labels, so each group is one hash-set
     lookup of the host's last labels in place of a suffix test per entry.
     """
     by_labels = groupby(sorted(domains, key=lambda d: d.count(".")), key=lambda d: d.count("."))
-    tests = []
+    tests = ["false"]
     for dots, group in by_labels:
-        last = F.substring_index(host, ".", -(dots + 1))
-        tests.append(last.isin(list(group)) & (last != host))
-    return any_of(tests)
+        last = f"substring_index({host}, '.', -{dots + 1})"
+        tests.append(f"({in_list(last, group)} AND {last} <> {host})")
+    return " OR ".join(tests)
 
 
-def _array_measures() -> dict[str, Column]:
-    return {
-        "longest_host_token": longest(_c("host_parts")),
-        "longest_path_segment": longest(_c("segments")),
-        "domain_entropy": shannon_bits(_c("registered")),
-        "url_entropy": shannon_bits(_c("text")),
-        "longest_consecutive_run": longest_run(_c("text")),
-        "longest_consonant_run": longest(
-            F.regexp_extract_all(
-                _c("registered"), F.lit("[bcdfghjklmnpqrstvwxz]+"), F.lit(0)
-            )
-        ),
-    }
-
-
-def _counts() -> dict[str, Column]:
+def _counts() -> dict[str, str]:
     """Counts that other features divide by, and the lower-cased URL."""
     return {
-        "digits": count_chars(_c("text"), "[0-9]"),
-        "letters": count_chars(_c("text"), r"\p{L}"),
-        "registered_letters": count_chars(_c("registered"), r"\p{L}"),
-        "lower_text": F.lower(_c("text")),
+        "digits": count_chars("__text", "[0-9]"),
+        "letters": count_chars("__text", r"\p{L}"),
+        "registered_letters": count_chars("__registered", r"\p{L}"),
+        "lower_text": "lower(__text)",
     }
 
 
-def _lexical() -> dict[str, Column]:
-    text, host, is_ip = _c("text"), _c("host"), _c("is_ip")
-    labels = F.size(_c("host_parts"))
+def _lexical() -> dict[str, str]:
     return {
-        "url_length": F.length(text),
-        "hostname_length": F.length(host),
-        "path_length": F.length(_c("path")),
-        "query_length": F.length(_c("query")),
-        "num_digits": _c("digits"),
-        "num_letters": _c("letters"),
-        "num_special_chars": count_chars(text, "[-_?=&%@]"),
-        "num_dots": count_text(text, "."),
-        "num_hyphens": count_text(text, "-"),
-        "num_slashes": count_text(text, "/"),
-        "num_subdomains": F.when(is_ip, 0).otherwise(F.greatest(labels - 2, F.lit(0))),
-        "num_dots_in_domain": count_text(host, "."),
-        "has_at_symbol": text.contains("@"),
-        "has_hyphen_in_domain": _c("registered").contains("-"),
-        "tld_length": F.length(_c("tld")),
-        "host_digit_count": count_chars(host, "[0-9]"),
-        "host_hyphen_count": count_text(host, "-"),
-        "num_host_tokens": labels,
-        "subdomain_length": F.length(_c("subdomain")),
+        "url_length": "length(__text)",
+        "hostname_length": "length(__host)",
+        "path_length": "length(__path)",
+        "query_length": "length(__query)",
+        "num_digits": "__digits",
+        "num_letters": "__letters",
+        "num_special_chars": count_chars("__text", "[-_?=&%@]"),
+        "num_dots": count_text("__text", "."),
+        "num_hyphens": count_text("__text", "-"),
+        "num_slashes": count_text("__text", "/"),
+        "num_subdomains": "if(__is_ip, 0, greatest(size(__host_parts) - 2, 0))",
+        "num_dots_in_domain": count_text("__host", "."),
+        "has_at_symbol": "contains(__text, '@')",
+        "has_hyphen_in_domain": "contains(__registered, '-')",
+        "tld_length": "length(__tld)",
+        "host_digit_count": count_chars("__host", "[0-9]"),
+        "host_hyphen_count": count_text("__host", "-"),
+        "num_host_tokens": "size(__host_parts)",
+        "longest_host_token": longest("__host_parts"),
+        "subdomain_length": "length(__subdomain)",
     }
 
 
-def _structural(lex: Lexicons) -> dict[str, Column]:
-    text, path = _c("text"), _c("path")
+def _structural(lex: Lexicons) -> dict[str, str]:
     return {
-        "uses_https": _c("scheme") == "https",
-        "has_port": _c("port") != "",
-        "has_ip_host": _c("is_ip"),
-        "num_path_segments": F.size(_c("segments")),
-        "num_query_params": count_text(_c("query"), "="),
-        "has_fragment": _c("fragment") != "",
-        "has_userinfo": _c("userinfo") != "",
-        "has_double_slash_redirect": path.contains("//"),
-        "path_to_url_ratio": F.when(text != "", F.length(path) / F.length(text)).otherwise(0.0),
-        "has_file_extension": _c("extension") != "",
-        "has_executable_extension": _c("extension").isin(list(lex.executable_extensions)),
-        "num_encoded_chars": count_text(text, "%"),
+        "uses_https": "__scheme = 'https'",
+        "has_port": "__port <> ''",
+        "has_ip_host": "__is_ip",
+        "num_path_segments": "size(__segments)",
+        "longest_path_segment": longest("__segments"),
+        "num_query_params": count_text("__query", "="),
+        "has_fragment": "__fragment <> ''",
+        "has_userinfo": "__userinfo <> ''",
+        "has_double_slash_redirect": "contains(__path, '//')",
+        "path_to_url_ratio": "if(__text <> '', length(__path) / length(__text), 0D)",
+        "has_file_extension": "__extension <> ''",
+        "has_executable_extension": in_list("__extension", lex.executable_extensions),
+        "num_encoded_chars": count_text("__text", "%"),
     }
 
 
-def _suspicion(lex: Lexicons) -> dict[str, Column]:
-    host, registered, tld, lowered = _c("host"), _c("registered"), _c("tld"), _c("lower_text")
-    digits, letters, domain_letters = _c("digits"), _c("letters"), _c("registered_letters")
-    rank = F.array_position(F.array(*[F.lit(name) for name in lex.ranked_tlds]), tld)
+def _suspicion(lex: Lexicons) -> dict[str, str]:
+    first_label = "substring_index(__registered, '.', 1)"
+    ranked = ", ".join(quoted(tld) for tld in lex.ranked_tlds)
+    rank = f"array_position(array({ranked}), __tld)"
     return {
-        "is_shortener": registered.isin(list(lex.shorteners)) | host.isin(list(lex.shorteners)),
-        "has_suspicious_tld": tld.isin(list(lex.suspicious_tlds)),
-        "digit_letter_ratio": F.when(letters > 0, digits / letters).otherwise(
-            (digits > 0).cast("double")
+        "is_shortener": (
+            f"{in_list('__registered', lex.shorteners)} OR {in_list('__host', lex.shorteners)}"
+        ),
+        "num_suspicious_keywords": words_found("__lower_text", lex.keywords),
+        "has_suspicious_tld": in_list("__tld", lex.suspicious_tlds),
+        "brand_domain_mismatch": (
+            f"NOT {in_list(first_label, lex.brands)} AND {any_word_found('__lower_text', lex.brands)}"
+        ),
+        "digit_letter_ratio": "if(__letters > 0, __digits / __letters, double(__digits > 0))",
+        "domain_entropy": shannon_bits("__registered"),
+        "url_entropy": shannon_bits("__text"),
+        "longest_consecutive_run": longest_run("__text"),
+        "has_punycode": "contains(__host, 'xn--')",
+        "vowel_ratio_domain": (
+            f"if(__registered_letters > 0, {count_chars('__registered', '[aeiou]')} / __registered_letters, 0D)"
+        ),
+        "is_free_hosting": (
+            f"{in_list('__registered', lex.free_hosting)} OR {_ends_in('__host', lex.free_hosting)}"
+        ),
+        "tld_rank": f"if({rank} > 0, {rank} - 1, {len(lex.ranked_tlds)})",
+        "has_hex_token": f"__lower_text RLIKE r'{_HEX_TOKEN}'",
+        "longest_consonant_run": longest(
+            "regexp_extract_all(__registered, r'[bcdfghjklmnpqrstvwxz]+', 0)"
         ),
-        "has_punycode": host.contains("xn--"),
-        "vowel_ratio_domain": F.when(
-            domain_letters > 0, count_chars(registered, "[aeiou]") / domain_letters
-        ).otherwise(0.0),
-        "is_free_hosting": registered.isin(list(lex.free_hosting)) | _ends_in(host, lex.free_hosting),
-        "tld_rank": F.when(rank > 0, rank - 1).otherwise(len(lex.ranked_tlds)),
-        "has_hex_token": lowered.rlike(_HEX_TOKEN),
-    }
-
-
-def _words(lex: Lexicons) -> dict[str, Column]:
-    """Word searches: a plain byte search per word beats one big alternation."""
-    lowered = _c("lower_text")
-    owns_brand = F.substring_index(_c("registered"), ".", 1).isin(list(lex.brands))
-    return {
-        "num_suspicious_keywords": sum_of([lowered.contains(word) for word in lex.keywords]),
-        "brand_domain_mismatch": ~owns_brand & any_of([lowered.contains(b) for b in lex.brands]),
     }
 
 
@@ -186,12 +172,9 @@ def with_features(
     long for the JIT compiler.
     """
     out = with_url_parts(df, url, _PREFIX, lexicons.suffixes, keep_text=True)
-    out = out.withColumns({_PREFIX + name: column for name, column in _counts().items()})
-    measures = {
-        **_lexical(), **_structural(lexicons), **_suspicion(lexicons), **_words(lexicons),
-        **_array_measures(),
-    }
-    return out.select(
-        *[F.col(f"`{name}`") for name in df.columns],
-        *[measures[name].cast("float").alias(name) for name in features],
+    out = out.withColumns({_PREFIX + name: F.expr(sql) for name, sql in _counts().items()})
+    measures = {**_lexical(), **_structural(lexicons), **_suspicion(lexicons)}
+    return out.selectExpr(
+        *[column(name) for name in df.columns],
+        *[f"float({measures[name]}) AS {name}" for name in features],
     )

@@ -142,9 +142,9 @@ def cumulative_counts(
     inside = Window.partitionBy(*group, "rng").orderBy(F.col("score").desc())
     above = inside.rowsBetween(Window.unboundedPreceding, -1)
     following = F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_top"))
-    # ``ranges`` has one row per range and group: thousands at most.
+    # Not forced to be broadcast: there are few ranges, but ``by`` may have many values.
     return (
-        ranged.join(F.broadcast(ranges), [*group, "rng"])
+        ranged.join(ranges, [*group, "rng"])
         .select(
             *group, "score", "pos", "neg", "all_pos", "all_neg",
             (F.col("pos_before") + F.coalesce(F.sum("pos").over(above), F.lit(0))).alias("pos_above"),

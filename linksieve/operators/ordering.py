@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from linksieve.session import checkpointed
 
 PREFIX_DIGITS = 5
+# A class label, not a key: its values and cuts travel through the driver.
+MOST_LABELS = 256
 
 
 def hash_key(key: Column, salt: str) -> Column:
@@ -86,10 +88,11 @@ def find_cuts(
     ).withColumn("bucket", F.substring("digest", 1, PREFIX_DIGITS))
 
     histogram = checkpointed(rows.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n")))
-    sizes = {
-        r["label"]: r["n"]
-        for r in histogram.groupBy("label").agg(F.sum("n").alias("n")).orderBy("label").collect()
-    }
+    per_label = histogram.groupBy("label").agg(F.sum("n").alias("n"))
+    counted = per_label.limit(MOST_LABELS + 1).collect()
+    if len(counted) > MOST_LABELS:
+        raise ValueError(f"column {label} has more than {MOST_LABELS} values")
+    sizes = {r["label"]: r["n"] for r in sorted(counted, key=lambda r: r["label"])}
     wanted = {lab: [min(k, sizes[lab]) for k in ks] for lab, ks in ranks(sizes).items()}
     targets = sorted({(lab, k) for lab, ks in wanted.items() for k in ks if k > 0})
     if not targets:

@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linksieve.functions.strings import column
 from linksieve.functions.url_parts import registered_domain
 from linksieve.operators.ordering import Cuts, find_cuts
 
@@ -134,13 +135,13 @@ def with_folds(corpus: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataF
     return corpus.withColumn("fold", cuts.segment())
 
 
-def raw_host_domain(url: Column) -> Column:
-    """Registrable domain of the bare text before the first slash.
+def raw_host_domain(url: str = "url") -> Column:
+    """Registrable domain of the bare text of column ``url`` before the first slash.
 
     Port, user info and query are not cut off, and addresses are treated like
     names: ``a.com:80`` is a domain of its own and ``1.2.3.4`` belongs to ``3.4``.
     """
-    return registered_domain(F.substring_index(url, "/", 1))
+    return F.expr(registered_domain(f"substring_index({column(url)}, '/', 1)"))
 
 
 def domain_disjoint_split(
@@ -157,7 +158,7 @@ def domain_disjoint_split(
     a domain is held out follows from its own hash, so the rows, a third of which
     may share one domain, are neither joined nor shuffled by domain.
     """
-    with_domain = corpus.withColumn("domain", raw_host_domain(F.col("url")) if domain is None else domain)
+    with_domain = corpus.withColumn("domain", raw_host_domain() if domain is None else domain)
     domains = with_domain.select("domain").distinct()
     held_out = find_cuts(
         domains, "domain", f"domain-{seed}",

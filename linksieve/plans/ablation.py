@@ -13,7 +13,7 @@ from linksieve.operators.metrics import score_metrics
 from linksieve.operators.models import BUILDERS, SEED
 from linksieve.operators.scoring import score_features
 from linksieve.operators.splits import CURVE_FRACTIONS, with_curve_step
-from linksieve.session import checkpointed, ensure_checkpoint_dir
+from linksieve.session import ensure_checkpoint_dir
 
 RESULT_SCHEMA = """
 study string, config string, model string, n_features int, train_rows long,
@@ -70,7 +70,7 @@ def learning_curve(
 ) -> DataFrame:
     """A4. Every model on nested stratified samples of the train rows."""
     test = table.filter("split = 'test'")
-    stepped = checkpointed(with_curve_step(table.filter("split = 'train'"), fractions, seed))
+    stepped = with_curve_step(table.filter("split = 'train'"), fractions, seed)
     rows = []
     for step, fraction in enumerate(fractions):
         sample = stepped.filter(F.col("step") <= step)

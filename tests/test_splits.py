@@ -128,3 +128,8 @@ def test_empty_and_single_class(spark):
     one = spark.createDataFrame([("a", 1), ("b", 1)], "url string, label int")
     assert "test" not in {r.split for r in make_splits(one).collect()}
     assert with_folds(one).count() == 2
+
+
+def test_a_key_is_no_label(wide):
+    with pytest.raises(ValueError, match="more than 256"):
+        with_folds(wide.withColumn("label", F.substring("url", 2, 9).cast("int")))
