@@ -2,16 +2,17 @@
 
 Rows get a fixed pseudo-random order: by the md5 of a salt and a unique key. A
 selection of the first k rows per label in that order is then the same thing as
-a comparison with the k-th row, the *cut*. Cuts are found in two scans:
+a comparison with the k-th row, the *cut*. Cuts are found by narrowing down:
 
 1. count rows per (label, hash prefix); the running counts tell which prefix
-   bucket holds each cut,
-2. rank only the rows of those few buckets.
-
-After that, selecting is a plain filter against literals: no sort, no join and
-no shuffle of the table, and it can be repeated on any later read of it. With
-2^20 prefixes a bucket holds about a million of 10^12 rows. Keys are unique and
-hashed, so buckets are even whatever the data looks like.
+   holds each cut. While a prefix still has more rows than one task should rank,
+   count its longer prefixes in the same way,
+2. rank only the rows of those few prefixes.
+
+After that, selecting is a plain filter against literals: no sort, join or shuffle
+of the table, and it can be repeated on any later read of it. Keys are unique and
+hashed, so prefixes are even whatever the data looks like: two scans do for tables
+of up to 10^10 rows per label, three for 10^15.
 """
 
 from __future__ import annotations
@@ -24,13 +25,17 @@ from pyspark.sql import functions as F
 
 from linksieve.session import checkpointed
 
-PREFIX_DIGITS = 5
+DIGEST_LENGTH = 32
+# Hex digits added per narrowing step: 65,536 counts per label.
+PREFIX_STEP = 4
+# Rows of one prefix that one task may rank.
+ROWS_PER_PREFIX = 500_000
 # A class label, not a key: its values and cuts travel through the driver.
 MOST_LABELS = 256
 
 
 def hash_key(key: Column, salt: str) -> Column:
-    """Hex digest that fixes the position of a row."""
+    """Hex digest that fixes the place of a row; its length is the same for all rows."""
     return F.md5(F.concat(F.lit(f"{salt}|"), key))
 
 
@@ -38,35 +43,39 @@ def hash_key(key: Column, salt: str) -> Column:
 class Cuts:
     """For each label, the cut rows in ascending rank order.
 
-    A cut is ``(digest, key)`` of the last row inside; ``None`` for rank 0.
+    A cut is the digest of the last row inside, followed by its key, so that
+    comparing strings compares digests first; ``None`` stands for rank 0.
     """
 
     key: str
     label: str | None
     salt: str
-    per_label: dict[int, list[tuple[str, str] | None]]
+    per_label: dict[int, list[str | None]]
     sizes: dict[int, int] = field(default_factory=dict)
 
     def segment(self) -> Column:
         """Index of the segment a row falls in: the number of cuts it lies beyond."""
-        digest, key = hash_key(F.col(self.key), self.salt), F.col(self.key)
-
-        def beyond(cut: tuple[str, str] | None) -> Column:
-            if cut is None:
-                return F.lit(1)
-            after = (digest > cut[0]) | ((digest == cut[0]) & (key > cut[1]))
-            return after.cast("int")
-
+        place = F.concat(hash_key(F.col(self.key), self.salt), F.col(self.key))
         out = F.lit(None).cast("int")
         for label, cuts in self.per_label.items():
             index = F.lit(0)
             for cut in cuts:
-                index = index + beyond(cut)
+                index = index + (F.lit(1) if cut is None else (place > cut).cast("int"))
             is_label = F.lit(True) if self.label is None else F.col(self.label) == label
             out = F.when(is_label, index).otherwise(out)
         return out
 
 
+def _prefix_counts(rows: DataFrame, within: DataFrame | None, digits: int) -> DataFrame:
+    """``label, outer, prefix, n``: rows per prefix of ``digits``, inside given shorter ones."""
+    known = digits - PREFIX_STEP
+    rows = rows.withColumn("outer", F.substring("digest", 1, known))
+    if within is not None:
+        rows = rows.join(F.broadcast(within), ["label", "outer"], "left_semi")
+    prefix = F.substring("digest", 1, digits)
+    return rows.groupBy("label", "outer", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def find_cuts(
     df: DataFrame,
     key: str,
@@ -79,49 +88,56 @@ def find_cuts(
     ``key`` must be unique in ``df``. ``ranks`` gets the number of rows per label
     and returns ascending ranks per label. ``label`` must have few values, as a
     class label has; without it the whole table is one group (label 0).
+
+    The only rows that reach the driver are sizes per label and one row per cut;
+    the only ones broadcast are the cuts.
     """
     spark = df.sparkSession
     rows = df.select(
         (F.lit(0) if label is None else F.col(label).cast("int")).alias("label"),
         F.col(key).alias("key"),
         hash_key(F.col(key), salt).alias("digest"),
-    ).withColumn("bucket", F.substring("digest", 1, PREFIX_DIGITS))
-
-    histogram = checkpointed(rows.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n")))
-    per_label = histogram.groupBy("label").agg(F.sum("n").alias("n"))
+    )
+    digits = PREFIX_STEP
+    counts = checkpointed(_prefix_counts(rows, None, digits))
+    per_label = counts.groupBy("label").agg(F.sum("n").alias("n"))
     counted = per_label.limit(MOST_LABELS + 1).collect()
     if len(counted) > MOST_LABELS:
         raise ValueError(f"column {label} has more than {MOST_LABELS} values")
     sizes = {r["label"]: r["n"] for r in sorted(counted, key=lambda r: r["label"])}
+
     wanted = {lab: [min(k, sizes[lab]) for k in ks] for lab, ks in ranks(sizes).items()}
-    targets = sorted({(lab, k) for lab, ks in wanted.items() for k in ks if k > 0})
-    if not targets:
-        return Cuts(key, label, salt, {lab: [None] * len(ks) for lab, ks in wanted.items()}, sizes)
-
-    asked = spark.createDataFrame(targets, "label int, rank long")
-    order = Window.partitionBy("label").orderBy("bucket")
-    buckets = (
-        histogram.withColumn("upto", F.sum("n").over(order))
-        .join(F.broadcast(asked), "label")
-        .filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-        .select("label", "bucket", "rank", (F.col("rank") - F.col("upto") + F.col("n")).alias("nth"))
-        .collect()
-    )
-    # One row per cut: a handful. Each selects one hash bucket of one label.
-    chosen = spark.createDataFrame(
-        [tuple(b) for b in buckets], "label int, bucket string, rank long, nth long"
-    )
-    in_bucket = Window.partitionBy("label", "bucket").orderBy("digest", "key")
-    found = (
-        rows.join(F.broadcast(chosen.select("label", "bucket").distinct()), ["label", "bucket"], "left_semi")
-        .withColumn("nth", F.row_number().over(in_bucket))
-        .join(F.broadcast(chosen), ["label", "bucket", "nth"])
-        .select("label", "rank", "digest", "key")
-        .collect()
-    )
-    at = {(r["label"], r["rank"]): (r["digest"], r["key"]) for r in found}
-    return Cuts(
-        key, label, salt,
-        {lab: [at[lab, k] if k > 0 else None for k in ks] for lab, ks in wanted.items()},
-        sizes,
-    )
+    # (label, rank, prefix the row lies in, its rank inside the prefix)
+    targets = sorted({(lab, k, "", k) for lab, ks in wanted.items() for k in ks if k > 0})
+    found = []
+    while targets:
+        asked = spark.createDataFrame(targets, "label int, rank long, outer string, nth long")
+        ascending = Window.partitionBy("label", "outer").orderBy("prefix")
+        before = F.col("upto") - F.col("n")
+        hits = (
+            counts.withColumn("upto", F.sum("n").over(ascending))
+            .join(F.broadcast(asked), ["label", "outer"])
+            .filter((F.col("nth") <= F.col("upto")) & (F.col("nth") > before))
+            .select("label", "rank", "prefix", (F.col("nth") - before).alias("nth"), "n")
+            .collect()
+        )
+        targets = [(h["label"], h["rank"], h["prefix"], h["nth"]) for h in hits]
+        chosen = spark.createDataFrame(targets, "label int, rank long, outer string, nth long")
+        within = chosen.select("label", "outer").distinct()
+        if max(h["n"] for h in hits) > ROWS_PER_PREFIX and digits + PREFIX_STEP <= DIGEST_LENGTH:
+            digits += PREFIX_STEP
+            counts = _prefix_counts(rows, within, digits)
+            continue
+        ranked = Window.partitionBy("label", "outer").orderBy("digest", "key")
+        found = (
+            rows.withColumn("outer", F.substring("digest", 1, digits))
+            .join(F.broadcast(within), ["label", "outer"], "left_semi")
+            .withColumn("nth", F.row_number().over(ranked))
+            .join(F.broadcast(chosen), ["label", "outer", "nth"])
+            .select("label", "rank", F.concat("digest", "key").alias("cut"))
+            .collect()
+        )
+        break
+    at = {(r["label"], r["rank"]): r["cut"] for r in found}
+    cuts = {lab: [at[lab, k] if k > 0 else None for k in ks] for lab, ks in wanted.items()}
+    return Cuts(key, label, salt, cuts, sizes)

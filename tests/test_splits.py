@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from linksieve.operators import ordering
 from linksieve.operators.corpus import clean_corpus
 from linksieve.operators.ordering import find_cuts
 from linksieve.operators.splits import (
@@ -38,7 +39,10 @@ def test_quotas():
     assert proportional_quotas({0: 0, 1: 0}, 0) == {0: 0, 1: 0}
 
 
-def test_cuts_equal_a_full_sort(spark, wide):
+@pytest.mark.parametrize("step, per_prefix", [(4, 500_000), (1, 100), (2, 1)])
+def test_cuts_equal_a_full_sort(spark, wide, monkeypatch, step, per_prefix):
+    monkeypatch.setattr(ordering, "PREFIX_STEP", step)
+    monkeypatch.setattr(ordering, "ROWS_PER_PREFIX", per_prefix)
     asked = {0: [1, 17, 5000, 11428], 1: [0, 8571, 8572, 8572]}
     cuts = find_cuts(wide, "url", "s", lambda sizes: asked, "label")
     rows = wide.select("url", "label", cuts.segment().alias("seg"), F.md5(F.concat(F.lit("s|"), "url")).alias("h")).collect()
