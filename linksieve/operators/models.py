@@ -41,9 +41,14 @@ BOOSTED_DEFAULTS = {
     "random_state": SEED,
 }
 
-# Deep trees: node ids are kept with the rows, so executors need no copy of the
-# growing trees, and are checkpointed so that a lost executor costs few passes.
-_TREE_GROWTH = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+# Node statistics of more nodes at once mean fewer passes over the rows.
+_TREE_GROWTH = {"checkpointInterval": 10, "maxMemoryInMB": 1024}
+
+# Fully grown trees have a leaf per few rows, and a model travels to every
+# executor. So leaves must hold more rows the larger the table is; this has no
+# effect up to a million rows.
+LEAVES_PER_TREE = 1 << 20
+_LEAF_SIZE = {"random_forest": "min_samples_leaf", "boosted_trees": "min_child_weight"}
 
 
 def _depth(value: int | None) -> int:
@@ -99,13 +104,18 @@ def _merged(defaults: dict, overrides: dict) -> dict:
 def build_random_forest(features: Sequence[str] = FEATURE_NAMES, **overrides) -> Pipeline:
     """M1. Random forest; ``max_features`` is ``sqrt``, ``log2`` or a share of the columns."""
     params = forest_params(_merged(FOREST_DEFAULTS, overrides))
-    return _pipeline(RandomForestClassifier(maxBins=128, **_TREE_GROWTH, **params), features)
+    # Many deep trees: node ids are kept with the rows (and checkpointed), so that
+    # executors need no copy of the growing trees. Boosting grows one small tree at
+    # a time, where shipping it is faster.
+    forest = RandomForestClassifier(maxBins=128, cacheNodeIds=True, **_TREE_GROWTH, **params)
+    return _pipeline(forest, features)
 
 
 def build_boosted_trees(features: Sequence[str] = FEATURE_NAMES, **overrides) -> Pipeline:
     """M2. Gradient-boosted trees on histogram splits with log loss."""
     params = boosted_params(_merged(BOOSTED_DEFAULTS, overrides))
-    return _pipeline(GBTClassifier(maxBins=256, lossType="logistic", **_TREE_GROWTH, **params), features)
+    trees = GBTClassifier(maxBins=256, lossType="logistic", **_TREE_GROWTH, **params)
+    return _pipeline(trees, features)
 
 
 BUILDERS: dict[str, Callable[..., Pipeline]] = {
@@ -162,6 +172,14 @@ def draw_params(name: str, draws: int, seed: int = SEED, fixed: dict | None = No
     ]
 
 
+def bounded(name: str, params: dict, rows: int) -> dict:
+    """``params`` with leaves large enough that a tree on ``rows`` rows has at most
+    ``LEAVES_PER_TREE`` of them, so the size of a model does not follow the table."""
+    key = _LEAF_SIZE[name]
+    smallest = params.get(key, _DEFAULTS[name][key])
+    return {**params, key: max(smallest, -(-rows // LEAVES_PER_TREE))}
+
+
 def param_map(name: str, pipeline: Pipeline, params: dict) -> dict:
     """The same parameters as a Spark ML param map for the pipeline's classifier."""
     classifier = pipeline.getStages()[-1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES
 from linksieve.operators.metrics import score_metrics
-from linksieve.operators.models import BUILDERS, SEED
+from linksieve.operators.models import BUILDERS, SEED, bounded
 from linksieve.operators.scoring import score_features
 from linksieve.operators.splits import CURVE_FRACTIONS, with_curve_step
 from linksieve.session import ensure_checkpoint_dir
@@ -33,15 +33,23 @@ def feature_configs() -> dict[str, tuple[str, ...]]:
 
 
 def run_config(
-    name: str, params: dict, train: DataFrame, test: DataFrame, features: Sequence[str] = FEATURE_NAMES
+    name: str,
+    params: dict,
+    train: DataFrame,
+    train_rows: int,
+    test: DataFrame,
+    features: Sequence[str] = FEATURE_NAMES,
 ) -> dict:
     """A2. Fit one model, score the test rows; metrics and wall time of both."""
     ensure_checkpoint_dir(train.sparkSession)
     started = time.perf_counter()
-    model = BUILDERS[name](features, **params).fit(train)
+    model = BUILDERS[name](features, **bounded(name, params, train_rows)).fit(train)
     metrics = score_metrics(score_features(model, test)).first().asDict()
     seconds = round(time.perf_counter() - started, 1)
-    return {"model": name, "n_features": len(features), **metrics, "fit_seconds": seconds}
+    return {
+        "model": name, "n_features": len(features), "train_rows": train_rows, **metrics,
+        "fit_seconds": seconds,
+    }
 
 
 def _table(spark, rows: list[dict]) -> DataFrame:
@@ -52,10 +60,10 @@ def _table(spark, rows: list[dict]) -> DataFrame:
 def family_ablation(table: DataFrame, params: dict[str, dict]) -> DataFrame:
     """A3. Every feature configuration with every model, on the same test rows."""
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
-    rows_in_train = train.count()
+    n = train.count()
     rows = [
-        {"study": "feature_group", "config": config, "train_rows": rows_in_train,
-         **run_config(name, params.get(name, {}), train, test, columns)}
+        {"study": "feature_group", "config": config,
+         **run_config(name, params.get(name, {}), train, n, test, columns)}
         for config, columns in feature_configs().items()
         for name in params
     ]
@@ -74,10 +82,10 @@ def learning_curve(
     rows = []
     for step, fraction in enumerate(fractions):
         sample = stepped.filter(F.col("step") <= step)
-        rows_in_sample = sample.count()
+        n = sample.count()
         rows += [
             {"study": "training_size", "config": f"{round(fraction * 100)}pct",
-             "train_rows": rows_in_sample, **run_config(name, params.get(name, {}), sample, test)}
+             **run_config(name, params.get(name, {}), sample, n, test)}
             for name in params
         ]
     return _table(table.sparkSession, rows)
@@ -86,10 +94,10 @@ def learning_curve(
 def split_strategy(disjoint: DataFrame, params: dict[str, dict]) -> DataFrame:
     """A5. Every model on a domain-disjoint split (column ``split``)."""
     train, test = disjoint.filter("split = 'train'"), disjoint.filter("split = 'test'")
-    rows_in_train = train.count()
+    n = train.count()
     rows = [
-        {"study": "split_strategy", "config": "domain_disjoint", "train_rows": rows_in_train,
-         **run_config(name, params.get(name, {}), train, test)}
+        {"study": "split_strategy", "config": "domain_disjoint",
+         **run_config(name, params.get(name, {}), train, n, test)}
         for name in params
     ]
     return _table(disjoint.sparkSession, rows)

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from linksieve.operators.metrics import score_metrics
-from linksieve.operators.models import BUILDERS, SEED
+from linksieve.operators.models import BUILDERS, SEED, bounded
 from linksieve.operators.scoring import score_features
 from linksieve.operators.tuning import tune
 from linksieve.session import ensure_checkpoint_dir
@@ -42,7 +42,8 @@ def train_models(
         pinned = (fixed or {}).get(name, {})
         tuning = tune(name, train, seed=seed, fixed=pinned, **search)
         started = time.perf_counter()
-        fitted[name] = BUILDERS[name](**tuning.best).fit(train)
+        params = bounded(name, tuning.best, sizes.get("train", 0))
+        fitted[name] = BUILDERS[name](**params).fit(train)
         seconds = round(time.perf_counter() - started, 1)
         metrics = score_metrics(score_features(fitted[name], validation)).first().asDict()
         summaries.append(

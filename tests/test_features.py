@@ -141,3 +141,26 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<url:string>" in plan
     assert "xn--" not in plan
+
+
+def test_own_lexicons(spark):
+    lex = Lexicons(
+        brands=("o'neil", "a\\\\b"), keywords=("it's",), shorteners=(), free_hosting=("x.y.z.w",),
+        suffixes=("priv.at",), ranked_tlds=("at",), suspicious_tlds=("at",), executable_extensions=(".o'",),
+    )
+    urls = ["www.shop.priv.at/O'Neil/it's.o'", "a.x.y.z.w", "x.y.z.w", "c.com/a\\\\b", "bit.ly"]
+    df = spark.createDataFrame(list(enumerate(urls)), "n int, url string")
+    rows = with_features(df, lexicons=lex).orderBy("n").collect()
+    assert rows[0].subdomain_length == 3 and rows[0].tld_rank == 0 and rows[0].has_suspicious_tld == 1
+    assert rows[0].num_suspicious_keywords == 1 and rows[0].has_executable_extension == 1
+    assert [r.brand_domain_mismatch for r in rows] == [1, 0, 0, 1, 0]
+    assert [r.is_free_hosting for r in rows] == [0, 1, 0, 0, 0]
+    assert rows[4].is_shortener == 0 and rows[1].tld_rank == 1
+    with pytest.raises(ValueError):
+        Lexicons(brands=("a.b",))
+
+
+def test_awkward_column_names(spark):
+    df = spark.createDataFrame([("http://a.com", 1)], "`the.url` string, `x y` int")
+    row = with_features(df, "the.url", ["uses_https", "has_port", "num_dots"]).first()
+    assert tuple(row) == ("http://a.com", 1, 0, 0, 1)

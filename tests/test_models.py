@@ -71,6 +71,12 @@ def test_builders_map_parameters(spark):
         M.build_random_forest(trees=3)
 
 
+def test_model_size_does_not_follow_the_table():
+    assert M.bounded("random_forest", {}, 800_000) == {"min_samples_leaf": 1}
+    assert M.bounded("random_forest", {"min_samples_leaf": 4}, 3 << 20) == {"min_samples_leaf": 4}
+    assert M.bounded("boosted_trees", {"gamma": 0.1}, 10**12) == {"gamma": 0.1, "min_child_weight": 953675}
+
+
 def test_draws_stay_in_their_ranges():
     assert M.draw_params("boosted_trees", 5) == M.draw_params("boosted_trees", 5)
     for p in M.draw_params("boosted_trees", 200):
@@ -172,7 +178,9 @@ def test_ablation_pieces(spark, corpus, features, trained):
     }
     table = trained[0]
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
-    one = run_config("random_forest", SMALL["random_forest"], train, test, feature_configs()["only_structural"])
+    one = run_config(
+        "random_forest", SMALL["random_forest"], train, train.count(), test, feature_configs()["only_structural"]
+    )
     assert one["n_features"] == 13 and 0 <= one["f1"] <= 1
     params = {"boosted_trees": SMALL["boosted_trees"]}
     curve = learning_curve(table, params, (0.5, 1.0))
