@@ -16,6 +16,7 @@ from linksieve.session import local_session
 
 HEADLINE = (
     "feature_table",
+    "corpus_features",
     "features_lexical",
     "features_structural",
     "features_suspicion",

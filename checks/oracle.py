@@ -377,6 +377,10 @@ ORACLES: dict[str, str] = {
         for family, names in FEATURE_FAMILIES.items()
     },
     "feature_table": with_ctes(features_sql("row_id"), RAW_MANY, *parts_cte("raw", "row_id"), RUNS),
+    "corpus_features": with_ctes(
+        features_sql("url, CAST(label AS TINYINT) AS label"),
+        RAW_MANY, CANON, PAIRS, CORPUS, *parts_cte("corpus", "url, label"), RUNS,
+    ),
     "page_features": with_ctes(
         features_sql("page_id, u AS canonical_url"),
         ("raw", "SELECT page_id, url FROM pages"), CANON, *parts_cte("canon", "page_id", "canonical"), RUNS,

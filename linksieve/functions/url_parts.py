@@ -37,66 +37,65 @@ def registered_domain(host: str, suffixes: Iterable[str] = DEFAULT_LEXICONS.suff
     return f"if({listed}, substring_index({host}, '.', -3), {last_two})"
 
 
-def _steps(suffixes: Iterable[str]) -> list[dict[str, str]]:
-    """Parts by stage; ``{part}`` stands for the column of a part of an earlier stage."""
-    # Patterns hold braces, so they are filled in together with the columns.
-    return [
-        {"raw_scheme": "regexp_extract({text}, r'{scheme_pattern}', 1)"},
-        {
-            "scheme": "lower({raw_scheme})",
-            "rest": "if({raw_scheme} = '', {text}, substr({text}, length({raw_scheme}) + 4))",
-        },
-        # The fragment is cut before the query, the query before the path.
-        {"before_fragment": "substring_index({rest}, '#', 1)"},
-        {
-            "fragment": "substr({rest}, length({before_fragment}) + 2)",
-            "before_query": "substring_index({before_fragment}, '?', 1)",
-        },
-        {
-            "query": "substr({before_fragment}, length({before_query}) + 2)",
-            "authority": "substring_index({before_query}, '/', 1)",
-        },
-        {
-            "path": "substr({before_query}, length({authority}) + 1)",
-            "netloc": "substring_index({authority}, '@', -1)",
-        },
-        {
-            "userinfo": "substr({authority}, 1, length({authority}) - length({netloc}) - 1)",
-            "name": """
-                CASE WHEN NOT startswith({netloc}, '[') THEN substring_index({netloc}, ':', 1)
-                     WHEN contains({netloc}, ']') THEN substr({netloc}, 1, instr({netloc}, ']'))
-                     ELSE {netloc} END
-            """,
-        },
-        {
-            "host": "lower({name})",
-            "port": """
-                if(startswith({netloc}, '['), trim(LEADING ':' FROM substr({netloc}, length({name}) + 1)),
-                   substr({netloc}, length({name}) + 2))
-            """,
-            "segments": "array_remove(split({path}, '/'), '')",
-        },
-        {
-            "is_ip": """
-                startswith({host}, '[') OR {host} RLIKE r'{hex_address}' OR {host} RLIKE r'{ipv4_address}'
-            """,
-            "host_parts": r"if({host} = '', cast(array() AS array<string>), split({host}, r'\.'))",
-            "last_segment": "coalesce(try_element_at({segments}, -1), '')",
-        },
-        {
-            "tld": "if(contains({host}, '.') AND NOT {is_ip}, substring_index({host}, '.', -1), '')",
-            "registered": "if({is_ip}, '', " + registered_domain("{host}", suffixes) + ")",
-            "extension": """
-                if(contains({last_segment}, '.'),
-                   concat('.', lower(substring_index({last_segment}, '.', -1))), '')
-            """,
-        },
-        {
-            "subdomain": """
-                if({registered} = '', '', substr({host}, 1, length({host}) - length({registered}) - 1))
-            """,
-        },
-    ]
+# Parts by stage. ``{part}`` stands for the column of a part of an earlier stage;
+# patterns hold braces themselves, so they are filled in the same way.
+_STEPS: tuple[dict[str, str], ...] = (
+    {"raw_scheme": "regexp_extract({text}, r'{scheme_pattern}', 1)"},
+    {
+        "scheme": "lower({raw_scheme})",
+        "rest": "if({raw_scheme} = '', {text}, substr({text}, length({raw_scheme}) + 4))",
+    },
+    # The fragment is cut before the query, the query before the path.
+    {"before_fragment": "substring_index({rest}, '#', 1)"},
+    {
+        "fragment": "substr({rest}, length({before_fragment}) + 2)",
+        "before_query": "substring_index({before_fragment}, '?', 1)",
+    },
+    {
+        "query": "substr({before_fragment}, length({before_query}) + 2)",
+        "authority": "substring_index({before_query}, '/', 1)",
+    },
+    {
+        "path": "substr({before_query}, length({authority}) + 1)",
+        "netloc": "substring_index({authority}, '@', -1)",
+    },
+    {
+        "userinfo": "substr({authority}, 1, length({authority}) - length({netloc}) - 1)",
+        "name": """
+            CASE WHEN NOT startswith({netloc}, '[') THEN substring_index({netloc}, ':', 1)
+                 WHEN contains({netloc}, ']') THEN substr({netloc}, 1, instr({netloc}, ']'))
+                 ELSE {netloc} END
+        """,
+    },
+    {
+        "host": "lower({name})",
+        "port": """
+            if(startswith({netloc}, '['), trim(LEADING ':' FROM substr({netloc}, length({name}) + 1)),
+               substr({netloc}, length({name}) + 2))
+        """,
+        "segments": "array_remove(split({path}, '/'), '')",
+    },
+    {
+        "is_ip": """
+            startswith({host}, '[') OR {host} RLIKE r'{hex_address}' OR {host} RLIKE r'{ipv4_address}'
+        """,
+        "host_parts": r"if({host} = '', cast(array() AS array<string>), split({host}, r'\.'))",
+        "last_segment": "coalesce(try_element_at({segments}, -1), '')",
+    },
+    {
+        "tld": "if(contains({host}, '.') AND NOT {is_ip}, substring_index({host}, '.', -1), '')",
+        "registered": "if({is_ip}, '', {registered_name})",
+        "extension": """
+            if(contains({last_segment}, '.'),
+               concat('.', lower(substring_index({last_segment}, '.', -1))), '')
+        """,
+    },
+    {
+        "subdomain": """
+            if({registered} = '', '', substr({host}, 1, length({host}) - length({registered}) - 1))
+        """,
+    },
+)
 
 
 def with_url_parts(
@@ -109,14 +108,17 @@ def with_url_parts(
     """Add the parts of column ``url``, named ``prefix`` + part name.
 
     A null URL is read as an empty string; no part is ever null. ``keep_text``
-    leaves that string in the result as ``prefix`` + ``text``.
+    leaves that string in the result as ``text`` with the prefix.
     """
-    fill = {name: column(prefix + name) for name in (*PART_NAMES, *_HELPERS)} | {
+    # Helpers have a prefix in any case, not to replace a column of that name.
+    named = {n: prefix + n for n in PART_NAMES} | {h: (prefix or "__") + h for h in _HELPERS}
+    fill = {name: column(full) for name, full in named.items()} | {
         "scheme_pattern": SCHEME_PATTERN,
         "hex_address": _HEX_ADDRESS,
         "ipv4_address": _IPV4_ADDRESS,
+        "registered_name": registered_domain(column(prefix + "host"), suffixes),
     }
-    out = df.withColumn(prefix + "text", F.expr(f"coalesce({column(url)}, '')"))
-    for step in _steps(suffixes):
-        out = out.withColumns({prefix + n: F.expr(sql.format(**fill)) for n, sql in step.items()})
-    return out.drop(*[prefix + h for h in _HELPERS if not (keep_text and h == "text")])
+    out = df.withColumn(named["text"], F.expr(f"coalesce({column(url)}, '')"))
+    for step in _STEPS:
+        out = out.withColumns({named[n]: F.expr(sql.format(**fill)) for n, sql in step.items()})
+    return out.drop(*[named[h] for h in _HELPERS if not (keep_text and h == "text")])

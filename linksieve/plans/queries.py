@@ -199,6 +199,12 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(with_features(many_raw_urls(spark, sf_dir)), ["row_id"], FEATURE_NAMES)
 
 
+def corpus_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5-C8 + FX in one go: raw rows to the features of the clean corpus, one shuffle."""
+    corpus = clean_corpus(many_raw_urls(spark, sf_dir))
+    return _doubles(with_features(corpus), ["url", "label"], FEATURE_NAMES)
+
+
 def page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + FX. All features of the page URLs in canonical form."""
     return _doubles(
@@ -413,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "features_structural": family_features("structural"),
     "features_suspicion": family_features("suspicion"),
     "feature_table": feature_table,
+    "corpus_features": corpus_features,
     "page_features": page_features,
     "feature_store": feature_store,
     "split_train_val_test": split_train_val_test,

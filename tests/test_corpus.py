@@ -101,3 +101,17 @@ def test_sources_round_trip(spark, tmp_path):
 
     write_corpus_csv(raw, str(tmp_path / "csv"))
     assert sorted(map(tuple, read_corpus_csv(spark, str(tmp_path / "csv")).collect())) == sorted(rows)
+
+
+def test_one_url_with_a_third_of_all_rows(spark):
+    raw = spark.range(60_000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN concat('http://hot.com', repeat('/', int(id % 5))) "
+        "WHEN 1 THEN NULL ELSE concat('h', id, '.com') END AS url",
+        "int(id % 2) AS label",
+    )
+    hot = raw.withColumn("label", raw.label * (raw.url.isNull() | ~raw.url.contains("hot")).cast("int"))
+    assert clean_corpus(hot).count() == 20_001
+    audit = cleaning_audit(hot).first()
+    assert audit[:5] == (60_000, 20_000, 19_999, 0, 20_001)
+    conflicting = cleaning_audit(raw).first()
+    assert conflicting[:5] == (60_000, 20_000, 19_998, 2, 20_000)
