@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linksieve.functions.canonical import canonicalize
@@ -47,23 +47,22 @@ def url_groups(raw: DataFrame) -> DataFrame:
     )
 
 
+def unanimous(groups: DataFrame) -> DataFrame:
+    """C8. The URLs whose rows all carry one label, with that label."""
+    agreed = groups.filter(F.col("low") == F.col("high"))
+    return agreed.select("url", F.col("low").alias("label"))
+
+
 def clean_corpus(raw: DataFrame) -> DataFrame:
     """C5-C8. One ``url, label`` row per canonical URL.
 
     Missing and empty URLs go, copies collapse to one row, and a URL seen with
     both labels goes altogether, as no label can be right for it.
     """
-    unanimous = url_groups(raw).filter(F.col("low") == F.col("high"))
-    return unanimous.select("url", F.col("low").alias("label"))
+    return unanimous(url_groups(raw))
 
 
-def cleaning_audit(raw: DataFrame) -> DataFrame:
-    """C9. One row that accounts for every raw row.
-
-    raw = missing + duplicates + conflicts + final; ``conflict_rows`` counts the
-    rows left after removal of copies, two per URL with both labels. Rows without
-    a label are part of ``missing_rows``.
-    """
+def _audit_counts() -> list[Column]:
     single = F.col("low") == F.col("high")
     conflict = F.col("low") != F.col("high")
 
@@ -71,7 +70,7 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long")
 
     copies = F.col("labelled") - F.when(conflict, 2).when(single, 1).otherwise(0)
-    counts = url_groups(raw).agg(
+    return [
         total(F.col("rows")).alias("raw_rows"),
         total(F.col("rows") - F.col("labelled")).alias("missing_rows"),
         total(copies).alias("duplicate_rows"),
@@ -79,9 +78,11 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
         total(F.lit(1), single).alias("final_rows"),
         total(F.lit(1), single & (F.col("low") == 0)).alias("legitimate_rows"),
         total(F.lit(1), single & (F.col("low") == 1)).alias("phishing_rows"),
-    )
+    ]
+
 
-    def percent(name):
+def _with_shares(counts: DataFrame) -> DataFrame:
+    def percent(name: str) -> Column:
         share = F.try_divide(F.col(name) * 100.0, F.col("final_rows"))
         return F.coalesce(share, F.lit(0.0))
 
@@ -91,3 +92,18 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
             "phishing_pct": percent("phishing_rows"),
         }
     )
+
+
+def audit(groups: DataFrame) -> DataFrame:
+    """C9. One row that accounts for every raw row behind :func:`url_groups`.
+
+    raw = missing + duplicates + conflicts + final; ``conflict_rows`` counts the
+    rows left after removal of copies, two per URL with both labels. Rows without
+    a label are part of ``missing_rows``.
+    """
+    return _with_shares(groups.agg(*_audit_counts()))
+
+
+def cleaning_audit(raw: DataFrame) -> DataFrame:
+    """C9. The audit of raw rows."""
+    return audit(url_groups(raw))

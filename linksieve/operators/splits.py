@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from linksieve.functions.strings import column
 from linksieve.functions.url_parts import registered_domain
 from linksieve.operators.ordering import Cuts, find_cuts
+from linksieve.session import checkpointed
 
 SEED = 42
 TEST_PER_CLASS = 50_000
@@ -159,7 +160,8 @@ def domain_disjoint_split(
     may share one domain, are neither joined nor shuffled by domain.
     """
     with_domain = corpus.withColumn("domain", raw_host_domain() if domain is None else domain)
-    domains = with_domain.select("domain").distinct()
+    # Written out, as it is read again for each narrowing of the cut.
+    domains = checkpointed(with_domain.select("domain").distinct())
     held_out = find_cuts(
         domains, "domain", f"domain-{seed}",
         lambda sizes: {0: [int(sizes.get(0, 0) * held_out_fraction)]},

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksieve.operators.corpus import clean_corpus, cleaning_audit
+from linksieve.operators.corpus import audit, unanimous, url_groups
 from linksieve.operators.models import BUILDERS
 from linksieve.operators.scoring import THRESHOLD, score_urls, verdicts
 from linksieve.operators.splits import domain_disjoint_split, make_splits
@@ -25,10 +25,15 @@ from linksieve.sources.urls import load_raw, read_corpus, write_corpus
 
 
 def corpus_job(spark: SparkSession, folder: str, *raw_paths: str) -> DataFrame:
-    """Raw shards to the clean corpus and its audit row."""
-    raw = load_raw(spark, *raw_paths)
-    write_corpus(clean_corpus(raw), f"{folder}/corpus")
-    write_report(rounded(cleaning_audit(raw)), f"{folder}/reports/corpus_audit", "json")
+    """Raw shards to the clean corpus and its audit row.
+
+    The grouped URLs are stored, as both results follow from them: the shards are
+    read and shuffled once.
+    """
+    url_groups(load_raw(spark, *raw_paths)).write.mode("overwrite").parquet(f"{folder}/url_groups")
+    groups = spark.read.parquet(f"{folder}/url_groups")
+    write_corpus(unanimous(groups), f"{folder}/corpus")
+    write_report(rounded(audit(groups)), f"{folder}/reports/corpus_audit", "json")
     return read_corpus(spark, f"{folder}/corpus")
 
 
