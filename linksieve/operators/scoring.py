@@ -27,9 +27,13 @@ def featurize(
 
 
 def score_features(model: PipelineModel, features: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Add ``p_phish`` and ``prediction`` to a feature table, drop the model's own columns."""
+    """Add ``p_phish`` and ``prediction`` to a feature table, drop the model's own columns.
+
+    A freshly fitted forest would take its training summary, and the session that
+    is in it, along to every task. Its copy has none.
+    """
     p = F.element_at(vector_to_array("probability"), 2)
-    scored = model.transform(features).withColumn("p_phish", p)
+    scored = model.copy().transform(features).withColumn("p_phish", p)
     return scored.withColumn("prediction", (F.col("p_phish") >= threshold).cast("int")).drop(
         "features", "rawPrediction", "probability"
     )

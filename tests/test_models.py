@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from linksieve.functions.lexicons import Lexicons
@@ -209,3 +210,11 @@ def test_stream_equals_batch(spark, sf_dir, trained, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     batch = score_urls(model, raw)
     assert got.count() == raw.count() and batch.exceptAll(got.select(batch.columns)).isEmpty()
+
+
+def test_fresh_model_scores_after_observations(spark, trained):
+    table, fitted, _ = trained
+    seen = Observation("rows")
+    assert table.observe(seen, F.count(F.lit(1)).alias("n")).count() == seen.get["n"]
+    for model in fitted.values():
+        assert score_urls(model, table.select("url")).filter("p_phish is null").isEmpty()
