@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linksieve.session import checkpointed
 
-# Score rows one task sorts without effort; above it the ranking is cut in ranges.
+# Distinct scores one task sorts without effort; more of them are cut in ranges.
 ROWS_PER_RANGE = 2_000_000
 SWEEP_THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
@@ -89,70 +89,92 @@ def score_counts(
     )
 
 
-def _with_range(scores: DataFrame) -> DataFrame:
+def _with_range(scores: DataFrame, distinct: int) -> DataFrame:
     """Column ``rng``: ascending score ranges, each small enough for one task.
 
-    A table of few distinct scores is one range. Otherwise the bounds are taken
-    from the distinct scores themselves, so they hold about equally many of them
-    however uneven the model's scores are, and are literals: a lost task that runs
-    again puts every score in the same range.
+    The bounds are taken from the distinct scores themselves, so the ranges hold
+    about equally many of them however uneven the model's scores are, and are
+    literals: a lost task that runs again puts every score in the same range.
     """
-    distinct = scores.count()
-    if distinct <= ROWS_PER_RANGE:
-        return scores.withColumn("rng", F.lit(0))
     parts = -(-distinct // ROWS_PER_RANGE) * 2
     shares = [i / parts for i in range(1, parts)]
     bounds = sorted(set(scores.approxQuantile("score", shares, 0.2 / parts)))
-    if not bounds:
-        return scores.withColumn("rng", F.lit(0))
     splits = [float("-inf"), *bounds, float("inf")]
     ranges = Bucketizer(splits=splits, inputCol="score", outputCol="rng", handleInvalid="keep")
     return ranges.transform(scores)
 
 
-def cumulative_counts(
-    scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p_phish"
-) -> DataFrame:
-    """Per distinct score: ``pos, neg`` at it, ``pos_above, neg_above`` strictly above
-    it, the totals ``all_pos, all_neg``, and ``next_same``: whether the next lower
-    score has equal counts.
+def _above(scores: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``pos_above, neg_above, following`` within ``by``; ``following`` has the counts
+    of the next lower score."""
+    descending = Window.partitionBy(*by).orderBy(F.col("score").desc())
+    above = descending.rowsBetween(Window.unboundedPreceding, -1)
+    return scores.withColumns(
+        {
+            "pos_above": F.coalesce(F.sum("pos").over(above), F.lit(0)),
+            "neg_above": F.coalesce(F.sum("neg").over(above), F.lit(0)),
+            "following": F.lead(F.struct("pos", "neg")).over(descending),
+        }
+    )
+
+
+def _above_by_range(scores: DataFrame, by: Sequence[str], distinct: int) -> DataFrame:
+    """The same, with totals, for more scores than one task should sort.
 
-    A running total over ranges: each range is summed, the few range sums are
-    accumulated, and rows add what stands above them within their own range.
+    Each range is summed, the few range sums are accumulated, and a row adds what
+    stands above it within its own range.
     """
-    scores = checkpointed(score_counts(scored, by, label, p))
-    ranged = _with_range(scores)
-    group = list(by)
-    descending = Window.partitionBy(*group).orderBy(F.col("rng").desc())
+    ranged = _with_range(scores, distinct)
+    descending = Window.partitionBy(*by).orderBy(F.col("rng").desc())
     before = descending.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*group)
+    whole = Window.partitionBy(*by)
     top = F.max_by(F.struct("pos", "neg"), F.col("score"))
     ranges = (
-        ranged.groupBy(*group, "rng")
+        ranged.groupBy(*by, "rng")
         .agg(F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"), top.alias("range_top"))
         .select(
-            *group, "rng",
+            *by, "rng",
             F.coalesce(F.sum("range_pos").over(before), F.lit(0)).alias("pos_before"),
             F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("neg_before"),
-            F.sum("range_pos").over(everything).alias("all_pos"),
-            F.sum("range_neg").over(everything).alias("all_neg"),
+            F.sum("range_pos").over(whole).alias("all_pos"),
+            F.sum("range_neg").over(whole).alias("all_neg"),
             F.lead("range_top").over(descending).alias("next_top"),
         )
     )
-    inside = Window.partitionBy(*group, "rng").orderBy(F.col("score").desc())
-    above = inside.rowsBetween(Window.unboundedPreceding, -1)
-    following = F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_top"))
     # Not forced to be broadcast: there are few ranges, but ``by`` may have many values.
     return (
-        ranged.join(ranges, [*group, "rng"])
-        .select(
-            *group, "score", "pos", "neg", "all_pos", "all_neg",
-            (F.col("pos_before") + F.coalesce(F.sum("pos").over(above), F.lit(0))).alias("pos_above"),
-            (F.col("neg_before") + F.coalesce(F.sum("neg").over(above), F.lit(0))).alias("neg_above"),
-            following.alias("following"),
+        _above(ranged, [*by, "rng"])
+        .join(ranges, [*by, "rng"])
+        .withColumns(
+            {
+                "pos_above": F.col("pos_before") + F.col("pos_above"),
+                "neg_above": F.col("neg_before") + F.col("neg_above"),
+                "following": F.coalesce("following", "next_top"),
+            }
         )
-        .withColumn("next_same", F.struct("pos", "neg") == F.col("following"))
-        .drop("following")
+    )
+
+
+def cumulative_counts(
+    scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p_phish"
+) -> DataFrame:
+    """Per distinct score: ``pos, neg`` at it, ``pos_above, neg_above`` strictly above
+    it, the totals ``all_pos, all_neg``, and ``next_same``: whether the next lower
+    score has equal counts.
+    """
+    by = list(by)
+    scores = checkpointed(score_counts(scored, by, label, p))
+    distinct = scores.count()
+    if distinct > ROWS_PER_RANGE:
+        running = _above_by_range(scores, by, distinct)
+    else:
+        whole = Window.partitionBy(*by)
+        running = _above(scores, by).withColumns(
+            {"all_pos": F.sum("pos").over(whole), "all_neg": F.sum("neg").over(whole)}
+        )
+    return running.select(
+        *by, "score", "pos", "neg", "all_pos", "all_neg", "pos_above", "neg_above",
+        (F.struct("pos", "neg") == F.col("following")).alias("next_same"),
     )
 
 
@@ -178,10 +200,10 @@ def score_metrics(
     """E1 + E2 in one row per group."""
     rates = binary_metrics(scored, by, label, prediction)
     auc = roc_auc(scored, by, label, p)
-    if not by:
-        # Both sides are one row.
-        return rates.withColumn("k", F.lit(0)).join(auc.withColumn("k", F.lit(0)), "k", "left").drop("k")
-    return rates.join(auc, list(by), "left")
+    # One row per group from either side, so each maximum is over a single value.
+    names = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+    both = rates.unionByName(auc, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.max(name).alias(name) for name in names])
 
 
 def roc_curve(
@@ -192,7 +214,9 @@ def roc_curve(
     Starts at (0, 0) with threshold infinity. A point on the straight line between
     its neighbours is left out: the step to it and the step from it are the same.
     """
-    c = cumulative_counts(scored, by, label, p).filter(~F.coalesce("next_same", F.lit(False)) | (F.col("pos_above") + F.col("neg_above") == 0))
+    is_top = F.col("pos_above") + F.col("neg_above") == 0
+    is_corner = is_top | ~F.coalesce("next_same", F.lit(False))
+    c = cumulative_counts(scored, by, label, p).filter(is_corner)
     point = F.struct(
         F.try_divide((F.col("neg_above") + F.col("neg")).cast("double"), F.col("all_neg")).alias("fpr"),
         F.try_divide((F.col("pos_above") + F.col("pos")).cast("double"), F.col("all_pos")).alias("tpr"),
@@ -203,7 +227,6 @@ def roc_curve(
         F.when(F.col("all_pos") > 0, 0.0).alias("tpr"),
         F.lit(float("inf")).alias("threshold"),
     )
-    is_top = F.col("pos_above") + F.col("neg_above") == 0
     return c.select(
         *by, F.explode(F.when(is_top, F.array(origin, point)).otherwise(F.array(point))).alias("pt")
     ).select(*by, "pt.*")
