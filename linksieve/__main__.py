@@ -16,7 +16,8 @@ def main() -> None:
     parser.add_argument("folder", help="shared folder for tables, models and reports")
     parser.add_argument("paths", nargs="*", help="raw shards, or input and output of score")
     options = parser.parse_args()
-    spark = SparkSession.builder.appName(f"linksieve-{options.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"linksieve-{options.job}")
+    spark = builder.config("spark.ui.enabled", "false").getOrCreate()
     if options.job == "score":
         source, output = options.paths
         score_job(spark, options.folder, spark.read.parquet(source), output)

@@ -47,10 +47,6 @@ def balanced_quota(sizes: dict[int, int], per_class: int, divisor: int = 1) -> i
     return min([per_class, *(sizes.get(label, 0) // divisor for label in (0, 1))])
 
 
-def _first_split_name(segment: Column, names: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), segment + 1)
-
-
 def split_cuts(
     corpus: DataFrame,
     seed: int = SEED,
@@ -86,7 +82,8 @@ def make_splits(
     up) is for validation, with the class ratio kept.
     """
     cuts = split_cuts(corpus, seed, test_per_class, validation_fraction)
-    return corpus.withColumn("split", _first_split_name(cuts.segment(), ("test", "val", "train")))
+    names = F.array(*[F.lit(name) for name in ("test", "val", "train")])
+    return corpus.withColumn("split", F.element_at(names, cuts.segment() + 1))
 
 
 def stratified_sample(corpus: DataFrame, rows: int = TUNING_ROWS, seed: int = SEED) -> DataFrame:
