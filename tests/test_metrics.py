@@ -91,3 +91,12 @@ def test_sweep_matches_single_thresholds(spark, rows):
     for t, row in sweep.items():
         single = M.with_rates(M.outcome_counts(scored(spark, rows, t))).first().asDict()
         assert row.asDict() == pytest.approx({"threshold": t, **single})
+
+
+@pytest.mark.parametrize("per_range", [M.ROWS_PER_RANGE, 5])
+def test_plans_have_no_cross_join(spark, rows, monkeypatch, per_range):
+    monkeypatch.setattr(M, "ROWS_PER_RANGE", per_range)
+    df = scored(spark, rows)
+    for out in (M.score_metrics(df), M.roc_curve(df), M.threshold_sweep(df), M.confusion_matrix(df)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
