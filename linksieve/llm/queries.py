@@ -6,20 +6,90 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksieve.llm import bpe
+from linksieve.llm import (
+    bpe,
+    embedding_dedup,
+    html_extraction,
+    license_scans,
+    minmax_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scans,
+    sharding,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the line-first rules for every document."""
+    return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, top-grade probability and verdict for every document."""
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
+    return minmax_dedup.deduplicate(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op4_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on a bounded-load ring of eight shards."""
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"))
+
+
+def op5_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings by search in a pruned graph."""
+    return embedding_dedup.deduplicate(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and digests."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and token efficiency."""
+    return secret_scans.counts(_table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract(_table(spark, sf_dir, "pages"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' tokens in sequences of 4096."""
+    return packing.digests(_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scans.scan(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_bpe": op6_bpe,
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_quality_classifier,
+        op3_minmax_dedup,
+        op4_ring_shards,
+        op5_graph_dedup,
+        op6_bpe,
+        op7_secret_scan,
+        op8_html_extraction,
+        op9_best_fit_packing,
+        op10_license_scan,
+    )
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle_sql(),
+}
