@@ -127,18 +127,22 @@ class Bpe:
         for token, i in [*vocabulary.items(), *self.special.items()]:
             self.strings[i] = token
         self.separator = " " if declared["decoder"] is None else ""
+        self.byte_symbols = byte_symbols()
         self.pieces = _Remembered(self._encode_piece)
         self.words = _Remembered(self._encode_word)
 
+    def _symbols(self, word: str) -> str:
+        return word if word.isascii() else "".join(map(self.byte_symbols.__getitem__, word.encode()))
+
     def _encode_word(self, symbols: str) -> bytes:
         names = [*symbols[:-1], symbols[-1] + self.suffix]
         ids = [self.vocabulary[s] for s in names if s in self.vocabulary]
         return b"".join([i.to_bytes(4, "little") for i in merge_symbols(ids, self.ranks)])
 
     def _encode_piece(self, piece: str) -> bytes:
-        if "<" not in piece and piece.isascii() and piece.isprintable():
-            # characters that stand for themselves, and split alike under every Unicode version
-            return b"".join([self.words[word] for word in self.pattern.findall(piece.lower())])
+        if "<" not in piece and max(piece) < "\u0100" and piece.isprintable():
+            # composed already, and of the same case and class under every Unicode version
+            return b"".join([self.words[self._symbols(word)] for word in self.pattern.findall(piece.lower())])
         ids = b""
         for part in self.special_split.split(piece) if "<" in piece else [piece]:
             if part in self.special:

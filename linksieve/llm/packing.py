@@ -20,19 +20,22 @@ itself. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import json
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from linksieve.llm.bpe import VOCABULARY, Bpe
+from linksieve.llm.bpe import NOT_SPACE, VOCABULARY, byte_symbols
 from linksieve.llm.texts import column, text_columns, worker_store
 from linksieve.session import checkpointed
 
@@ -42,18 +45,95 @@ CAPACITY = 4096
 END = 1
 
 #: Parts in which the ranks of one length are counted.
-SALTS = 64
+SALTS = 16
 
+#: Words, and pieces between white space, that a generation of an encoder's memory holds.
+REMEMBERED = 120_000
 
-class LibraryBpe(Bpe):
-    """Words are merged by the tokenizers library itself, and remembered."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.model = Tokenizer.from_file(path).model
+class LibraryEncoder:
+    """Ids by the tokenizers library's model, words and pieces between white space remembered.
+
+    All pieces of a batch that are not yet known are cut into words in one go, with line feeds
+    between them, and only words that are new reach the model.
+    """
 
-    def _encode_word(self, symbols: str) -> bytes:
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(symbols)])
+    def __init__(self, path: str):
+        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.normalizer, self.splitter = tokenizer.normalizer, tokenizer.pre_tokenizer
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as file:
+            (pattern,) = (
+                step["pattern"]["Regex"]
+                for step in json.load(file)["pre_tokenizer"]["pretokenizers"]
+                if step["type"] == "Split"
+            )
+        self.pattern = regex.compile(f"{pattern}|\n")
+        self.symbols = byte_symbols()
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
+
+    def _word(self, symbols: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def _learn_words(self, words: set[str]) -> None:
+        for word in words:
+            if word in self.words:
+                continue
+            found = self.older_words.get(word)
+            if found is None:
+                plain = word if word.isascii() else "".join(map(self.symbols.__getitem__, word.encode()))
+                found = self._word(plain)
+            self.words[word] = found
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.pieces) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
+            self.pieces, self.older_pieces = {}, self.pieces
+        if len(self.words) >= REMEMBERED:
+            self.words, self.older_words = {}, self.words
+        plain, unusual = [], []
+        for piece in pieces:
+            if piece in self.pieces:
+                continue
+            if (found := self.older_pieces.get(piece)) is not None:
+                self.pieces[piece] = found
+            elif max(piece) < "\u0100" and piece.isprintable():
+                plain.append(piece)  # composed already, of one case and class under every Unicode version
+            else:
+                unusual.append(piece)
+        found = self.pattern.findall("\n".join([*plain, ""]).lower())
+        self._learn_words(set(found) - {"\n"})
+        at, parts = 0, []
+        for word in found:
+            if word == "\n":
+                self.pieces[plain[at]] = b"".join(parts)
+                at, parts = at + 1, []
+            else:
+                parts.append(self.words[word])
+        for piece in unusual:
+            split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
+            self.pieces[piece] = b"".join([self._word(symbols) for symbols, _ in split])
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        texts = [t or "" for t in texts]
+        odd = [NOT_SPACE.search(t) is not None or any(s in t for s in self.special) for t in texts]
+        split = [[] if o else t.split() for t, o in zip(texts, odd)]
+        gc.disable()  # the model's many small results hold no cycles, and looking for them takes half of the time
+        try:
+            self._learn(set().union(*split))
+        finally:
+            gc.enable()
+        known = self.pieces
+        return [
+            self._whole(t) if o else b"".join(map(known.__getitem__, pieces)) for t, o, pieces in zip(texts, odd, split)
+        ]
 
 
 def token_pieces(
@@ -73,11 +153,11 @@ def token_pieces(
         store = worker_store()
         name = ("library", vocabulary)
         if name not in store:
-            store[name] = LibraryBpe(vocabulary)
-        bpe, end, most = store[name], END.to_bytes(4, "little"), 4 * capacity
+            store[name] = LibraryEncoder(vocabulary)
+        encoder, end, most = store[name], END.to_bytes(4, "little"), 4 * capacity
 
         def compute(texts):
-            whole = [bpe.encode(t) + end for t in texts]
+            whole = [ids + end for ids in encoder.encode(texts)]
             return [[[ids[i : i + most] for i in range(0, len(ids), most)] for ids in whole]]
 
         return compute
