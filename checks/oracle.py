@@ -207,9 +207,9 @@ CORPUS_PARTS = (*CLEAN, *parts_cte("corpus", "url, label"))
 DOMAINS = (*CORPUS_PARTS, ("domains", "SELECT url, label, registered AS domain FROM parts"))
 
 SCORE = """
-SELECT {keep}label, p_phish, CASE WHEN p_phish >= 0.25 THEN 1 ELSE 0 END AS prediction FROM (
-  SELECT *, (least(num_suspicious_keywords, 4) * 24 + has_suspicious_tld * 32 + brand_domain_mismatch * 24
-    + is_free_hosting * 40 + has_ip_host * 24 + least(url_length, 39)) / 256 AS p_phish FROM feats)
+SELECT {keep}label, p_phish, CASE WHEN p_phish >= 0.125 THEN 1 ELSE 0 END AS prediction FROM (
+  SELECT *, (num_suspicious_keywords * 24 + has_suspicious_tld * 32 + brand_domain_mismatch * 24
+    + is_free_hosting * 40 + has_ip_host * 24 + url_length) / 512 AS p_phish FROM feats)
 """
 SCORED = (*CORPUS_PARTS, *feats_cte(), ("scored", SCORE.format(keep="url, ")))
 RATES = """
@@ -339,6 +339,57 @@ CURVE_QUOTAS = " UNION ALL ".join(
 
 CORPUS_SELECT = with_ctes("SELECT url, CAST(label AS TINYINT) AS label FROM corpus", *CLEAN)
 
+SCORED_MANY = (
+    RAW_MANY, CANON, PAIRS, CORPUS,
+    ("scored", "SELECT label, (length(url) * 65536 + ('0x' || substr(md5(url), 1, 4))::INT) / 16777216 AS p_phish "
+               "FROM corpus"),
+)
+ROC_POINTS = """
+SELECT 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr, 'inf'::DOUBLE AS threshold
+UNION ALL
+SELECT round(fps / n0, 6), round(tps / n1, 6), round(p_phish, 6) FROM curve
+WHERE i = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+"""
+MODELS = "(SELECT unnest(['random_forest', 'boosted_trees']) AS model)"
+FAMILY_NAMES = " UNION ALL ".join(
+    f"SELECT '{family}' AS family, unnest({words(names)}) AS feature" for family, names in FEATURE_FAMILIES.items()
+)
+# How often each feature fires, on the corpus and on the pages' addresses.
+FIRES = "SELECT 'corpus' AS model, * FROM ({corpus}) UNION ALL SELECT 'pages', * FROM ({pages})"
+CONFIGS = (
+    ("all_features", 47), ("only_lexical", 20), ("only_structural", 13), ("only_suspicion", 14),
+    ("without_lexical", 27), ("without_structural", 34), ("without_suspicion", 33),
+)
+N_TRAIN = "(SELECT count(*) FROM split WHERE split = 'train')"
+FAMILY_STUDY = f"""
+SELECT 'feature_group' AS study, config, model, n_features::INT AS n_features, {N_TRAIN} AS train_rows
+FROM (VALUES {", ".join(map(str, CONFIGS))}) c(config, n_features), {MODELS}
+"""
+SIZE_STUDY = f"""
+SELECT 'training_size' AS study, pct || 'pct' AS config, model, 47 AS n_features,
+  CAST(floor((pct / 100.0)::DOUBLE * {N_TRAIN}) AS BIGINT) AS train_rows
+FROM (SELECT unnest([10, 25, 50, 100]) AS pct), {MODELS}
+"""
+STRATEGY_STUDY = f"""
+SELECT 'split_strategy' AS study, 'domain_disjoint' AS config, model, 47 AS n_features,
+  (SELECT count(*) FROM keyed WHERE domain NOT IN (SELECT domain FROM held)) AS train_rows FROM {MODELS}
+"""
+KEPT = "true AS rates_ok, true AS timed"
+
+
+def fires_ctes() -> tuple[tuple[str, str], ...]:
+    """CTE ``fires``: model, feature, importance."""
+    share = "avg(CASE WHEN {n} <> 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS importance"
+    by_source = {}
+    for source, keys in (("corpus", "url, label"), ("pages", "page_id")):
+        relation = "corpus" if source == "corpus" else "(SELECT page_id, url FROM pages)"
+        inner = with_ctes(
+            per_feature(share), *parts_cte(relation, keys), RUNS, ("feats", features_sql(keys))
+        )
+        by_source[source] = inner
+    return (*CLEAN, ("fires", FIRES.format(**by_source)))
+
+
 ORACLES: dict[str, str] = {
     "shards": with_ctes("SELECT url, CAST(label AS TINYINT) AS label FROM raw", RAW),
     "canonical_steps": with_ctes(
@@ -499,4 +550,67 @@ ORACLES: dict[str, str] = {
         """,
         *SPLIT, *parts_cte("corpus", "url"),
     ),
+    "roc_auc_many": with_ctes(
+        f"SELECT {AUC} AS roc_auc FROM ({ranked('')}) GROUP BY n1, n0", *SCORED_MANY
+    ),
+    "roc_curve_many": with_ctes(ROC_POINTS, *SCORED_MANY, ("curve", CURVE)),
+    "importance_pivot": with_ctes(
+        """
+        SELECT feature, round(max(importance) FILTER (WHERE model = 'corpus'), 6) AS corpus,
+          round(max(importance) FILTER (WHERE model = 'pages'), 6) AS pages
+        FROM fires GROUP BY feature
+        """,
+        *fires_ctes(),
+    ),
+    "importance_top": with_ctes(
+        """
+        SELECT model, feature, round(importance, 6) AS importance, CAST(place AS INTEGER) AS place
+        FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS place FROM fires)
+        WHERE place <= 20
+        """,
+        *fires_ctes(),
+    ),
+    "family_fires": with_ctes(
+        f"""
+        SELECT model, family, round(sum(importance), 6) AS share,
+          round(sum(CASE WHEN place <= 3 THEN importance ELSE 0 END), 6) AS top_share
+        FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS place FROM fires)
+        JOIN ({FAMILY_NAMES}) USING (feature) GROUP BY model, family
+        """,
+        *fires_ctes(),
+    ),
+    # What is known of a fit beforehand.
+    "tuning": "SELECT CAST(range AS INTEGER) AS draw, true AS in_space, true AS f1_ok, true AS best_is_best FROM range(3)",
+    "training_summary": with_ctes(
+        f"""
+        SELECT model, {", ".join(f"(SELECT count(*) FROM split WHERE split = '{s}') AS n_{s}" for s in ("train", "val", "test"))},
+          47::BIGINT AS n_features, true AS reported_is_fitted, true AS rates_ok, true AS better_than_chance
+        FROM {MODELS}
+        """,
+        *SPLIT,
+    ),
+    "scored_pages": with_ctes(
+        "SELECT page_id, coalesce(canonical, '') AS canonical_url, true AS p_ok, true AS prediction_ok FROM canon",
+        ("raw", "SELECT page_id, url FROM pages"), CANON,
+    ),
+    "evaluation": with_ctes(
+        f"""
+        SELECT model, (SELECT count(*) FROM split WHERE split = 'test') AS tested,
+          (SELECT count(*) FROM split WHERE split = 'test' AND label = 1) AS positives, true AS starts_at_0,
+          true AS ends_at_1, true AS rates_ok, true AS better_than_chance FROM {MODELS}
+        """,
+        *SPLIT,
+    ),
+    "importances": f"SELECT feature, true AS weights_ok, true AS sums_ok FROM ({FAMILY_NAMES})",
+    "strongest_features": f"SELECT model, CAST(range AS INTEGER) AS place, true AS falling FROM {MODELS}, range(1, 21)",
+    "family_importance": (
+        f"SELECT model, family, true AS sums_ok, true AS top_ok FROM {MODELS}, (SELECT DISTINCT family FROM ({FAMILY_NAMES}))"
+    ),
+    "family_ablation": with_ctes(f"SELECT *, {KEPT} FROM ({FAMILY_STUDY})", *SPLIT),
+    "learning_curve": with_ctes(f"SELECT model, train_rows, true AS gains_ok FROM ({SIZE_STUDY})", *SPLIT),
+    "split_strategy": f"SELECT model, true AS gap_ok, true AS f1_ok FROM {MODELS}",
+    "ablation": with_ctes(
+        f"SELECT *, {KEPT} FROM ({FAMILY_STUDY} UNION ALL {SIZE_STUDY} UNION ALL {STRATEGY_STUDY})",
+        *SPLIT, *(c for c in DISJOINT if c not in CLEAN and c[0] in ("keyed", "held")),
+    ),
 }

@@ -49,23 +49,3 @@ def words_found(text: str, words: Iterable[str]) -> str:
 
 def any_word_found(text: str, words: Iterable[str]) -> str:
     return "(" + " OR ".join(["false", *[f"contains({text}, {quoted(w)})" for w in words]]) + ")"
-
-
-def shannon_bits(text: str) -> str:
-    r"""Shannon entropy over the characters, 0 for an empty string.
-
-    Sorting the characters turns each distinct one into a run, so one pattern
-    scan yields all counts; log2(n) - sum(k * log2 k) / n needs no division per
-    character. Characters seen once add nothing and are not extracted at all.
-    """
-    sorted_text = f"array_join(sort_array(split({text}, '')), '')"
-    runs = rf"regexp_extract_all({sorted_text}, r'(?s)(.)\1+', 0)"
-    weighted = f"aggregate({runs}, 0D, (sum, run) -> sum + length(run) * log2(length(run)))"
-    n = f"length({text})"
-    return f"if({n} > 0, log2({n}) - {weighted} / {n}, 0D)"
-
-
-def longest_run(text: str) -> str:
-    r"""Longest run of one repeated character; line feeds do not count."""
-    repeats = longest(rf"regexp_extract_all({text}, r'([^\n])\1+', 0)")
-    return f"greatest({repeats}, int(length(replace({text}, '\\n', '')) > 0))"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksieve.functions.lexicons import DEFAULT_LEXICONS, Lexicons
+from linksieve.functions.measures import MEASURES, character_measures
 from linksieve.functions.strings import (
     any_word_found,
     column,
@@ -16,9 +17,7 @@ from linksieve.functions.strings import (
     count_text,
     in_list,
     longest,
-    longest_run,
     quoted,
-    shannon_bits,
     words_found,
 )
 from linksieve.functions.url_parts import with_url_parts
@@ -136,9 +135,7 @@ def _suspicion(lex: Lexicons) -> dict[str, str]:
             f"NOT {in_list(first_label, lex.brands)} AND {any_word_found('__lower_text', lex.brands)}"
         ),
         "digit_letter_ratio": "if(__letters > 0, __digits / __letters, double(__digits > 0))",
-        "domain_entropy": shannon_bits("__registered"),
-        "url_entropy": shannon_bits("__text"),
-        "longest_consecutive_run": longest_run("__text"),
+        **{name: f"__measured.{name}" for name in MEASURES},
         "has_punycode": "contains(__host, 'xn--')",
         "vowel_ratio_domain": (
             f"if(__registered_letters > 0, {count_chars('__registered', '[aeiou]')} / __registered_letters, 0D)"
@@ -154,6 +151,14 @@ def _suspicion(lex: Lexicons) -> dict[str, str]:
     }
 
 
+def require_free(df: DataFrame, names: Iterable[str]) -> None:
+    """Raise if ``df`` has a column that is about to be added, in whatever case."""
+    have = {c.lower() for c in df.columns}
+    taken = sorted(n for n in names if n.lower() in have)
+    if taken:
+        raise ValueError(f"the table already has columns {taken}; rename or drop them")
+
+
 def with_features(
     df: DataFrame,
     url: str = "url",
@@ -162,17 +167,20 @@ def with_features(
 ) -> DataFrame:
     """FX. ``df`` plus one float column per feature, computed from column ``url``.
 
-    Map only: no shuffle, no Python. A null URL gives the row of an empty string
+    Map only: no shuffle, and Python only for ``MEASURES``, in Arrow batches. A null URL gives the row of an empty string
     and no value is ever null, NaN or infinite. Columns that are not asked for,
     and the URL parts only they need, are pruned by the optimizer.
 
-    The parts run in whole-stage code. The feature columns end up in one
-    projection that holds array measures, which Spark compiles outside of it, in
-    many small methods; as one whole-stage method the same columns would be too
-    long for the JIT compiler.
+    The parts run in whole-stage code. All feature columns as one whole-stage method
+    would be too long for the JIT compiler; ``spark.sql.codegen.hugeMethodLimit`` at
+    8000 (see ``session``) makes Spark split such a projection into small methods.
     """
+    features = list(features)
+    require_free(df, features)
     out = with_url_parts(df, url, _PREFIX, lexicons.suffixes, keep_text=True)
     out = out.withColumns({_PREFIX + name: F.expr(sql) for name, sql in _counts().items()})
+    if set(MEASURES) & set(features):
+        out = out.withColumn(_PREFIX + "measured", character_measures("__text", "__registered"))
     measures = {**_lexical(), **_structural(lexicons), **_suspicion(lexicons)}
     return out.selectExpr(
         *[column(name) for name in df.columns],

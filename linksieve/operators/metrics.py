@@ -1,21 +1,20 @@
 """Binary classification metrics (E1-E4, M8); label 1 is the positive class.
 
 Input is any scored table. ``by`` names columns (a model, a configuration) to
-compute a separate result for each of their combinations.
+compute a separate result for each of their combinations. A row whose score is null
+or NaN has no place in a ranking: the ranking metrics (E2, E4) leave it out, totals
+included; the others count it by its prediction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linksieve.session import checkpointed
 
-# Distinct scores one task sorts without effort; more of them are cut in ranges.
-ROWS_PER_RANGE = 2_000_000
 SWEEP_THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
 
@@ -40,6 +39,33 @@ def outcome_counts(
     )
 
 
+def counted_scores(
+    scored: DataFrame,
+    by: Sequence[str] = (),
+    label: str = "label",
+    prediction: str = "prediction",
+    p: str = "p_phish",
+) -> DataFrame:
+    """``score, prediction, pos, neg``: all that any metric needs, from one pass over the rows."""
+    counts = scored.groupBy(*by, F.col(p).alias("score"), F.col(prediction).alias("prediction")).agg(
+        _count(F.col(label) == 1).alias("pos"), _count(F.col(label) != 1).alias("neg")
+    )
+    return checkpointed(counts)
+
+
+def outcomes_of(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``tn, fp, fn, tp`` from :func:`counted_scores`."""
+    hit = F.col("prediction") == 1
+
+    def total(condition: Column, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column)).otherwise(0)), F.lit(0)).cast("long")
+
+    return counted.groupBy(*by).agg(
+        total(~hit, "neg").alias("tn"), total(hit, "neg").alias("fp"),
+        total(~hit, "pos").alias("fn"), total(hit, "pos").alias("tp"),
+    )
+
+
 def with_rates(counts: DataFrame) -> DataFrame:
     """Accuracy, precision, recall and F1 from outcome counts."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
@@ -65,7 +91,11 @@ def confusion_matrix(
     scored: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """E3. The four cells as rows, with their share of all rows in percent."""
-    counts = outcome_counts(scored, by, label, prediction)
+    return confusion_of(outcome_counts(scored, by, label, prediction), by)
+
+
+def confusion_of(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """E3 from outcome counts."""
     total = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     cells = F.explode(
         F.array(
@@ -89,42 +119,25 @@ def score_counts(
     )
 
 
-def _with_range(scores: DataFrame, distinct: int) -> DataFrame:
-    """Column ``rng``: ascending score ranges, each small enough for one task.
-
-    The bounds are taken from the distinct scores themselves, so the ranges hold
-    about equally many of them however uneven the model's scores are, and are
-    literals: a lost task that runs again puts every score in the same range.
-    """
-    parts = -(-distinct // ROWS_PER_RANGE) * 2
-    shares = [i / parts for i in range(1, parts)]
-    bounds = sorted(set(scores.approxQuantile("score", shares, 0.2 / parts)))
-    splits = [float("-inf"), *bounds, float("inf")]
-    ranges = Bucketizer(splits=splits, inputCol="score", outputCol="rng", handleInvalid="keep")
-    return ranges.transform(scores)
-
-
-def _above(scores: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``pos_above, neg_above, following`` within ``by``; ``following`` has the counts
-    of the next lower score."""
-    descending = Window.partitionBy(*by).orderBy(F.col("score").desc())
-    above = descending.rowsBetween(Window.unboundedPreceding, -1)
-    return scores.withColumns(
-        {
-            "pos_above": F.coalesce(F.sum("pos").over(above), F.lit(0)),
-            "neg_above": F.coalesce(F.sum("neg").over(above), F.lit(0)),
-            "following": F.lead(F.struct("pos", "neg")).over(descending),
-        }
-    )
+def rankable(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from :func:`counted_scores`."""
+    return counted.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _above_by_range(scores: DataFrame, by: Sequence[str], distinct: int) -> DataFrame:
-    """The same, with totals, for more scores than one task should sort.
+def accumulate(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per distinct score: ``pos, neg`` at it, ``pos_above, neg_above`` strictly above
+    it, the totals ``all_pos, all_neg``, and ``next_same``: whether the next lower
+    score has equal counts.
 
-    Each range is summed, the few range sums are accumulated, and a row adds what
-    stands above it within its own range.
+    The scores are dealt out in ascending ranges, one per task, and stored, so a range
+    is the number of its task. Each range is summed, the few sums per group are
+    accumulated, and a row adds what stands above it within its own range.
     """
-    ranged = _with_range(scores, distinct)
+    by = list(by)
+    # stored before it is filtered: pushed down, the condition would repeat a whole score expression
+    ranked = checkpointed(scores).filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    ranged = ranked.repartitionByRange(*by, "score").withColumn("rng", F.spark_partition_id())
+    ranged = checkpointed(ranged)
     descending = Window.partitionBy(*by).orderBy(F.col("rng").desc())
     before = descending.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -133,7 +146,7 @@ def _above_by_range(scores: DataFrame, by: Sequence[str], distinct: int) -> Data
         ranged.groupBy(*by, "rng")
         .agg(F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"), top.alias("range_top"))
         .select(
-            *by, "rng",
+            *[F.col(c).alias(f"range_{c}") for c in by], F.col("rng").alias("range_rng"),
             F.coalesce(F.sum("range_pos").over(before), F.lit(0)).alias("pos_before"),
             F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("neg_before"),
             F.sum("range_pos").over(whole).alias("all_pos"),
@@ -141,53 +154,49 @@ def _above_by_range(scores: DataFrame, by: Sequence[str], distinct: int) -> Data
             F.lead("range_top").over(descending).alias("next_top"),
         )
     )
+    same_range = F.col("rng") == F.col("range_rng")
+    for c in by:
+        same_range &= F.col(c).eqNullSafe(F.col(f"range_{c}"))
+    within = Window.partitionBy(*by, "rng").orderBy(F.col("score").desc())
+    above = within.rowsBetween(Window.unboundedPreceding, -1)
     # Not forced to be broadcast: there are few ranges, but ``by`` may have many values.
     return (
-        _above(ranged, [*by, "rng"])
-        .join(ranges, [*by, "rng"])
-        .withColumns(
+        ranged.withColumns(
             {
-                "pos_above": F.col("pos_before") + F.col("pos_above"),
-                "neg_above": F.col("neg_before") + F.col("neg_above"),
-                "following": F.coalesce("following", "next_top"),
+                "pos_above": F.coalesce(F.sum("pos").over(above), F.lit(0)),
+                "neg_above": F.coalesce(F.sum("neg").over(above), F.lit(0)),
+                "following": F.lead(F.struct("pos", "neg")).over(within),
             }
         )
+        .join(ranges, same_range)
+        .select(
+            *by, "score", "pos", "neg", "all_pos", "all_neg",
+            (F.col("pos_before") + F.col("pos_above")).alias("pos_above"),
+            (F.col("neg_before") + F.col("neg_above")).alias("neg_above"),
+            (F.struct("pos", "neg") == F.coalesce("following", "next_top")).alias("next_same"),
+        )
     )
 
 
 def cumulative_counts(
     scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p_phish"
 ) -> DataFrame:
-    """Per distinct score: ``pos, neg`` at it, ``pos_above, neg_above`` strictly above
-    it, the totals ``all_pos, all_neg``, and ``next_same``: whether the next lower
-    score has equal counts.
-    """
-    by = list(by)
-    scores = checkpointed(score_counts(scored, by, label, p))
-    distinct = scores.count()
-    if distinct > ROWS_PER_RANGE:
-        running = _above_by_range(scores, by, distinct)
-    else:
-        whole = Window.partitionBy(*by)
-        running = _above(scores, by).withColumns(
-            {"all_pos": F.sum("pos").over(whole), "all_neg": F.sum("neg").over(whole)}
-        )
-    return running.select(
-        *by, "score", "pos", "neg", "all_pos", "all_neg", "pos_above", "neg_above",
-        (F.struct("pos", "neg") == F.col("following")).alias("next_same"),
-    )
+    """:func:`accumulate` over the scores of a table."""
+    return accumulate(score_counts(scored, by, label, p), by)
+
+
+def area(cumulative: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """E2 from cumulative counts."""
+    wins = F.col("neg").cast("double") * (F.col("pos_above") + F.col("pos") / 2)
+    pairs = F.first("all_pos").cast("double") * F.first("all_neg")
+    return cumulative.groupBy(*by).agg(F.when(pairs > 0, F.sum(wins) / pairs).alias("roc_auc"))
 
 
 def roc_auc(
     scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p_phish"
 ) -> DataFrame:
     """E2. Exact area under the ROC curve, ties counted half; null with one class only."""
-    c = cumulative_counts(scored, by, label, p)
-    wins = F.col("neg").cast("double") * (F.col("pos_above") + F.col("pos") / 2)
-    pairs = F.first("all_pos").cast("double") * F.first("all_neg")
-    return c.groupBy(*by).agg(
-        F.when(pairs > 0, F.sum(wins) / pairs).alias("roc_auc")
-    )
+    return area(cumulative_counts(scored, by, label, p), by)
 
 
 def score_metrics(
@@ -197,11 +206,16 @@ def score_metrics(
     prediction: str = "prediction",
     p: str = "p_phish",
 ) -> DataFrame:
-    """E1 + E2 in one row per group."""
-    rates = binary_metrics(scored, by, label, prediction)
-    auc = roc_auc(scored, by, label, p)
-    # One row per group from either side, so each maximum is over a single value.
+    """E1 + E2 in one row per group; the scored rows are computed once."""
+    return metrics_of(counted_scores(scored, by, label, prediction, p), by)
+
+
+def metrics_of(counted: DataFrame, by: Sequence[str] = (), cumulative: DataFrame | None = None) -> DataFrame:
+    """E1 + E2 from :func:`counted_scores`."""
     names = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+    rates = with_rates(outcomes_of(counted, by)).select(*by, *names[:-1])
+    auc = area(accumulate(rankable(counted, by), by) if cumulative is None else cumulative, by)
+    # One row per group from either side, so each maximum is over a single value.
     both = rates.unionByName(auc, allowMissingColumns=True)
     return both.groupBy(*by).agg(*[F.max(name).alias(name) for name in names])
 
@@ -214,9 +228,14 @@ def roc_curve(
     Starts at (0, 0) with threshold infinity. A point on the straight line between
     its neighbours is left out: the step to it and the step from it are the same.
     """
+    return corners(cumulative_counts(scored, by, label, p), by)
+
+
+def corners(cumulative: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """E4 from cumulative counts."""
     is_top = F.col("pos_above") + F.col("neg_above") == 0
     is_corner = is_top | ~F.coalesce("next_same", F.lit(False))
-    c = cumulative_counts(scored, by, label, p).filter(is_corner)
+    c = cumulative.filter(is_corner)
     point = F.struct(
         F.try_divide((F.col("neg_above") + F.col("neg")).cast("double"), F.col("all_neg")).alias("fpr"),
         F.try_divide((F.col("pos_above") + F.col("pos")).cast("double"), F.col("all_pos")).alias("tpr"),

@@ -11,7 +11,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 
@@ -44,15 +44,15 @@ BOOSTED_DEFAULTS = {
 # Node statistics of more nodes at once mean fewer passes over the rows.
 _TREE_GROWTH = {"checkpointInterval": 10, "maxMemoryInMB": 1024}
 
-# Fully grown trees have a leaf per few rows, and a model travels to every
-# executor. So leaves must hold more rows the larger the table is; this has no
-# effect up to a million rows.
-LEAVES_PER_TREE = 1 << 20
-_LEAF_SIZE = {"random_forest": "min_samples_leaf", "boosted_trees": "min_child_weight"}
+# The model's working columns; private names, so that no column of a user's table is hit.
+FEATURES, RAW, PROBABILITY, PREDICTION = "__features", "__raw", "__probability", "__prediction"
+_COLUMNS = {"featuresCol": FEATURES, "predictionCol": PREDICTION}
 
 
 def _depth(value: int | None) -> int:
-    return DEEPEST if value is None else min(int(value), DEEPEST)
+    if value is not None and value > DEEPEST:
+        raise ValueError(f"max_depth {value}: trees grow to {DEEPEST} levels at most; None means that")
+    return DEEPEST if value is None else int(value)
 
 
 def forest_params(params: dict) -> dict:
@@ -90,7 +90,8 @@ def boosted_params(params: dict) -> dict:
 
 
 def _pipeline(classifier, features: Sequence[str]) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    classifier.setRawPredictionCol(RAW).setProbabilityCol(PROBABILITY)
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
     return Pipeline(stages=[assembler, classifier])
 
 
@@ -107,14 +108,14 @@ def build_random_forest(features: Sequence[str] = FEATURE_NAMES, **overrides) ->
     # Many deep trees: node ids are kept with the rows (and checkpointed), so that
     # executors need no copy of the growing trees. Boosting grows one small tree at
     # a time, where shipping it is faster.
-    forest = RandomForestClassifier(maxBins=128, cacheNodeIds=True, **_TREE_GROWTH, **params)
+    forest = RandomForestClassifier(maxBins=128, cacheNodeIds=True, **_COLUMNS, **_TREE_GROWTH, **params)
     return _pipeline(forest, features)
 
 
 def build_boosted_trees(features: Sequence[str] = FEATURE_NAMES, **overrides) -> Pipeline:
     """M2. Gradient-boosted trees on histogram splits with log loss."""
     params = boosted_params(_merged(BOOSTED_DEFAULTS, overrides))
-    trees = GBTClassifier(maxBins=256, lossType="logistic", **_TREE_GROWTH, **params)
+    trees = GBTClassifier(maxBins=256, lossType="logistic", **_COLUMNS, **_TREE_GROWTH, **params)
     return _pipeline(trees, features)
 
 
@@ -142,11 +143,11 @@ def _one_of(*values) -> Callable[[random.Random], object]:
     return lambda draw: draw.choice(values)
 
 
-# The ranges a search draws from.
+# The ranges a search draws from; depths of 30 and more are one and the same here.
 SEARCH_SPACES: dict[str, dict[str, Callable[[random.Random], object]]] = {
     "random_forest": {
         "n_estimators": _whole(150, 400),
-        "max_depth": _one_of(None, 20, 30, 40),
+        "max_depth": _one_of(None, 20),
         "min_samples_split": _whole(2, 12),
         "min_samples_leaf": _whole(1, 5),
         "max_features": _one_of("sqrt", "log2", 0.4),
@@ -172,12 +173,11 @@ def draw_params(name: str, draws: int, seed: int = SEED, fixed: dict | None = No
     ]
 
 
-def bounded(name: str, params: dict, rows: int) -> dict:
-    """``params`` with leaves large enough that a tree on ``rows`` rows has at most
-    ``LEAVES_PER_TREE`` of them, so the size of a model does not follow the table."""
-    key = _LEAF_SIZE[name]
-    smallest = params.get(key, _DEFAULTS[name][key])
-    return {**params, key: max(smallest, -(-rows // LEAVES_PER_TREE))}
+def fitted_as(model: PipelineModel, name: str, params: dict) -> bool:
+    """Whether ``model`` was fitted with exactly these parameters (defaults for the rest)."""
+    fitted = model.stages[-1]
+    wanted = _TO_SPARK[name](_merged(_DEFAULTS[name], params))
+    return all(fitted.getOrDefault(key) == value for key, value in wanted.items())
 
 
 def param_map(name: str, pipeline: Pipeline, params: dict) -> dict:

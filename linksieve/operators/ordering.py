@@ -30,8 +30,6 @@ DIGEST_LENGTH = 32
 PREFIX_STEP = 4
 # Rows of one prefix that one task may rank.
 ROWS_PER_PREFIX = 500_000
-# A class label, not a key: its values and cuts travel through the driver.
-MOST_LABELS = 256
 
 
 def hash_key(key: Column, salt: str) -> Column:
@@ -56,14 +54,16 @@ class Cuts:
     def segment(self) -> Column:
         """Index of the segment a row falls in: the number of cuts it lies beyond."""
         place = F.concat(hash_key(F.col(self.key), self.salt), F.col(self.key))
-        out = F.lit(None).cast("int")
-        for label, cuts in self.per_label.items():
-            index = F.lit(0)
-            for cut in cuts:
-                index = index + (F.lit(1) if cut is None else (place > cut).cast("int"))
-            is_label = F.lit(True) if self.label is None else F.col(self.label) == label
-            out = F.when(is_label, index).otherwise(out)
-        return out
+        # every place lies beyond the empty string, which stands for rank 0
+        cuts = {k: F.array(*[F.lit(c or "") for c in v]).cast("array<string>") for k, v in self.per_label.items()}
+        if not cuts:
+            return F.lit(None).cast("int")
+        if self.label is None:
+            own = cuts[0]
+        else:
+            pairs = [x for k, v in cuts.items() for x in (F.lit(k), v)]
+            own = F.try_element_at(F.create_map(*pairs), F.col(self.label).cast("int"))
+        return F.when(own.isNotNull(), F.size(F.filter(own, lambda cut: place > cut)))
 
 
 def _prefix_counts(rows: DataFrame, within: DataFrame | None, digits: int) -> DataFrame:
@@ -85,25 +85,23 @@ def find_cuts(
 ) -> Cuts:
     """Locate the rows at given ranks of the hash order, per label.
 
-    ``key`` must be unique in ``df``. ``ranks`` gets the number of rows per label
-    and returns ascending ranks per label. ``label`` must have few values, as a
-    class label has; without it the whole table is one group (label 0).
+    ``key`` must be unique in ``df``: a key that repeats across a cut raises, as no
+    cut then has the asked size. ``ranks`` gets the number of rows per label and
+    returns ascending ranks per label. Rows without a label are in no segment.
+    ``label`` is a class label; without it the whole table is one group (label 0).
 
-    The only rows that reach the driver are sizes per label and one row per cut;
-    the only ones broadcast are the cuts.
+    What reaches the driver is a size per label and a row per cut; what is broadcast
+    are the cuts.
     """
     spark = df.sparkSession
     rows = df.select(
         (F.lit(0) if label is None else F.col(label).cast("int")).alias("label"),
         F.col(key).alias("key"),
         hash_key(F.col(key), salt).alias("digest"),
-    )
+    ).filter("label IS NOT NULL")
     digits = PREFIX_STEP
     counts = checkpointed(_prefix_counts(rows, None, digits))
-    per_label = counts.groupBy("label").agg(F.sum("n").alias("n"))
-    counted = per_label.limit(MOST_LABELS + 1).collect()
-    if len(counted) > MOST_LABELS:
-        raise ValueError(f"column {label} has more than {MOST_LABELS} values")
+    counted = counts.groupBy("label").agg(F.sum("n").alias("n")).collect()
     sizes = {r["label"]: r["n"] for r in sorted(counted, key=lambda r: r["label"])}
 
     wanted = {lab: [min(k, sizes[lab]) for k in ks] for lab, ks in ranks(sizes).items()}
@@ -133,10 +131,13 @@ def find_cuts(
             rows.withColumn("outer", F.substring("digest", 1, digits))
             .join(F.broadcast(within), ["label", "outer"], "left_semi")
             .withColumn("nth", F.row_number().over(ranked))
+            .withColumn("again", F.coalesce(F.lead("key").over(ranked) == F.col("key"), F.lit(False)))
             .join(F.broadcast(chosen), ["label", "outer", "nth"])
-            .select("label", "rank", F.concat("digest", "key").alias("cut"))
+            .select("label", "rank", F.concat("digest", "key").alias("cut"), "again")
             .collect()
         )
+        if any(r["again"] for r in found):
+            raise ValueError(f"column {key} repeats values; exact sizes need one row per value")
         break
     at = {(r["label"], r["rank"]): r["cut"] for r in found}
     cuts = {lab: [at[lab, k] if k > 0 else None for k in ks] for lab, ks in wanted.items()}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from linksieve.functions.canonical import canonicalize
 from linksieve.functions.lexicons import DEFAULT_LEXICONS, Lexicons
-from linksieve.operators.features import with_features
+from linksieve.operators.features import require_free, with_features
+from linksieve.operators.models import FEATURES, PREDICTION, PROBABILITY, RAW
 
 THRESHOLD = 0.5
 
@@ -22,6 +23,7 @@ def featurize(
     Canonicalises first: a raw ``https://`` would set features no training row had.
     The canonical URL is added as ``canonical_url``.
     """
+    require_free(df, ["canonical_url"])
     canonical = F.coalesce(canonicalize(F.col(f"`{url}`")), F.lit(""))
     return with_features(df.withColumn("canonical_url", canonical), "canonical_url", lexicons=lexicons)
 
@@ -32,10 +34,11 @@ def score_features(model: PipelineModel, features: DataFrame, threshold: float =
     A freshly fitted forest would take its training summary, and the session that
     is in it, along to every task. Its copy has none.
     """
-    p = F.element_at(vector_to_array("probability"), 2)
+    require_free(features, ["p_phish", "prediction"])
+    p = F.element_at(vector_to_array(PROBABILITY), 2)
     scored = model.copy().transform(features).withColumn("p_phish", p)
     return scored.withColumn("prediction", (F.col("p_phish") >= threshold).cast("int")).drop(
-        "features", "rawPrediction", "probability"
+        FEATURES, RAW, PROBABILITY, PREDICTION
     )
 
 

@@ -82,8 +82,10 @@ def make_splits(
     up) is for validation, with the class ratio kept.
     """
     cuts = split_cuts(corpus, seed, test_per_class, validation_fraction)
-    names = F.array(*[F.lit(name) for name in ("test", "val", "train")])
-    return corpus.withColumn("split", F.element_at(names, cuts.segment() + 1))
+    segment = cuts.segment()
+    return corpus.withColumn(
+        "split", F.when(segment == 0, "test").when(segment == 1, "val").when(segment == 2, "train")
+    )
 
 
 def stratified_sample(corpus: DataFrame, rows: int = TUNING_ROWS, seed: int = SEED) -> DataFrame:

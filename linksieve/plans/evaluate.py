@@ -9,7 +9,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linksieve.operators.metrics import confusion_matrix, roc_curve, score_metrics
+from linksieve.operators.metrics import (
+    accumulate,
+    confusion_of,
+    corners,
+    counted_scores,
+    metrics_of,
+    outcomes_of,
+    rankable,
+)
 from linksieve.operators.scoring import feature_importance, importance_table, score_features
 from linksieve.session import checkpointed
 from linksieve.sources.reports import IMPORTANCE_DIGITS, METRIC_DIGITS, rounded, write_report
@@ -36,12 +44,13 @@ def scored_by_model(models: dict[str, PipelineModel], test: DataFrame) -> DataFr
 def evaluate_models(models: dict[str, PipelineModel], table: DataFrame) -> Evaluation:
     """E7. Metrics, confusion cells, curves and importances of all models.
 
-    The test rows are scored once per model and the scores kept, as each result
-    reads them again.
+    The test rows are scored once per model and counted per score; every result
+    follows from the counts.
     """
     spark = table.sparkSession
     test = table.filter("split = 'test'")
-    scored = checkpointed(scored_by_model(models, test))
+    counted = counted_scores(scored_by_model(models, test), ["model"])
+    cumulative = checkpointed(accumulate(rankable(counted, ["model"]), ["model"]))
     importance = reduce(
         DataFrame.unionByName,
         [feature_importance(model, name, spark) for name, model in models.items()],
@@ -51,9 +60,9 @@ def evaluate_models(models: dict[str, PipelineModel], table: DataFrame) -> Evalu
             F.count(F.lit(1)).alias("n"),
             F.avg((F.col("label") == 1).cast("double")).alias("phishing_fraction"),
         ),
-        score_metrics(scored, ["model"]),
-        confusion_matrix(scored, ["model"]),
-        roc_curve(scored, ["model"]),
+        metrics_of(counted, ["model"], cumulative),
+        confusion_of(outcomes_of(counted, ["model"]), ["model"]),
+        corners(cumulative, ["model"]),
         importance,
     )
 

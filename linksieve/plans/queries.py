@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linksieve.functions import canonical as C
@@ -24,7 +24,7 @@ from linksieve.operators.corpus import (
     drop_empty,
 )
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES, with_features
-from linksieve.operators.models import BUILDERS
+from linksieve.operators.models import BUILDERS, fitted_as
 from linksieve.operators.scoring import (
     feature_importance,
     featurize,
@@ -41,7 +41,7 @@ from linksieve.plans.train import train_models
 from linksieve.session import checkpointed, ensure_checkpoint_dir, scratch_path
 from linksieve.sources.features import load_features
 from linksieve.sources.models import load_model, save_model
-from linksieve.sources.reports import rounded
+from linksieve.sources.reports import read_best_params, rounded
 from linksieve.sources.urls import (
     load_corpus,
     load_raw,
@@ -79,29 +79,32 @@ def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpointed(clean_corpus(raw_urls(spark, sf_dir)))
 
 
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkpointed(with_features(_corpus(spark, sf_dir)))
-
-
 def rule_score(features: DataFrame) -> DataFrame:
-    """A fixed score in 256ths from a few features, so that any engine gets the same.
+    """A fixed score in 512ths from a few features, so that any engine gets the same.
 
     Stands in for a model's probability where metrics are checked exactly.
     """
     points = (
-        F.least("num_suspicious_keywords", F.lit(4)) * 24
+        F.col("num_suspicious_keywords") * 24
         + F.col("has_suspicious_tld") * 32
         + F.col("brand_domain_mismatch") * 24
         + F.col("is_free_hosting") * 40
         + F.col("has_ip_host") * 24
-        + F.least("url_length", F.lit(39))
+        + F.col("url_length")
     )
-    p = points.cast("double") / 256
+    p = points.cast("double") / 512
     return features.select(
-        "url", "label", p.alias("p_phish"), (p >= 0.25).cast("int").alias("prediction")
+        "url", "label", p.alias("p_phish"), (p >= 0.125).cast("int").alias("prediction")
     )
 
 
+def hashed_score(urls: DataFrame) -> DataFrame:
+    """A fixed score in 2^-24ths, nearly one per URL: its length, and digits of its md5."""
+    digits = F.conv(F.substring(F.md5("url"), 1, 4), 16, 10).cast("long")
+    p = (F.length("url") * 65536 + digits).cast("double") / (1 << 24)
+    return urls.select("url", "label", p.alias("p_phish"), (p >= 0.125).cast("int").alias("prediction"))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_score(with_features(clean_corpus(raw_urls(spark, sf_dir))))
 
@@ -255,6 +258,20 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.roc_auc(_scored(spark, sf_dir)), DIGITS)
 
 
+def _scored_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashed_score(clean_corpus(many_raw_urls(spark, sf_dir)))
+
+
+def roc_auc_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 over one URL per line item, nearly all scores distinct."""
+    return rounded(M.roc_auc(_scored_many(spark, sf_dir)), DIGITS)
+
+
+def roc_curve_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 over one URL per line item, nearly all scores distinct."""
+    return rounded(M.roc_curve(_scored_many(spark, sf_dir)), DIGITS)
+
+
 def metrics_by_scheme(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.score_metrics(_scored_by_scheme(spark, sf_dir), ["scheme"]), DIGITS)
 
@@ -316,91 +333,189 @@ def domain_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- models --------------------------------------------------------------------
+#
+# A fit has no counterpart in SQL, so these queries return what can be known beforehand of its
+# results: which rows and columns took part, and whether every figure keeps its promises.
+
+
+def _is_share(*names: str) -> Column:
+    """Whether all these columns lie in 0..1 and none is null."""
+    inside = F.lit(True)
+    for name in names:
+        inside &= F.coalesce(F.col(name).between(0, 1), F.lit(False))
+    return inside
+
 
+RATES = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
-def _fitted(spark: SparkSession, sf_dir: str):
-    ensure_checkpoint_dir(spark)
-    split = checkpointed(L.make_splits(_features(spark, sf_dir)))
+
+def _fitted(split: DataFrame) -> dict:
+    ensure_checkpoint_dir(split.sparkSession)
     train = split.filter("split = 'train'")
-    return split, {n: BUILDERS[n](**QUICK[n]).fit(train) for n in BUILDERS}
+    return {n: BUILDERS[n](**QUICK[n]).fit(train) for n in BUILDERS}
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with its random split, made and stored once."""
+    return checkpointed(L.make_splits(with_features(_corpus(spark, sf_dir))))
 
 
 def training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5 + M6 + S4-S6. Tune, refit, validate and store both models."""
-    split = checkpointed(L.make_splits(_features(spark, sf_dir)))
-    report = scratch_path(spark, "best-params")
-    train_models(
-        split, scratch_path(spark, "models"), report, fixed=QUICK, draws=2, folds=2
+    """M5 + M6 + S4-S6. Tune, refit, validate and store both models; what the report says of them."""
+    report, folder = scratch_path(spark, "best-params"), scratch_path(spark, "models")
+    train_models(_split(spark, sf_dir), folder, report, fixed=QUICK, draws=2, folds=2)
+    stored = read_best_params(spark, report, BUILDERS)
+    same = {n: fitted_as(load_model(folder, n), n, stored[n]) for n in BUILDERS}
+    return spark.read.json(report).select(
+        "model", "n_train", "n_val", "n_test", "n_features",
+        F.element_at(F.create_map(*[F.lit(x) for pair in same.items() for x in pair]), F.col("model")).alias("reported_is_fitted"),
+        _is_share("best_f1", *RATES).alias("rates_ok"),
+        (F.col("roc_auc") > 0.7).alias("better_than_chance"),
     )
-    return spark.read.json(report)
 
 
 def tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 + M5. Every setting tried for the forest with its mean F1."""
-    split = L.make_splits(_features(spark, sf_dir))
+    """M4 + M5. Every setting tried for the forest, within its space and with a mean F1."""
     pinned = {"n_estimators": 5, "max_depth": 4}
-    result = tune("random_forest", split.filter("split = 'train'"), draws=3, fixed=pinned)
-    rows = [(i, str(params), f1) for i, (params, f1) in enumerate(result.tried)]
-    return spark.createDataFrame(rows, "draw int, params string, mean_f1 double")
+    result = tune("random_forest", _split(spark, sf_dir).filter("split = 'train'"), draws=3, fixed=pinned)
+    rows = [
+        (
+            i,
+            all(params[k] == v for k, v in pinned.items())
+            and 2 <= params["min_samples_split"] < 12
+            and 1 <= params["min_samples_leaf"] < 5
+            and params["max_features"] in ("sqrt", "log2", 0.4),
+            0 < f1 <= 1,
+            f1 <= result.best_f1,
+        )
+        for i, (params, f1) in enumerate(result.tried)
+    ]
+    return spark.createDataFrame(rows, "draw int, in_space boolean, f1_ok boolean, best_is_best boolean")
 
 
 def scored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 + S4. Page URLs scored by a stored and reloaded model."""
-    _, models = _fitted(spark, sf_dir)
     folder = scratch_path(spark, "models")
-    save_model(models["boosted_trees"], folder, "boosted_trees")
-    return score_urls(load_model(folder), pages(spark, sf_dir))
+    save_model(_fitted(_split(spark, sf_dir))["boosted_trees"], folder, "boosted_trees")
+    scored = score_urls(load_model(folder), pages(spark, sf_dir))
+    return scored.select(
+        "page_id", "canonical_url", _is_share("p_phish").alias("p_ok"),
+        (F.col("prediction") == (F.col("p_phish") >= 0.5).cast("int")).alias("prediction_ok"),
+    )
 
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 + E6. Comparison of both models on the balanced test rows."""
-    split, models = _fitted(spark, sf_dir)
-    return rounded(evaluate_models(models, split).comparison)
+    """E7 + E6. Both models on the balanced test rows."""
+    split = _split(spark, sf_dir)
+    result = evaluate_models(_fitted(split), split)
+    cells = result.confusion.groupBy("model").agg(
+        F.sum("n").alias("tested"),
+        F.sum(F.when(F.col("actual") == 1, F.col("n"))).alias("positives"),
+    )
+    points = result.roc.groupBy("model").agg(
+        (F.min("fpr") + F.min("tpr") == 0).alias("starts_at_0"), (F.max("fpr") + F.max("tpr") == 2).alias("ends_at_1")
+    )
+    return result.comparison.join(cells, "model").join(points, "model").select(
+        "model", "tested", "positives", "starts_at_0", "ends_at_1",
+        _is_share(*RATES).alias("rates_ok"), (F.col("roc_auc") > 0.7).alias("better_than_chance"),
+    )
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, models = _fitted(spark, sf_dir)
+    models = _fitted(_split(spark, sf_dir))
     frames = [feature_importance(model, name, spark) for name, model in models.items()]
     return frames[0].unionByName(frames[1])
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return importance_table(_importance(spark, sf_dir), list(BUILDERS))
+    """E5. A row per feature; the weights of each model are shares."""
+    table = importance_table(_importance(spark, sf_dir), list(BUILDERS))
+    total = Window.partitionBy()
+    sums = [F.abs(F.sum(m).over(total) - 1) < 1e-3 for m in BUILDERS]
+    return table.select("feature", _is_share(*BUILDERS).alias("weights_ok"), (sums[0] & sums[1]).alias("sums_ok"))
 
 
 def strongest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_features(_importance(spark, sf_dir))
+    """E5. The places of each model's strongest features, in order of weight."""
+    order = Window.partitionBy("model").orderBy("place")
+    falling = F.col("importance") <= F.coalesce(F.lag("importance").over(order), F.lit(1.0))
+    return top_features(_importance(spark, sf_dir)).select("model", "place", falling.alias("falling"))
+
+
+def _fires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances that SQL can compute: how often a feature fires, on two sources of URLs."""
+    parts = [
+        D.fire_rates(with_features(urls)).select(
+            F.lit(name).alias("model"), "feature", F.col("fire_share").alias("importance")
+        )
+        for name, urls in (("corpus", clean_corpus(raw_urls(spark, sf_dir))), ("pages", pages(spark, sf_dir)))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def importance_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 on importances that SQL can compute."""
+    return importance_table(_fires(spark, sf_dir), ["corpus", "pages"])
+
+
+def importance_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5. The twenty strongest of each, on importances that SQL can compute."""
+    return rounded(top_features(_fires(spark, sf_dir)), DIGITS)
+
+
+def family_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 on importances that SQL can compute."""
+    return rounded(D.family_shares(_fires(spark, sf_dir)), DIGITS)
 
 
 def family_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(D.family_shares(_importance(spark, sf_dir)), DIGITS)
+    """D6 on fitted models: shares of the families, which sum to one."""
+    shares = D.family_shares(_importance(spark, sf_dir))
+    total = F.sum("share").over(Window.partitionBy("model"))
+    return shares.select(
+        "model", "family", (F.abs(total - 1) < 1e-6).alias("sums_ok"),
+        (F.col("top_share") <= F.col("share") + 1e-9).alias("top_ok"),
+    )
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    features = _features(spark, sf_dir)
-    return checkpointed(L.make_splits(features)), checkpointed(L.domain_disjoint_split(features))
+def _checked(results: DataFrame) -> DataFrame:
+    return results.select(
+        "study", "config", "model", "n_features", "train_rows",
+        _is_share(*RATES).alias("rates_ok"), (F.col("fit_seconds") > 0).alias("timed"),
+    )
+
+
+def _disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpointed(L.domain_disjoint_split(with_features(_corpus(spark, sf_dir))))
 
 
 def family_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(A.family_ablation(_tables(spark, sf_dir)[0], QUICK))
+    """A1-A3. Every feature set with both models."""
+    return _checked(A.family_ablation(_split(spark, sf_dir), QUICK))
 
 
 def learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4 + D6. Learning curve with the gain of each step."""
-    curve = A.learning_curve(_tables(spark, sf_dir)[0], QUICK)
-    return rounded(D.marginal_gains(curve))
+    """A4 + D6. Learning curve; gains add up to the whole way."""
+    curve = checkpointed(D.marginal_gains(A.learning_curve(_split(spark, sf_dir), QUICK)))
+    steps = Window.partitionBy("model")
+    first, last = (F.max_by("f1", sign * F.col("train_rows")).over(steps) for sign in (-1, 1))
+    gained = F.coalesce(F.sum("gain").over(steps), F.lit(0.0))
+    return curve.select("model", "train_rows", (F.abs(last - first - gained) < 1e-9).alias("gains_ok"))
 
 
 def split_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5. Random against domain-disjoint split."""
-    split, disjoint = _tables(spark, sf_dir)
-    full = A.learning_curve(split, QUICK, (1.0,))
-    return rounded(A.memorisation_gap(full.unionByName(A.split_strategy(disjoint, QUICK))))
+    full = A.learning_curve(_split(spark, sf_dir), QUICK, (1.0,))
+    gap = A.memorisation_gap(full.unionByName(A.split_strategy(_disjoint(spark, sf_dir), QUICK)))
+    return gap.select(
+        "model", (F.col("gap") == F.col("random_f1") - F.col("disjoint_f1")).alias("gap_ok"),
+        _is_share("random_f1", "disjoint_f1").alias("f1_ok"),
+    )
 
 
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6. All 24 fits."""
-    return rounded(A.ablation(*_tables(spark, sf_dir), QUICK))
+    return _checked(A.ablation(_split(spark, sf_dir), _disjoint(spark, sf_dir), QUICK))
 
 
 QUERIES: dict[str, Query] = {
@@ -430,8 +545,10 @@ QUERIES: dict[str, Query] = {
     "metrics_binary": metrics_binary,
     "metrics_by_scheme": metrics_by_scheme,
     "roc_auc": roc_auc,
+    "roc_auc_many": roc_auc_many,
     "confusion": confusion,
     "roc_curve": roc_curve,
+    "roc_curve_many": roc_curve_many,
     "threshold_sweep": threshold_sweep,
     "verdicts": verdict_rows,
     "rule_audit": rule_audit,
@@ -448,6 +565,9 @@ QUERIES: dict[str, Query] = {
     "evaluation": evaluation,
     "importances": importances,
     "strongest_features": strongest_features,
+    "importance_pivot": importance_pivot,
+    "importance_top": importance_top,
+    "family_fires": family_fires,
     "family_importance": family_importance,
     "family_ablation": family_ablation,
     "learning_curve": learning_curve,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,8 @@ def local_session(app: str = "linksieve", cores: str = "*", **conf: str) -> Spar
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # beyond this size the JIT compiler skips a method, and whole-stage code is slower than none
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -39,7 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="linksieve-checkpoint-")
     context.setCheckpointDir(configured)
@@ -51,17 +54,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it arrives in fewer splits.
-
-    A file with one row group is one task, however many cores wait. Large inputs
-    have more splits than cores and are left alone, so they are never shuffled.
-    Only for plain scans: asking a plan with shuffles for its partitions runs it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the checkpoint folder, for tables that stages hand over."""
     ensure_checkpoint_dir(spark)

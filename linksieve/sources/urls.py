@@ -58,15 +58,37 @@ def load_corpus(spark: SparkSession, path: str, build: Callable[[], DataFrame])
     return read_corpus(spark, path)
 
 
+# Line breaks within a URL as two characters each, so that a line of the file is a row.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
 def write_corpus_csv(corpus: DataFrame, path: str) -> None:
-    """S2. CSV exchange form: header, every text quoted, so ``NA`` stays a URL."""
-    corpus.select("url", "label").write.mode("overwrite").csv(
-        path, header=True, quoteAll=True, escape='"'
+    r"""S2. CSV exchange form: header, every text quoted, so ``NA`` stays a URL.
+
+    Spaces are kept as they are. A backslash is written ``\\``, line feed and carriage
+    return ``\n`` and ``\r``, so every file can be read in splits.
+    """
+    url = F.col("url")
+    for plain, escaped in _ESCAPES:
+        url = F.replace(url, F.lit(plain), F.lit(escaped))
+    corpus.select(url.alias("url"), "label").write.mode("overwrite").csv(
+        path, header=True, quoteAll=True, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
 
+def _unescaped(url):
+    """Undo the escapes: ``\\\\`` first becomes a character that no CSV line has, a bare line feed."""
+    marked = F.replace(url, F.lit("\\\\"), F.lit("\n"))
+    marked = F.replace(marked, F.lit("\\r"), F.lit("\r"))
+    # a line feed now stands for a backslash, and backslash-n for a line feed: exchange them
+    marked = F.replace(marked, F.lit("\\n"), F.lit("\\"))
+    return F.translate(marked, "\n\\", "\\\n")
+
+
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S2. Reads that CSV form back, quoted line breaks included."""
-    return spark.read.schema(CORPUS_SCHEMA).csv(
-        path, header=True, escape='"', multiLine=True, nullValue="\u0000"
+    """S2. Reads that CSV form back, character for character."""
+    read = spark.read.schema(CORPUS_SCHEMA).csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
+    return read.select(_unescaped(F.col("url")).alias("url"), "label")

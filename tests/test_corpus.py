@@ -99,6 +99,9 @@ def test_sources_round_trip(spark, tmp_path):
         assert sorted(map(tuple, stored.collect())) == sorted(rows)
     assert calls == [1]
 
+    odd = [" x.com/a", "y.com ", "NA", "a\nb", "a\r\nb\\nc\\\\n", "\\", 'q"q,r', "\u0000", "'", "\t"]
+    raw = raw.unionByName(spark.createDataFrame([(u, 1) for u in odd], raw.schema))
+    rows = rows + [(u, 1) for u in odd]
     write_corpus_csv(raw, str(tmp_path / "csv"))
     assert sorted(map(tuple, read_corpus_csv(spark, str(tmp_path / "csv")).collect())) == sorted(rows)
 

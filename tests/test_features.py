@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -5,28 +6,46 @@ import pytest
 from plain_features import plain_features
 from pyspark.sql import types as T
 
-from linksieve.functions.lexicons import DEFAULT_LEXICONS, Lexicons, country_suffixes
+from linksieve.functions.lexicons import DEFAULT_LEXICONS, MULTI_LABEL_SUFFIXES, Lexicons
+from linksieve.functions.measures import MEASURES
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES, with_features
 from linksieve.plans.sample_corpus import raw_urls, table
 
-HOSTILE = [
-    "", " ", "   \t", "/", "////", ":", "://", "https://", "http://////", "?", "#", "@", "%", "%%%%%",
-    "http://@@@", "a@b@c@host.com/x@y", "just some words", "http://[::1]/x", "[2001:db8::1]:8080/p",
-    "http://[oops/x", "[a]b:c", "[]:::80", "example.com:textport/x", "http://user:pw@host.com:8080/p?q=1#f",
-    "https://user:pw@shop.example.com:8443/a/b?x=1&y=2#top", "пример.рф/путь", "ПРИМЕР.РФ",
-    "xn--e1afmkfd.xn--p1ai/path", "z" * 5000, "http://" + "deep." * 200 + "example.com",
-    "javascript:alert(1)", "ftp://1.2.3.4:21/f", "1.2.3.4", "255.255.255.255", "256.1.1.1", "001.002.003.004",
-    "1.2.3.4.5", "1.2.3", "0xdeadbeef/a", "0X7F000001", "0xzz", "1.2.3.4/paypal", "www.bbc.co.uk",
-    "co.uk", "bbc.co.uk/a.b/c.", "a..b", ".", "..", ".com", "com.", "host.com/.hidden", "host.com/a.TAR.GZ",
-    "host.com/setup.EXE", "host.com/x.exe/", "host.com/x.exe?y.zip", "a?b#c?d/e", "a#b?c", "http://x?y/z@w",
-    "bit.ly/abc", "example.com/bit.ly", "x.t.co", "t.co", "sites.google.com", "a.sites.google.com/x",
-    "s3.amazonaws.com", "b.s3.amazonaws.com", "onedrive.live.com", "x.onedrive.live.com", "duckdns.org",
-    "x.duckdns.org", "myduckdns.org", "paypal.co.uk/signin", "paypal.login.co.uk/signin", "paypal/x",
-    "groups.com/pineapple", "suspended-account-verification.top", "aaaa\n\n\n\n\n\nbb", "\n\n\n", "\n",
-    "x.com/deadbeef0", "x.com/deadbeef0g", "x.com/_deadbeef0", "x.com/яdeadbeef0", "x.com/DEADBEEF99?",
-    "bcdfg.hjklm.top", "12345", "1.2.3.4\n", "a b\u0085c.com", "😀😀😀.com/😀", "İstanbul.COM/İ", "ß.de/ẞ",
-    " x.com　", "²³½.com", "x.com/\x00\x00\x00", "a.b/c//d///e", "http://http://x", None,
-]
+# Delimiters, labels and ports; every ordered pair and many longer draws of them are tried.
+PIECES = (
+    "", " ", "/", ":", "//", "://", "?", "#", "@", "%", ".", "..", "=", "&", "[", "]", "[fe80::9]", ":77", ":abc",
+    "ftp://", "HTTPS://", "me@", "me:pw@", "shop.tld", "SHOP.TLD", "quay.org.uk", "kiosk.com.mx", "com.mx", "10.20.30.40",
+    "300.1.1.1", "0xc0ffee", "0xq", "ow.ly", "v.ow.ly", "mysite.web.app", "web.app", "тест.рф", "xn--80ak6aa92e", "~a//b",
+    ".PDF", ".Exe", "?k=v&k=w", "#frag", "cafe0123", "gcafe0123", "\n", "\n\n\n", "😀", "İ", "ẞ", "²³", "\x00", "\u3000",
+)
+
+
+def hostile():
+    """One string per trap, then pieces put together."""
+    traps = [
+        None, "\t \t", "word word word", "q" * 6000, "http://" + "sub." * 150 + "quay.org", "data:text/plain,hi",
+        "http://ebay.mx.quay.org", "ebay.com.mx/x", "quay.org/?ebay", "quay.org/ow.ly", "quay.org/%41%42%43", "9.9.9.9/ebay",
+        "login-account-verify-update.zip", "aab\n\n\n\nc", "quay.org/_cafe0123", "quay.org/CAFE0123!", "rhythm.crypt.top",
+        "777", "8.8.8.8\n", "x y\u0085z.org", "\u00a0quay.org\u2009", "http://ftp://quay.org",
+    ]
+    pairs = [a + b for a in PIECES for b in PIECES]
+    draw = random.Random(11)
+    longer = ["".join(draw.choices(PIECES, k=draw.randint(3, 9))) for _ in range(1500)]
+    return traps + pairs + longer
+
+
+HOSTILE = hostile()
+
+PINNED = {
+    "shorteners": "b8f4e56b3f17",
+    "keywords": "d0187af5f638",
+    "brands": "d2c5682cddda",
+    "suspicious_tlds": "3eb7bf380034",
+    "free_hosting": "6420fce59537",
+    "suffixes": "46e14a84d124",
+    "ranked_tlds": "f50a5e525720",
+    "executable_extensions": "834fe125ef55",
+}
 
 
 def feature_rows(spark, urls):
@@ -49,8 +68,7 @@ def test_families_partition_the_features():
 
 
 def test_lexicon_sizes():
-    suffixes = country_suffixes()
-    assert len(suffixes) == len(set(suffixes)) == 395
+    assert len(MULTI_LABEL_SUFFIXES) == len(set(MULTI_LABEL_SUFFIXES)) == 395
     lex = DEFAULT_LEXICONS
     assert [len(x) for x in (lex.shorteners, lex.keywords, lex.brands, lex.suspicious_tlds,
                              lex.free_hosting, lex.ranked_tlds, lex.executable_extensions)] == [
@@ -85,23 +103,22 @@ def test_random_strings(spark):
 @pytest.mark.parametrize(
     "url, expected",
     [
-        ("www.bbc.co.uk", {"num_subdomains": 2, "subdomain_length": 3}),
-        ("999.999.999.999/x", {"has_ip_host": 0}),
-        ("example.com:8080/path", {"hostname_length": 11, "has_port": 1, "uses_https": 0}),
-        ("paypal.co.uk/signin", {"brand_domain_mismatch": 0}),
-        ("paypal.login.co.uk/signin", {"brand_domain_mismatch": 1}),
-        ("paypal.secure-login.xyz/webscr", {"brand_domain_mismatch": 1}),
-        ("example.com/bit.ly", {"is_shortener": 0}),
-        ("site.com/%2Fa%2Fb", {"num_encoded_chars": 2}),
-        ("https://user:pw@shop.example.com:8443/a/b?x=1&y=2#top",
+        ("fern.moss.org.uk", {"num_subdomains": 2, "subdomain_length": 4}),
+        ("512.4.4.4/q", {"has_ip_host": 0}),
+        ("moss.org:9090/fern", {"hostname_length": 8, "has_port": 1, "uses_https": 0}),
+        ("ebay.org.uk/lot", {"brand_domain_mismatch": 0}),
+        ("ebay.fern.org.uk/lot", {"brand_domain_mismatch": 1}),
+        ("moss.org/t.co", {"is_shortener": 0}),
+        ("moss.org/%5Ba%5D%20", {"num_encoded_chars": 3}),
+        ("https://ann:pw@fern.moss.org:8443/x/y/z?k=1&l=2&m=3#end",
          {"uses_https": 1, "has_port": 1, "has_userinfo": 1, "has_fragment": 1,
-          "num_path_segments": 2, "num_query_params": 2, "num_subdomains": 1}),
+          "num_path_segments": 3, "num_query_params": 3, "num_subdomains": 1}),
         ("", dict.fromkeys(set(FEATURE_NAMES) - {"tld_rank"}, 0) | {"tld_rank": 55}),
-        ("http://evil.com/" + "a" * 5000, {"longest_consecutive_run": 5000, "url_length": 5016}),
-        ("secure-login-verify.example.com", {"subdomain_length": 19}),
-        ("example.com", {"tld_rank": 0}),
-        ("example.top", {"tld_rank": 55}),
-        ("12345", {"digit_letter_ratio": 1}),
+        ("http://fern.org/" + "z" * 4000, {"longest_consecutive_run": 4000, "url_length": 4016}),
+        ("moss-and-fern.stone.org", {"subdomain_length": 13}),
+        ("moss.com", {"tld_rank": 0}),
+        ("moss.garden", {"tld_rank": 55}),
+        ("8080", {"digit_letter_ratio": 1}),
     ],
 )
 def test_hand_values(spark, url, expected):
@@ -133,7 +150,10 @@ def test_long_whitespace_and_slashes_stay_linear(spark):
 def test_plan_is_map_only_and_native(spark, sf_dir):
     plan = with_features(table(spark, sf_dir, "pages"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert "Python" not in plan
+    assert plan.count("ArrowEvalPython") == 1  # the character measures
+    rest = [n for n in FEATURE_NAMES if n not in MEASURES]
+    plan = with_features(table(spark, sf_dir, "pages"), features=rest)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):
@@ -164,3 +184,19 @@ def test_awkward_column_names(spark):
     df = spark.createDataFrame([("http://a.com", 1)], "`the.url` string, `x y` int")
     row = with_features(df, "the.url", ["uses_https", "has_port", "num_dots"]).first()
     assert tuple(row) == ("http://a.com", 1, 0, 0, 1)
+
+
+def test_names_that_are_taken(spark):
+    df = spark.createDataFrame([("a.com", 1.0)], "url string, TLD_rank double")
+    with pytest.raises(ValueError, match="tld_rank"):
+        with_features(df)
+    assert with_features(df, features=["url_length"]).columns == ["url", "TLD_rank", "url_length"]
+
+
+def test_fixed_lists_are_what_they_were():
+    """Content, whatever the order; ranked lists in order."""
+    found = {}
+    for name, values in vars(DEFAULT_LEXICONS).items():
+        ordered = values if name == "ranked_tlds" else sorted(values)
+        found[name] = hashlib.sha256("\n".join(ordered).encode()).hexdigest()[:12]
+    assert found == PINNED

@@ -60,9 +60,17 @@ def test_undefined_ratios(spark):
     assert none.accuracy == 0 and none.roc_auc is None
 
 
-@pytest.mark.parametrize("per_range", [M.ROWS_PER_RANGE, 5])
-def test_ranking_metrics_match_brute_force(spark, rows, monkeypatch, per_range):
-    monkeypatch.setattr(M, "ROWS_PER_RANGE", per_range)
+@pytest.fixture(params=[True, False], ids=["one range", "many ranges"])
+def ranges(spark, request):
+    """Small tables are dealt out in one range, unless Spark is kept from joining small ones."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(request.param).lower())
+    yield
+    spark.conf.set(name, before)
+
+
+def test_ranking_metrics_match_brute_force(spark, rows, ranges):
     df = scored(spark, rows)
     assert M.roc_auc(df).first().roc_auc == pytest.approx(brute_auc(rows), abs=1e-12)
     got = sorted(map(tuple, M.roc_curve(df).collect()), key=lambda r: -r[2])
@@ -74,8 +82,31 @@ def test_ranking_metrics_match_brute_force(spark, rows, monkeypatch, per_range):
     assert spark_auc == pytest.approx(brute_auc(rows), abs=1e-9)
 
 
-def test_groups_do_not_mix(spark, rows, monkeypatch):
-    monkeypatch.setattr(M, "ROWS_PER_RANGE", 7)
+def test_rows_without_a_score_are_not_ranked(spark, rows, ranges):
+    odd = [(1, None), (0, None), (1, float("nan")), (0, float("nan"))]
+    ends = [(1, float("inf")), (0, float("-inf")), (0, float("inf"))]
+    df = scored(spark, rows + ends + odd).withColumn("prediction", F.coalesce("prediction", F.lit(0)))
+    assert M.roc_auc(df).first().roc_auc == pytest.approx(brute_auc(rows + ends), abs=1e-12)
+    got = sorted(map(tuple, M.roc_curve(df).collect()), key=lambda r: (-r[2], r[0] + r[1]))
+    assert len(got) == len(brute_curve(rows + ends))
+    assert got[-1][:2] == (1, 1)
+    both = M.score_metrics(df).first()
+    assert both.roc_auc == M.roc_auc(df).first().roc_auc
+    assert both.accuracy == M.binary_metrics(df).first().accuracy
+
+
+def test_metrics_from_counts_equal_those_of_rows(spark, rows):
+    df = scored(spark, rows).withColumn("model", F.when(F.col("p_phish") > 0.1, "a").otherwise(None))
+    counted = M.counted_scores(df, ["model"])
+    key = lambda r: str(r.model)
+    assert sorted(M.outcomes_of(counted, ["model"]).collect(), key=key) == sorted(
+        M.outcome_counts(df, ["model"]).collect(), key=key
+    )
+    got = {r.model: r.roc_auc for r in M.metrics_of(counted, ["model"]).collect()}
+    assert got == pytest.approx({r.model: r.roc_auc for r in M.roc_auc(df, ["model"]).collect()})
+
+
+def test_groups_do_not_mix(spark, rows, ranges):
     df = scored(spark, rows)
     two = df.withColumn("model", F.lit("a")).unionByName(
         df.withColumn("model", F.lit("b")).withColumn("p_phish", 1 - F.col("p_phish"))
@@ -93,9 +124,7 @@ def test_sweep_matches_single_thresholds(spark, rows):
         assert row.asDict() == pytest.approx({"threshold": t, **single})
 
 
-@pytest.mark.parametrize("per_range", [M.ROWS_PER_RANGE, 5])
-def test_plans_have_no_cross_join(spark, rows, monkeypatch, per_range):
-    monkeypatch.setattr(M, "ROWS_PER_RANGE", per_range)
+def test_plans_have_no_cross_join(spark, rows, ranges):
     df = scored(spark, rows)
     for out in (M.score_metrics(df), M.roc_curve(df), M.threshold_sweep(df), M.confusion_matrix(df)):
         plan = out._jdf.queryExecution().executedPlan().toString()

@@ -72,10 +72,17 @@ def test_builders_map_parameters(spark):
         M.build_random_forest(trees=3)
 
 
-def test_model_size_does_not_follow_the_table():
-    assert M.bounded("random_forest", {}, 800_000) == {"min_samples_leaf": 1}
-    assert M.bounded("random_forest", {"min_samples_leaf": 4}, 3 << 20) == {"min_samples_leaf": 4}
-    assert M.bounded("boosted_trees", {"gamma": 0.1}, 10**12) == {"gamma": 0.1, "min_child_weight": 953675}
+def test_depths_beyond_the_limit_are_refused():
+    assert M.build_random_forest(max_depth=30).getStages()[-1].getMaxDepth() == 30
+    with pytest.raises(ValueError, match="30"):
+        M.build_random_forest(max_depth=31)
+
+
+def test_reported_parameters_are_the_fitted_ones(trained):
+    _, fitted, summary = trained
+    for row in summary:
+        assert M.fitted_as(fitted[row["model"]], row["model"], row["best_params"])
+        assert not M.fitted_as(fitted[row["model"]], row["model"], {**row["best_params"], "n_estimators": 999})
 
 
 def test_draws_stay_in_their_ranges():
@@ -85,7 +92,7 @@ def test_draws_stay_in_their_ranges():
         assert 0.03 <= p["learning_rate"] <= 0.4 and 0.6 <= p["subsample"] <= 1
         assert 1 <= p["min_child_weight"] < 10 and 0 <= p["gamma"] <= 0.4
     for p in M.draw_params("random_forest", 200):
-        assert 150 <= p["n_estimators"] < 400 and p["max_depth"] in (None, 20, 30, 40)
+        assert 150 <= p["n_estimators"] < 400 and p["max_depth"] in (None, 20)
         assert 2 <= p["min_samples_split"] < 12 and 1 <= p["min_samples_leaf"] < 5
         assert p["max_features"] in ("sqrt", "log2", 0.4)
 
@@ -144,7 +151,7 @@ def test_scoring_invariants(spark, trained, work, name):
     assert [r.verdict for r in shown] == ["legitimate"] * 2 + ["PHISHING"] * 2
     assert all(r.p == round(r.p, 4) for r in shown)
     plan = score_urls(model, urls_frame(spark, urls))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    assert "Exchange" not in plan and "BatchEvalPython" not in plan
 
 
 def test_featurize_equals_direct_features_on_canonical_urls(spark, features):

