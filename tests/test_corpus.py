@@ -118,3 +118,8 @@ def test_one_url_with_a_third_of_all_rows(spark):
     assert audit[:5] == (60_000, 20_000, 19_999, 0, 20_001)
     conflicting = cleaning_audit(raw).first()
     assert conflicting[:5] == (60_000, 20_000, 19_998, 2, 20_000)
+
+
+def test_the_registered_clean_corpus_is_one_shuffle(spark, sf_dir):
+    plan = clean_corpus(raw_urls(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
