@@ -7,11 +7,14 @@
    kept unless one kept before is ``ALPHA`` times nearer to it than the node is. Links go both ways.
 3. A node's adjacency lists from all its shards are united.
 4. Every node is searched for in the shards of its nearest centroid, by the united lists: greedily
-   from the shard's medoid, then on through every neighbour near the range until it is exhausted.
+   from the shard's medoid, from one entry of every part that the medoid does not reach and from the
+   node's own row, then on through every neighbour near the range until it is exhausted.
 5. What is found is verified by cosine in double precision. Counts of the disjoint shards of a
    cluster add up; links become components.
-6. A sample of nodes is audited against brute force over all rows, in blocks. If fewer than
-   ``LEAST_RECALL`` of their links were found, the work is done again with twice the overlap.
+6. A sample of nodes is audited against brute force over all rows, in blocks. Recall is the share of
+   their links found, or the mean share of a node if that is less. If it is below ``LEAST_RECALL``,
+   the same shards are compared exactly, in blocks of rows and queries, and then, while it still is,
+   those of twice the overlap. With an overlap of all clusters that is every row with every other.
 
 Vectors are compared with those of the same number of components. Null and zero vectors, and those
 with null or non-finite components, are linked with nothing; nor are rows without id, whose
@@ -107,8 +110,11 @@ def fit_centroids(nodes: DataFrame, count: int) -> dict[int, np.ndarray]:
     return found
 
 
-def memberships(nodes: DataFrame, centroids: dict[int, np.ndarray], overlap: int) -> DataFrame:
-    """A row per node and shard's cluster: ``cluster`` string, ``home`` whether it is the nearest."""
+def memberships(nodes: DataFrame, centroids: dict[int, np.ndarray], overlap: int, exact: bool) -> DataFrame:
+    """A row per node and shard's cluster: ``cluster`` string, ``home`` whether it is the nearest.
+
+    If ``exact``, vectors of a size with no more clusters than the overlap are one cluster.
+    """
     shared = nodes.sparkSession.sparkContext.broadcast({k: v.tobytes() for k, v in centroids.items()})
     schema = nodes.schema.simpleString()[len("struct<") : -1].replace(":", " ")
 
@@ -117,7 +123,8 @@ def memberships(nodes: DataFrame, centroids: dict[int, np.ndarray], overlap: int
         for batch in batches:
             rows, clusters, home = [], [], []
             for i, unit in enumerate(batch.column("unit").to_pylist()):
-                if len(unit) not in table:  # a size that the sample has not: one cluster
+                if len(unit) not in table or exact and overlap >= len(table[len(unit)]):
+                    # one cluster: the sample has not this size, or all would be in all
                     nearest = [0]
                 else:
                     near = table[len(unit)] @ np.frombuffer(unit)
@@ -185,17 +192,38 @@ def build(members: DataFrame, key_type: str) -> DataFrame:
     return members.groupBy("cluster", "part").applyInArrow(run, f"node {key_type}, neighbours array<{key_type}>")
 
 
-def range_search(query: np.ndarray, vectors: np.ndarray, adjacent: list[np.ndarray], medoid: int) -> np.ndarray:
-    """Rows of ``vectors`` within the range of ``query``: greedy descent, then expansion."""
+def entries(vectors: np.ndarray, adjacent: list[np.ndarray]) -> np.ndarray:
+    """The medoid, and a row of every part of the graph that those before do not reach."""
+    reached = np.zeros(len(vectors), bool)
+    found, start = [], int(np.argmax(vectors @ vectors.sum(axis=0)))
+    while True:
+        found.append(start)
+        reached[start] = True
+        open_rows = [start]
+        while open_rows:
+            around = adjacent[open_rows.pop()]
+            fresh = around[~reached[around]]
+            reached[fresh] = True
+            open_rows += fresh.tolist()
+        if reached.all():
+            return np.array(found)
+        start = int(np.argmin(reached))
+
+
+def range_search(query: np.ndarray, vectors: np.ndarray, adjacent: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Rows of ``vectors`` within the range of ``query``: greedy descent from ``starts``, then expansion."""
     seen = np.zeros(len(vectors), bool)
-    seen[medoid] = True
+    seen[starts] = True
     near = np.full(len(vectors), -2.0)
-    near[medoid] = vectors[medoid] @ query
-    queue, beam = [(-near[medoid], medoid)], [near[medoid]]
+    near[starts] = vectors[starts] @ query
+    queue, beam = list(zip((-near[starts]).tolist(), starts.tolist())), near[starts].tolist()
+    heapq.heapify(queue)
+    heapq.heapify(beam)
+    width = BEAM + len(beam) - 1  # so that no start is crowded out by the others
     while queue:
         value, row = heapq.heappop(queue)
         value = -value
-        if value < COSINE - MARGIN and len(beam) >= BEAM and value < beam[0]:
+        if value < COSINE - MARGIN and len(beam) >= width and value < beam[0]:
             break  # outside the range, and the beam holds nearer ones only
         fresh = adjacent[row][~seen[adjacent[row]]]
         if not len(fresh):
@@ -204,7 +232,7 @@ def range_search(query: np.ndarray, vectors: np.ndarray, adjacent: list[np.ndarr
         values = vectors[fresh] @ query
         near[fresh] = values
         for other, v in zip(fresh.tolist(), values.tolist()):
-            if len(beam) < BEAM:
+            if len(beam) < width:
                 heapq.heappush(beam, v)
             elif v > beam[0]:
                 heapq.heapreplace(beam, v)
@@ -214,10 +242,11 @@ def range_search(query: np.ndarray, vectors: np.ndarray, adjacent: list[np.ndarr
     return np.flatnonzero(near >= COSINE)
 
 
-def search(members: DataFrame, key_type: str) -> DataFrame:
+def search(members: DataFrame, key_type: str, exact: bool) -> DataFrame:
     """Per query and shard: ``node, n_links`` (copies of linked nodes), ``near`` (one per joined component).
 
-    ``members`` has the united ``neighbours``, and the shard's queries as rows with ``query``.
+    ``members`` has the united ``neighbours``, and the shard's queries as rows with ``query``. If
+    ``exact``, the neighbours are not used: a query is compared with all rows.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -230,14 +259,20 @@ def search(members: DataFrame, key_type: str) -> DataFrame:
             vectors = np.array([np.frombuffer(u) for u in rows.column("unit").to_pylist()])
             copies = np.array(rows.column("copies").to_pylist(), np.int64)
             at = {node: i for i, node in enumerate(nodes)}
-            adjacent = [
-                np.array([at[n] for n in ns if n in at], np.int64) for ns in rows.column("neighbours").to_pylist()
-            ]
-            center = vectors.sum(axis=0)
-            medoid = int(np.argmax(vectors @ center))
+            if not exact:
+                adjacent = [
+                    np.array([at[n] for n in ns if n in at], np.int64) for ns in rows.column("neighbours").to_pylist()
+                ]
+                common = entries(vectors, adjacent)
             component = np.arange(len(nodes))
             for node, unit in zip(queries.column("node").to_pylist(), queries.column("unit").to_pylist()):
-                found = range_search(np.frombuffer(unit), vectors, adjacent, medoid)
+                query = np.frombuffer(unit)
+                if exact:
+                    found = np.flatnonzero(vectors @ query >= COSINE)
+                else:
+                    own = [at[node]] if node in at else []
+                    starts = np.unique(np.r_[common, own]).astype(np.int64)
+                    found = range_search(query, vectors, adjacent, starts)
                 found = found[[nodes[i] != node for i in found]] if len(found) else found
                 # links to nodes that other queries of the shard have joined already say nothing new
                 roots = np.unique(component[found])
@@ -256,7 +291,7 @@ def search(members: DataFrame, key_type: str) -> DataFrame:
             }
         )
 
-    return members.groupBy("cluster", "part").applyInArrow(
+    return members.groupBy("cluster", "part", "block").applyInArrow(
         run, f"node {key_type}, n_links long, near array<{key_type}>"
     )
 
@@ -288,40 +323,61 @@ def true_links(nodes: DataFrame) -> DataFrame:
     return partial.groupBy("node").agg(F.sum("true_links").alias("true_links"))
 
 
+def found_links(nodes: DataFrame, centroids: dict[int, np.ndarray], overlap: int, exact: bool) -> DataFrame:
+    """The rows of ``search`` over the shards of this overlap, by graph or ``exact``."""
+    key_type = nodes.schema["node"].dataType.simpleString()
+    members = checkpointed(memberships(nodes, centroids, overlap, exact))
+    parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / SHARD).alias("parts"))
+    dealt = members.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    no_list = F.lit(None).cast(f"array<{key_type}>").alias("neighbours")
+    if exact:  # every block of queries meets every part of the rows
+        rows = dealt.select(
+            "cluster", "part", every.alias("block"), "node", "copies", "unit", no_list, F.lit(False).alias("query")
+        )
+        block = F.col("part").alias("block")
+    else:
+        lists = build(dealt.select("cluster", "part", "node", "unit"), key_type)
+        united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
+        block = F.lit(0).cast("long").alias("block")
+        rows = dealt.join(united, "node").select(
+            "cluster", "part", block, "node", "copies", "unit", "neighbours", F.lit(False).alias("query")
+        )
+    queries = dealt.filter("home").select(
+        "cluster", every.alias("part"), block, "node", "copies", "unit", no_list, F.lit(True).alias("query")
+    )
+    return search(rows.unionByName(queries), key_type, exact)
+
+
+def audited(truth: DataFrame, linked: DataFrame) -> float:
+    """Recall of the audited nodes: of all their links, or of a node's on average if that is less."""
+    least = F.least("true_links", F.coalesce("n_links", F.lit(0)))
+    all_links, found, mean = (
+        truth.filter("true_links > 0")
+        .join(linked, "node", "left")
+        .agg(F.sum("true_links"), F.sum(least), F.avg(least / F.col("true_links")))
+        .first()
+    )
+    return min(found / all_links, mean) if all_links else 1.0
+
+
 def deduplicate(df: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """``key, n_links, component_id, kept`` and ``audited_recall`` for every row of ``df``."""
-    key_type = df.schema[key].dataType.simpleString()
     nodes = checkpointed(nodes_of(df, vector, key))
     count = nodes.count()
     centroids = fit_centroids(nodes, count)
     most = max([len(c) for c in centroids.values()], default=1)
     truth = checkpointed(true_links(nodes))
-    overlap = OVERLAP
+    overlap, exact = OVERLAP, False
     while True:
-        members = checkpointed(memberships(nodes, centroids, overlap))
-        parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / SHARD).alias("parts"))
-        dealt = members.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-        lists = build(dealt.select("cluster", "part", "node", "unit"), key_type)
-        united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
-        rows = dealt.join(united, "node").select(
-            "cluster", "part", "node", "copies", "unit", "neighbours", F.lit(False).alias("query")
-        )
-        queries = dealt.filter("home").select(
-            "cluster",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-            "node",
-            "copies",
-            "unit",
-            F.lit(None).cast(f"array<{key_type}>").alias("neighbours"),
-            F.lit(True).alias("query"),
-        )
-        found = checkpointed(search(rows.unionByName(queries), key_type))
+        found = checkpointed(found_links(nodes, centroids, overlap, exact))
         linked = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-        audit = truth.join(linked, "node").agg(F.sum("true_links"), F.sum(F.least("true_links", "n_links"))).first()
-        recall = audit[1] / audit[0] if audit[0] else 1.0
-        if recall >= LEAST_RECALL or overlap >= most:
+        recall = audited(truth, linked)
+        if recall >= LEAST_RECALL or exact and overlap >= most:
             break
-        overlap *= 2
+        if exact:
+            overlap *= 2
+        exact = True
     links = found.select(F.col("node").alias("a"), F.explode("near").alias("b"))
     named = nodes.join(linked, "node").join(components(links), "node", "left")
     named = named.select(

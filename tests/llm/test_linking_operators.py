@@ -182,6 +182,44 @@ def test_vectors_without_direction(spark):
     assert embedding_dedup.deduplicate(empty).collect() == []
 
 
+def groups_of_near_vectors(seed, groups, each, size=64):
+    draw = np.random.default_rng(seed)
+    return np.repeat(draw.normal(size=(groups, size)), each, axis=0) + draw.normal(size=(groups * each, size)) * 0.15
+
+
+def check_all_links(spark, vectors):
+    table = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    got = {r.vec_id: r for r in embedding_dedup.deduplicate(
+        spark.createDataFrame(table, "vec_id long, embedding array<double>")).collect()}
+    near = unit_rows(vectors) @ unit_rows(vectors).T >= 0.9
+    np.fill_diagonal(near, False)
+    assert [got[i].n_links for i in range(len(vectors))] == near.sum(axis=1).tolist()
+    want = components_of(range(len(vectors)), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert {r.audited_recall for r in got.values()} == {1.0}
+
+
+def test_links_of_groups_larger_than_the_candidates(spark):
+    check_all_links(spark, groups_of_near_vectors(1, 12, 100))
+
+
+def test_shards_are_compared_exactly_if_the_graph_loses_links(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "range_search", lambda query, vectors, adjacent, starts: np.empty(0, np.int64))
+    for name, value in {"SHARD": 150, "AUDITED": 10_000, "LEAST_RECALL": 1.0}.items():
+        monkeypatch.setattr(embedding_dedup, name, value)
+    check_all_links(spark, groups_of_near_vectors(2, 8, 80))
+
+
+def test_search_enters_every_island():
+    vectors = unit_rows(groups_of_near_vectors(3, 40, 100))
+    adjacent = embedding_dedup.pruned_graph(vectors)
+    starts = embedding_dedup.entries(vectors, adjacent)
+    assert len(starts) == 40
+    for i in range(0, 4000, 37):
+        found = embedding_dedup.range_search(vectors[i], vectors, adjacent, starts)
+        assert found.tolist() == np.flatnonzero(vectors @ vectors[i] >= embedding_dedup.COSINE).tolist()
+
+
 def test_pruned_graph_reaches_all():
     vectors = unit_rows(np.random.default_rng(4).normal(size=(400, 16)))
     adjacent = embedding_dedup.pruned_graph(vectors)
