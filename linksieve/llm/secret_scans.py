@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and a test of token efficiency for what has no pattern.
 
 Fixed patterns find assignments of credentials, access key ids and long hex strings. The
-token-efficiency test looks at every other unbroken run of letters, digits and ``+/=_-``: prose,
-code and names were seen when a vocabulary was made and take few tokens, a random string takes
+token-efficiency test looks at every other unbroken run of letters, digits and ``+/_-``, with one
+or two ``=`` that pad its end, wherever it stands, also after the ``=`` of an assignment: prose, code
+and names were seen when a vocabulary was made and take few tokens, a random string takes
 about one for every two characters. So a run with few characters per token is reported as
 ``random``, unless it is a known digest or identifier: only letters, only digits, a hex digest
 or UUID, a date or version, words joined by ``_``, ``-`` or ``/``, or a part of a span of a fixed
@@ -43,7 +44,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/=_-])" % SHORTEST)
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+(?:={1,2}(?![A-Za-z0-9+/=_-]))?" % SHORTEST)
 HAS_LETTER, HAS_DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 KNOWN = re.compile(
     "(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)"  # digests

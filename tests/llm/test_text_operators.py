@@ -264,6 +264,20 @@ def test_random_strings_are_found_and_known_forms_are_not():
         assert efficiency.random_spans(f"See {known} there.", []) == [], known
 
 
+@pytest.mark.parametrize("before, after", [
+    ("auth=", ""), ("export AWS_KEY=", "\n"), ('sig = "', '";'), ("auth='", "'"), ("https://a.org/x?sig=", "&b=1"), ("a==", "==="),
+    ("see ", "=1"),
+])
+def test_random_strings_beside_an_equals_sign(before, after):
+    efficiency = secret_scans.Efficiency(secret_scans.RANKS)
+    secret = "Zk3x9Qm2Lp8Rt5Vw7Ybn1Cd4"
+    text, start = before + secret + after, len(before)
+    assert efficiency.random_spans(text, secret_scans.base_spans(text)) == [("random", start, start + len(secret))]
+    padded = before + secret + "== "
+    assert efficiency.random_spans(padded, []) == [("random", start, start + len(secret) + 2)]
+    assert efficiency.random_spans("a_long_identifier_with_number_12=some_other_long_identifier_3", []) == []
+
+
 def test_redaction_keeps_the_rest(spark):
     docs = spark.createDataFrame(
         [(1, "a token=abcdef12345 b", 5), (2, None, 6), (3, "clean text.", 7)], "doc_id long, text string, n int"
