@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField
 
@@ -128,7 +128,7 @@ def link_block(nodes: list, sides: np.ndarray, sets: list[np.ndarray], percent:
     component = np.arange(count)
     first_of: dict = {}
     for i, node in enumerate(nodes):  # rows that share an id are in one component
-        component[i] = first_of.setdefault(node, i)
+        component[i] = first_of.setdefault(tuple(node.values()) if isinstance(node, dict) else node, i)
     across = len(np.unique(sides)) > 1
     marked = np.zeros(int(tokens.max()) + 1, bool)
     links = []
@@ -207,10 +207,14 @@ def deduplicate(df: DataFrame, text: str = "text", key: str = "doc_id", size: in
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """All columns of ``df``; of each group of near-duplicates the row with the smallest id.
 
-    Of rows that share that id one stays. Rows without id all stay.
+    A document is an id and a text: rows that share both are copies, of which one stays, and rows
+    that share the id only are near-duplicates of each other only if their texts are. Rows without
+    id all stay.
     """
-    kept = deduplicate(df, text, key, size, percent).filter("kept").select(column(key).alias("\x00kept")).distinct()
-    order = Window.partitionBy(column(key)).orderBy(column(text))
-    stay = df.join(kept, column(key) == column("\x00kept"), "left_semi").withColumn("\x00row", F.row_number().over(order))
-    first = stay.filter(column("\x00row") == 1).drop("\x00row")
+    identity = F.struct(column(key).alias("id"), F.md5(column(text).cast("string").cast("binary")).alias("text"))
+    copies = df.filter(column(key).isNotNull()).withColumn("\x00document", identity)
+    documents = copies.dropDuplicates(["\x00document"])  # aggregated before they are shuffled
+    groups = deduplicate(documents.select("\x00document", column(text)), text, "\x00document", size, percent)
+    kept = groups.filter("kept").select(column("\x00document").alias("\x00kept"))
+    first = documents.join(kept, column("\x00document") == column("\x00kept"), "left_semi").drop("\x00document")
     return first.unionByName(df.filter(column(key).isNull()))

@@ -130,6 +130,24 @@ def test_one_document_of_each_group_stays(spark):
     assert all(r.kept in "abcdefgh" for r in rows)
 
 
+def test_other_texts_of_an_id_stay(spark):
+    base = {name: " ".join(f"{name}{i}" for i in range(100)) for name in "abcd"}
+    docs = [(1, base["a"]), (1, base["b"]), (1, base["b"]), (1, base["c"]), (2, base["c"] + " more"), (0, base["a"] + " more"),
+            (2, base["d"]), (3, base["d"].upper()), (1, base["c"] + " end"), (4, None), (4, None), (None, base["a"])]
+    rows = minmax_dedup.keep_one(spark.createDataFrame(docs, DOCS)).collect()
+    got = sorted((str(r.doc_id), (r.text or "")[:2]) for r in rows)
+    assert got == [("0", "a0"), ("1", "b0"), ("1", "c0"), ("2", "d0"), ("4", ""), ("None", "a0")]
+
+
+def test_a_hot_id_loses_near_duplicates_only(spark):
+    docs = near_copies(5, groups=6, copies=6)
+    _, want = brute_force(docs, 5, 80)
+    rows = minmax_dedup.keep_one(spark.createDataFrame([(7, t) for _, t in docs], DOCS)).collect()
+    assert len(rows) == len(set(want.values()))
+    component = {t: want[i] for i, t in docs}
+    assert {component[r.text] for r in rows} == set(want.values())
+
+
 # -- embeddings ----------------------------------------------------------------
 
 
