@@ -12,7 +12,10 @@ are boilerplate. A block that lies mostly in such runs is removed, and the uniqu
 with equal streams count as one, and a page never loses its whole text this way.
 
 A host's pages are dealt by the hash of their id into shards of about ``SHARD`` pages, so no
-host, however large, is one group; boilerplate shows in every shard as it is on most pages.
+host, however large, is one group. What repeats is decided for the whole host all the same: every
+shard of a large host gives its distinct runs of ``LONG`` tokens as hashes, each with the digests of
+up to ``PAGES`` streams it stands in. These are dealt by run into slices, the distinct streams of a
+run are counted there, and each shard gets back those of its runs that are repeated.
 
 Null and empty html give the empty text. Unclosed and cut tags end with the page. Pages without a
 host form hosts of their own name ``''``. Repeated rows get the same text each. Columns of the
@@ -26,6 +29,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -35,11 +39,12 @@ from linksieve.llm.texts import column
 from linksieve.session import checkpointed
 
 #: Tokens and distinct pages from which a repeated substring is boilerplate, the share of a block
-#: that it must cover, pages in a shard, and the most large hosts that are broadcast.
+#: that it must cover, pages in a shard, shards to a slice, and the most large hosts that are broadcast.
 LONG = 8
 PAGES = 3
 COVERED = 0.8
 SHARD = 256
+SLICE = 4
 BROADCAST_HOSTS = 50_000
 
 # Names that markup uses.
@@ -185,8 +190,112 @@ def repeated_tokens(tokens: np.ndarray, page_of: np.ndarray, pages: int = PAGES)
     return inside
 
 
-def host_texts(pages: list[str | None]) -> tuple[list[str], list[int]]:
-    """Main texts of pages of one host, and how many tokens of each lie in repeated runs."""
+def run_hashes(words: list[str], tokens: np.ndarray, page_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of ``LONG`` tokens that cross no page, and the hashes of these runs.
+
+    ``tokens`` are indices of ``words``.
+    """
+    count = len(tokens) - LONG + 1
+    if count < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    hashed = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)[tokens]
+    rolled = hashed[:count].copy()
+    for shift in range(1, LONG):
+        rolled *= np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(32)
+        rolled += hashed[shift : count + shift]
+    rolled *= np.uint64(0xC2B2AE3D27D4EB4F)
+    rolled ^= rolled >> np.uint64(29)
+    starts = np.flatnonzero(page_of[:count] == page_of[LONG - 1 :])
+    return starts, rolled[starts]
+
+
+def distinct_pairs(runs: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs by run, and the how manieth of its run each one is, from 0."""
+    order = np.lexsort((streams, runs))
+    runs, streams = runs[order], streams[order]
+    new_run = np.r_[True, runs[1:] != runs[:-1]][: len(runs)]
+    new = new_run | np.r_[True, streams[1:] != streams[:-1]][: len(runs)]
+    runs, streams, new_run = runs[new], streams[new], new_run[new]
+    firsts = np.flatnonzero(new_run)
+    return runs, streams, np.arange(len(runs)) - np.repeat(firsts, np.diff(np.r_[firsts, len(runs)]))
+
+
+def shard_runs(pages: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs of a shard's pages, each with the digests of up to ``PAGES`` streams: by digest."""
+    numbers: dict[str, int] = {}
+    tokens: list[int] = []
+    sizes: dict[int, int] = {}  # digest of a distinct stream -> its tokens
+    for page in pages:
+        blocks = [text for text, _ in page_blocks(page)]
+        digest = xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass"))
+        if digest not in sizes:
+            words = [w for text in blocks for w in text.split()]
+            sizes[digest] = len(words)
+            tokens += [numbers.setdefault(w, len(numbers)) for w in words]
+    stream_of = np.repeat(np.array(list(sizes), np.uint64), list(sizes.values()))
+    starts, runs = run_hashes(list(numbers), np.array(tokens, np.int64), stream_of)
+    runs, streams, place = distinct_pairs(runs, stream_of[starts])
+    runs, streams = runs[place < PAGES], streams[place < PAGES]
+    order = np.argsort(streams, kind="stable")
+    return runs[order], streams[order]
+
+
+def repeated_runs(sharded: DataFrame) -> DataFrame:
+    """``host, shard, runs``: the runs of each shard that stand in ``PAGES`` streams of its host or more.
+
+    ``sharded`` has the html, host, shard and number of shards as its columns from the third on; a
+    host in one shard, whose number is null, is left out.
+    """
+
+    def give(table: pa.Table) -> pa.Table:
+        host, shard, shards = (table.column(i)[0].as_py() for i in (3, 4, 5))
+        made = []
+        if shards is not None:
+            runs, streams = shard_runs(table.column(2).to_pylist())
+            slices = -(-shards // SLICE)
+            slice_of = runs % np.uint64(slices)
+            for number in range(slices):
+                own = slice_of == number
+                if own.any():
+                    digests, counts = np.unique(streams[own], return_counts=True)  # streams are in this order
+                    made.append((number, digests.tobytes(), counts.astype("<u4").tobytes(), runs[own].tobytes()))
+        numbers, digests, counts, runs = zip(*made) if made else [()] * 4
+        return pa.table(
+            {
+                "host": pa.array([host] * len(made), pa.string()),
+                "shard": pa.array([shard] * len(made), pa.int64()),
+                "slice": pa.array(numbers, pa.int64()),
+                "digests": pa.array(digests, pa.binary()),
+                "counts": pa.array(counts, pa.binary()),
+                "runs": pa.array(runs, pa.binary()),
+            }
+        )
+
+    def count(table: pa.Table) -> pa.Table:
+        runs_of = [np.frombuffer(r, np.uint64) for r in table.column("runs").to_pylist()]
+        streams = [
+            np.repeat(np.frombuffer(d, np.uint64), np.frombuffer(c, "<u4"))
+            for d, c in zip(table.column("digests").to_pylist(), table.column("counts").to_pylist())
+        ]
+        runs, _, place = distinct_pairs(np.concatenate(runs_of), np.concatenate(streams))
+        often = runs[place == PAGES - 1]  # in order, one each
+        found = [own[np.isin(own, often)] for own in map(np.unique, runs_of)]
+        some = pa.array([len(f) > 0 for f in found], pa.bool_())
+        values = pa.array([f.tobytes() for f in found], pa.binary())
+        return table.select(["host", "shard"]).append_column("runs", values).filter(some)
+
+    given = sharded.groupBy("\x00host", "\x00shard").applyInArrow(
+        give, "host string, shard long, slice long, digests binary, counts binary, runs binary"
+    )
+    return given.groupBy("host", "slice").applyInArrow(count, "host string, shard long, runs binary")
+
+
+def host_texts(pages: list[str | None], known: np.ndarray | None = None) -> tuple[list[str], list[int]]:
+    """Main texts of pages of one host, and how many tokens of each lie in repeated runs.
+
+    ``known`` has hashes of further runs that are repeated, on pages of the host that are not here.
+    """
     parsed = [page_blocks(p) for p in pages]
     numbers: dict[str, int] = {}
     streams: dict[tuple, int] = {}  # distinct stream -> its page
@@ -202,7 +311,13 @@ def host_texts(pages: list[str | None]) -> tuple[list[str], list[int]]:
             for block in words:
                 tokens += [numbers.setdefault(w, len(numbers)) for w in block]
     page_of = np.repeat(list(sizes), [n.sum() for n in sizes.values()]).astype(np.int64)
-    inside = np.r_[0, np.cumsum(repeated_tokens(np.array(tokens, np.int64), page_of))]
+    lies_in = repeated_tokens(np.array(tokens, np.int64), page_of)
+    if known is not None and len(known):
+        starts, runs = run_hashes(list(numbers), np.array(tokens, np.int64), page_of)
+        starts = starts[np.isin(runs, known)]
+        for shift in range(LONG):
+            lies_in[starts + shift] = True
+    inside = np.r_[0, np.cumsum(lies_in)]
     texts, repeated = [], []
     for i, blocks in enumerate(parsed):
         covered = inside[ends[same[i]]] - inside[ends[same[i]] - sizes[same[i]]]
@@ -226,7 +341,8 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
             "\x00shards", F.ceil(F.col("count") / SHARD)
         )
     ).drop("count")
-    if large.count() <= BROADCAST_HOSTS:
+    n_large = large.count()
+    if n_large <= BROADCAST_HOSTS:
         dealt_pages = source.join(F.broadcast(large), column("\x00host") == column("\x00large"), "left")
     else:  # a large host's row is repeated, so that its pages meet it in many places
         salts = 64
@@ -238,15 +354,22 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
             "left",
         )
     shard = F.pmod(dealt, F.coalesce(column("\x00shards"), F.lit(1)))
-    sharded = dealt_pages.select(column(key), column(url), "\x00html", "\x00host", shard.alias("\x00shard"))
+    sharded = dealt_pages.select(
+        column(key), column(url), "\x00html", "\x00host", shard.alias("\x00shard"), "\x00shards"
+    )
     longs = [StructField("n_chars", LongType()), StructField("n_repeated", LongType())]
     schema = StructType([*sharded.schema.fields[:2], StructField("text", StringType()), *longs])
     arrow = to_arrow_schema(schema)
 
-    def texts(table: pa.Table) -> pa.Table:
-        made, repeated = host_texts(table.column(2).to_pylist())
+    def texts(table: pa.Table, runs: pa.Table | None = None) -> pa.Table:
+        packed = runs.column("runs").to_pylist() if runs is not None else []
+        made, repeated = host_texts(table.column(2).to_pylist(), np.frombuffer(b"".join(packed), np.uint64))
         values = made, [len(t) for t in made], repeated
         columns = [table.column(i).cast(arrow.field(i).type) for i in range(2)]
         return pa.Table.from_arrays([*columns, *map(pa.array, values, arrow.types[2:])], schema=arrow)
 
-    return sharded.groupBy("\x00host", "\x00shard").applyInArrow(texts, schema)
+    pages = sharded.groupBy("\x00host", "\x00shard")
+    if not n_large:
+        return pages.applyInArrow(lambda table: texts(table), schema)
+    runs = repeated_runs(sharded).groupBy("host", "shard")
+    return pages.cogroup(runs).applyInArrow(lambda table, runs: texts(table, runs), schema)

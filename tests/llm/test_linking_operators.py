@@ -320,6 +320,26 @@ def test_pages_of_hot_hosts(spark, monkeypatch, broadcast):
     assert html_extraction.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("broadcast", [html_extraction.BROADCAST_HOSTS, 0])
+def test_a_large_host_repeats_what_it_would_as_a_small_one(spark, monkeypatch, broadcast):
+    def page(i, section):
+        menu = " ".join(f"menu{section}{k}" for k in range(12))
+        return f"<div class=x{i}><p>{menu}</p><p>{' '.join(f'own{i}{k}' for k in range(15))}</p></div>"
+
+    pages = [page(i, i % 15) for i in range(60)]  # four pages a section
+    pages += [page(i, f"two{i // 2}") for i in range(100, 120)]  # two, which is no boilerplate
+    pages += [page(1000, "same").replace("x1000", f"x{i}") for i in range(20)]  # equal streams count once
+    want = dict(enumerate(zip(*html_extraction.host_texts(pages))))
+    monkeypatch.setattr(html_extraction, "SHARD", 8)
+    monkeypatch.setattr(html_extraction, "BROADCAST_HOSTS", broadcast)
+    rows = [(i, f"http://one.org/{i}", p) for i, p in enumerate(pages)]
+    rows += [(i + 1000, f"http://small{i}.org/", p) for i, p in enumerate(pages[:5])]
+    got = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.text, r.n_repeated) for r in got if r.page_id < 1000} == want
+    assert sum(len(text.split()) == 15 for text, _ in want.values()) == 60
+    assert all(r.n_repeated == 0 for r in got if r.page_id >= 1000) and len(got) == len(rows)
+
+
 def test_pages_of_the_table(spark, sf_dir):
     rows = html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
