@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linksieve.llm import (
     bpe,
+    byte_bpe,
     embedding_dedup,
     html_extraction,
     license_scans,
@@ -74,6 +75,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scans.scan(_table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids and decoded bytes of every document, as counts and digests."""
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_best_fit_packing,
         op10_license_scan,
+        op12_byte_bpe,
     )
 }
 
