@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from linksieve.llm import (
     bpe,
     byte_bpe,
+    collocations,
     embedding_dedup,
+    embedding_whitening,
     html_extraction,
     license_scans,
     minmax_dedup,
@@ -75,11 +77,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scans.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their eight leading components, each of variance one."""
+    return embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids and decoded bytes of every document, as counts and digests."""
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language of all documents."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,10 +105,13 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_best_fit_packing,
         op10_license_scan,
+        op11_whitening,
         op12_byte_bpe,
+        op13_collocations,
     )
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
