@@ -49,7 +49,9 @@ _NEVER = 255
 _CLEANED = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" "
 )
-_COUNTS = "lang string, size int, start int, phrase string, rows long"
+# A key is language, line feed and phrase, as one string shuffles better than two; a phrase has no
+# line feed. The start of a triple, which nothing waits for, is negative.
+_COUNTS = "key string, start int, rows long"
 
 
 def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -58,6 +60,16 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
 
 
+def _parted(counts: DataFrame) -> DataFrame:
+    """``lang, size, phrase`` of a key, with its rows."""
+    phrase = F.substring_index("key", "\n", -1)
+    words = F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1
+    return counts.select(
+        F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"),
+        phrase.alias("phrase"), "start", "rows",
+    ).select("lang", F.when(F.col("phrase") == "", 0).otherwise(words).alias("size"), "start", "phrase", "rows")
+
+
 def _word_place(places: int) -> Column:
     return F.xxhash64("lang", "phrase").bitwiseAND(F.lit(places - 1))
 
@@ -127,27 +139,21 @@ def _scan(texts: DataFrame, step: int, shards: int, words_at: np.ndarray, pairs_
     context = texts.sparkSession.sparkContext
     known = context.broadcast((words_at.tobytes(), pairs_at.tobytes()))
 
-    def batch(lang, size, start, phrases, rows):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang]).take(pa.array(np.zeros(len(rows), np.int64))),
-                pa.array(np.full(len(rows), size), pa.int32()),
-                pa.array(start, pa.int32()),
-                phrases.cast(pa.string()),
-                pa.array(rows, pa.int64()),
-            ],
-            names=["lang", "size", "start", "phrase", "rows"],
-        )
+    def batch(lang, start, phrases, rows):
+        keys = pc.binary_join_element_wise(pa.scalar(lang.encode()), phrases, pa.scalar(b"\n"))
+        columns = [keys.cast(pa.string()), pa.array(start, pa.int32()), pa.array(rows, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "start", "rows"])
 
     def batches_of(held: dict[str, list[bytes]], words_at, pairs_at):
         for lang, data in held.items():
             words, total, found = count_phrases(lang, data, step, shards, words_at, pairs_at)
             if step < shards:
-                yield batch(lang, 0, [0], pa.array([""]), [total])
+                yield batch(lang, [0], pa.array([b""]), [total])
             names = pa.array(words, pa.binary())
             for size, start, numbers, rows in found:
                 taken = [names.take(pa.array(n)) for n in numbers]
-                yield batch(lang, size, start, pc.binary_join_element_wise(*taken, pa.scalar(b" ")), rows)
+                phrases = pc.binary_join_element_wise(*taken, pa.scalar(b" "))
+                yield batch(lang, -start if size == 3 else start, phrases, rows)
 
     def run(batches):
         words_at, pairs_at = (np.frombuffer(b, np.uint8) for b in known.value)
@@ -215,12 +221,12 @@ def frequent_phrases(
         running = range(max(step - shards + 1, 0), step + 1)
         sums = spark.read.schema(_COUNTS).parquet(*(f"{folder}/sums/{s}" for s in running))
         begun = step - shards + 1  # circles that began here are complete now
-        sums = sums.filter((F.col("start") == begun) | (F.col("start") > begun) & F.col("size").isin(1, 2))
-        added = sums.groupBy("lang", "size", "start", "phrase").agg(F.sum("rows").alias("rows"))
-        enough = added.filter((F.col("size") == 0) | (F.col("rows") >= least))
+        sums = sums.filter((F.abs("start") == begun) | (F.col("start") > begun))
+        added = sums.groupBy("key", "start").agg(F.sum("rows").alias("rows"))
+        enough = added.filter((F.col("rows") >= least) | F.col("key").endswith("\n"))
         enough.write.parquet(f"{folder}/enough/{step}")
-        enough = spark.read.schema(_COUNTS).parquet(f"{folder}/enough/{step}")
-        decided.append(enough.filter(F.col("start") == begun))
+        enough = _parted(spark.read.schema(_COUNTS).parquet(f"{folder}/enough/{step}"))
+        decided.append(enough.filter(F.abs("start") == begun))
         # a phrase of one word begins a circle for pairs at the next scan, and so do pairs for triples
         some_words = _note(words_at, enough.filter("size = 1"), _word_place(places), step)
         some_pairs = _note(pairs_at, enough.filter("size = 2"), _pair_place(places), step)
@@ -300,12 +306,18 @@ def collocations(
     alone = candidates.join(longer, ["lang", "phrase"], "left").filter(
         F.coalesce(100 * F.col("longer") < covered * F.col("a"), F.lit(True)) | (F.col("size") == 3)
     )
-    # the first of a part of the phrases, then the first of those: no task ranks all of a language
+    # ranges of the ranking, each ranked by itself after the rows of those before it
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    parts = alone.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(32)))
-    some = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
-    some = some.filter(F.col("rank") <= first).drop("rank", "part")
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranged = alone.repartitionByRange("lang", *order).withColumn("range", F.spark_partition_id())
+    ranged.write.parquet(f"{folder}/ranged")
+    ranged = spark.read.parquet(f"{folder}/ranged")
+    before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("lang", "range").agg(F.count("*").alias("rows"))  # a row per language and range
+    offsets = sizes.select("lang", "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("lang", "range").orderBy(*order))
+    ranked = ranged.join(offsets.filter(F.col("offset") < first), ["lang", "range"]).withColumn(
+        "rank", F.col("offset") + place
+    )
     words = counted.filter("size = 0").select("lang", F.col("rows").alias("n"))  # a row per language
     return (
         ranked.filter(F.col("rank") <= first)
