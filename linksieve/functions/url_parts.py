@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from linksieve.functions.canonical import SCHEME_PATTERN
 from linksieve.functions.lexicons import DEFAULT_LEXICONS
-from linksieve.functions.strings import column, in_list
+from linksieve.functions.strings import column
+from linksieve.functions.suffixes import registered_domain
 
 PART_NAMES = (
     "scheme", "fragment", "query", "path", "userinfo", "host", "port", "host_parts", "is_ip",
@@ -29,14 +30,6 @@ _OCTET = "(?:[01]?[0-9]{1,2}|2[0-4][0-9]|25[0-5])"
 _IPV4_ADDRESS = rf"^{_OCTET}(?:[.]{_OCTET}){{3}}\n?\z"
 
 
-def registered_domain(host: str, suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes) -> str:
-    """P11 for names, as SQL over the SQL text ``host``: the last two labels, or three
-    when the last two are a public suffix."""
-    last_two = f"substring_index({host}, '.', -2)"
-    listed = in_list(last_two, suffixes)
-    return f"if({listed}, substring_index({host}, '.', -3), {last_two})"
-
-
 # Parts by stage. ``{part}`` stands for the column of a part of an earlier stage;
 # patterns hold braces themselves, so they are filled in the same way.
 _STEPS: tuple[dict[str, str], ...] = (
@@ -107,7 +100,8 @@ def with_url_parts(
 ) -> DataFrame:
     """Add the parts of column ``url``, named ``prefix`` + part name.
 
-    A null URL is read as an empty string; no part is ever null. ``keep_text``
+    A null URL is read as an empty string; no part is ever null. ``suffixes`` are rules
+    of any depth (see :mod:`linksieve.functions.suffixes`). ``keep_text``
     leaves that string in the result as ``text`` with the prefix.
     """
     # Helpers have a prefix in any case, not to replace a column of that name.

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linksieve.functions.lexicons import DEFAULT_LEXICONS
 from linksieve.functions.strings import column, quoted
 from linksieve.functions.url_parts import with_url_parts
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES
+from linksieve.operators.metrics import accumulate, score_counts
 
 # Fixed value: the two single rules the corpus is checked for.
 COLLECTION_RULES = {
@@ -67,6 +69,51 @@ def rule_audit(
     return _long(fired.groupBy(*by).agg(*aggs), by, rules, "rule", fields)
 
 
+def rule_search(df: DataFrame, names: Sequence[str] = FEATURE_NAMES) -> DataFrame:
+    """D1. For every numeric column the single rule that separates the classes best.
+
+    A rule is ``value >= threshold`` or ``value < threshold`` for a value that occurs, and says
+    phishing where it fires. Of equally accurate rules the first form comes first, then the lower
+    threshold. One pass counts the classes by (column, value); running counts over ranges of
+    these, at any number of distinct values, give every threshold's outcome.
+
+    ``feature, direction, threshold``, percent of each class it fires on, accuracy, the majority
+    baseline and the gain over it. Rows without a label, and null or NaN values, take no part.
+    """
+    values = [f"named_struct('feature', {quoted(n)}, 'score', double({column(n)}))" for n in names]
+    long = df.filter("label is not null").select(
+        "label", F.expr(f"inline(array({', '.join(values)}))")
+    )
+    points = accumulate(score_counts(long, ["feature"], p="score"), ["feature"])
+    tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
+    right = tp + F.col("all_neg") - fp
+    rows = F.col("all_pos") + F.col("all_neg")
+    outcome = [tp.alias("tp"), fp.alias("fp"), F.col("all_pos").alias("pos"), F.col("all_neg").alias("neg")]
+    found = points.groupBy("feature").agg(
+        F.max(F.struct(right.alias("right"), (-F.col("score")).alias("low"), *outcome)).alias("up"),
+        F.max(F.struct((rows - right).alias("right"), (-F.col("score")).alias("low"), *outcome)).alias("down"),
+    )
+    upward = F.col("up.right") >= F.col("down.right")
+    best = found.select("feature", upward.alias("upward"), F.when(upward, F.col("up")).otherwise(F.col("down")).alias("r"))
+    fired = {c: F.when(F.col("upward"), F.col(f"r.{c}")).otherwise(F.col(f"r.{n}") - F.col(f"r.{c}"))
+             for c, n in (("tp", "pos"), ("fp", "neg"))}
+    n = F.col("r.pos") + F.col("r.neg")
+
+    def percent(part: Column, whole: Column) -> Column:
+        return F.try_divide(part * 100.0, whole)
+
+    accuracy, baseline = percent(F.col("r.right"), n), percent(F.greatest("r.pos", "r.neg"), n)
+    return best.select(
+        "feature", F.when(F.col("upward"), ">=").otherwise("<").alias("direction"),
+        # minus zero is a zero
+        (F.lit(0.0) - F.col("r.low")).alias("threshold"),
+        percent(fired["tp"], F.col("r.pos")).alias("phishing_pct"),
+        percent(fired["fp"], F.col("r.neg")).alias("legitimate_pct"),
+        accuracy.alias("accuracy_pct"), baseline.alias("baseline_pct"),
+        (accuracy - baseline).alias("gain_pct"),
+    )
+
+
 def class_balance(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """D2. Rows and share per label, with the accuracy of always guessing the majority."""
     whole = Window.partitionBy(*by)
@@ -78,9 +125,14 @@ def class_balance(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def with_domain(df: DataFrame, name: str = "domain") -> DataFrame:
-    """Add the registrable domain of ``url``; addresses have none (empty string)."""
-    parts = with_url_parts(df, "url", "__")
+def with_domain(
+    df: DataFrame, name: str = "domain", suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes
+) -> DataFrame:
+    """Add the registrable domain of ``url``; addresses have none (empty string).
+
+    ``suffixes`` should be the rules the features were made with: D3, D4 and D8 follow from them.
+    """
+    parts = with_url_parts(df, "url", "__", suffixes)
     return parts.select(*[F.col(f"`{c}`") for c in df.columns], F.col("__registered").alias(name))
 
 

@@ -21,6 +21,7 @@ from linksieve.functions.strings import (
     words_found,
 )
 from linksieve.functions.url_parts import with_url_parts
+from linksieve.functions.words import many, words_in
 
 # Feature names in the order of the feature table, by family.
 FEATURE_FAMILIES: dict[str, tuple[str, ...]] = {
@@ -129,10 +130,13 @@ def _suspicion(lex: Lexicons) -> dict[str, str]:
         "is_shortener": (
             f"{in_list('__registered', lex.shorteners)} OR {in_list('__host', lex.shorteners)}"
         ),
-        "num_suspicious_keywords": words_found("__lower_text", lex.keywords),
+        "num_suspicious_keywords": (
+            "__found.counted" if many(lex.keywords) else words_found("__lower_text", lex.keywords)
+        ),
         "has_suspicious_tld": in_list("__tld", lex.suspicious_tlds),
         "brand_domain_mismatch": (
-            f"NOT {in_list(first_label, lex.brands)} AND {any_word_found('__lower_text', lex.brands)}"
+            f"NOT {in_list(first_label, lex.brands)} AND "
+            + ("__found.wanted" if many(lex.brands) else any_word_found("__lower_text", lex.brands))
         ),
         "digit_letter_ratio": "if(__letters > 0, __digits / __letters, double(__digits > 0))",
         **{name: f"__measured.{name}" for name in MEASURES},
@@ -167,7 +171,8 @@ def with_features(
 ) -> DataFrame:
     """FX. ``df`` plus one float column per feature, computed from column ``url``.
 
-    Map only: no shuffle, and Python only for ``MEASURES``, in Arrow batches. A null URL gives the row of an empty string
+    Map only: no shuffle, and Python only for ``MEASURES`` and word lists of more than
+    ``FEW_WORDS``, in Arrow batches. A null URL gives the row of an empty string
     and no value is ever null, NaN or infinite. Columns that are not asked for,
     and the URL parts only they need, are pruned by the optimizer.
 
@@ -181,6 +186,11 @@ def with_features(
     out = out.withColumns({_PREFIX + name: F.expr(sql) for name, sql in _counts().items()})
     if set(MEASURES) & set(features):
         out = out.withColumn(_PREFIX + "measured", character_measures("__text", "__registered"))
+    # long word lists are searched for together; a list that is short, or not asked for, is left out
+    counted = lexicons.keywords if many(lexicons.keywords) and "num_suspicious_keywords" in features else ()
+    wanted = lexicons.brands if many(lexicons.brands) and "brand_domain_mismatch" in features else ()
+    if counted or wanted:
+        out = out.withColumn(_PREFIX + "found", words_in("__lower_text", counted, wanted))
     measures = {**_lexical(), **_structural(lexicons), **_suspicion(lexicons)}
     return out.selectExpr(
         *[column(name) for name in df.columns],

@@ -283,3 +283,38 @@ def threshold_sweep(
         )
     )
     return with_rates(counts)
+
+
+def threshold_choice(
+    scored: DataFrame,
+    precisions: Iterable[float],
+    by: Sequence[str] = (),
+    label: str = "label",
+    p: str = "p_phish",
+) -> DataFrame:
+    """M8. For every wanted precision the threshold with the largest recall that keeps it.
+
+    ``wanted, threshold, precision, recall, tp, fp`` of the rule ``p >= threshold``, chosen among
+    all distinct scores; of thresholds with equal recall the highest, which has the fewest false
+    alarms. A precision that no score reaches has a null threshold.
+    """
+    wanted = sorted(set(precisions))
+    tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
+    points = cumulative_counts(scored, by, label, p).select(*by, "score", "all_pos", tp.alias("tp"), fp.alias("fp"))
+    # counts are compared, not their ratio: at the precision itself there is nothing to round
+    fits = [F.col("tp") >= F.lit(w) * (F.col("tp") + F.col("fp")) for w in wanted]
+    point = F.struct("tp", "score", "fp", "all_pos")
+    best = points.groupBy(*by).agg(
+        F.max("all_pos").alias("positives"), *[F.max(F.when(f, point)).alias(f"best{i}") for i, f in enumerate(fits)]
+    )
+    rows = F.explode(
+        F.array(*[F.struct(F.lit(w).alias("wanted"), F.col(f"best{i}").alias("at")) for i, w in enumerate(wanted)])
+    )
+    found = best.filter(F.col("positives").isNotNull()).select(*by, rows.alias("r"))
+    tp, fp = F.col("r.at.tp"), F.col("r.at.fp")
+    return found.select(
+        *by, F.col("r.wanted").alias("wanted"), F.col("r.at.score").alias("threshold"),
+        F.try_divide(tp.cast("double"), tp + fp).alias("precision"),
+        F.try_divide(tp.cast("double"), F.col("r.at.all_pos")).alias("recall"),
+        tp.alias("tp"), fp.alias("fp"),
+    )

@@ -8,12 +8,14 @@ unique URLs; as it is read several times, pass a stored table.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linksieve.functions.lexicons import DEFAULT_LEXICONS
 from linksieve.functions.strings import column
-from linksieve.functions.url_parts import registered_domain
+from linksieve.functions.suffixes import registered_domain
 from linksieve.operators.ordering import Cuts, find_cuts
 from linksieve.session import checkpointed
 
@@ -135,13 +137,13 @@ def with_folds(corpus: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataF
     return corpus.withColumn("fold", cuts.segment())
 
 
-def raw_host_domain(url: str = "url") -> Column:
+def raw_host_domain(url: str = "url", suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes) -> Column:
     """Registrable domain of the bare text of column ``url`` before the first slash.
 
     Port, user info and query are not cut off, and addresses are treated like
     names: ``a.com:80`` is a domain of its own and ``1.2.3.4`` belongs to ``3.4``.
     """
-    return F.expr(registered_domain(f"substring_index({column(url)}, '/', 1)"))
+    return F.expr(registered_domain(f"substring_index({column(url)}, '/', 1)", suffixes))
 
 
 def domain_disjoint_split(
@@ -150,6 +152,7 @@ def domain_disjoint_split(
     held_out_fraction: float = HELD_OUT_DOMAINS,
     test_per_class: int = TEST_PER_CLASS,
     domain: Column | None = None,
+    suffixes: Iterable[str] = DEFAULT_LEXICONS.suffixes,
 ) -> DataFrame:
     """L5. ``corpus`` with ``domain`` and ``split``: ``train``, ``test`` or ``unused``.
 
@@ -158,7 +161,7 @@ def domain_disjoint_split(
     a domain is held out follows from its own hash, so the rows, a third of which
     may share one domain, are neither joined nor shuffled by domain.
     """
-    with_domain = corpus.withColumn("domain", raw_host_domain() if domain is None else domain)
+    with_domain = corpus.withColumn("domain", raw_host_domain(suffixes=suffixes) if domain is None else domain)
     # Written out, as it is read again for each narrowing of the cut.
     domains = checkpointed(with_domain.select("domain").distinct())
     held_out = find_cuts(
