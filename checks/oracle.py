@@ -12,6 +12,7 @@ from linksieve.functions.lexicons import DEFAULT_LEXICONS as LEX
 from linksieve.operators.diagnostics import COLLECTION_RULES
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES
 from linksieve.operators.metrics import SWEEP_THRESHOLDS
+from linksieve.plans.queries import SUFFIX_RULES, WANTED_PRECISIONS
 from linksieve.plans.sample_corpus import LINEITEM_SQL, ORDERS_SQL
 
 
@@ -390,6 +391,59 @@ def fires_ctes() -> tuple[tuple[str, str], ...]:
     return (*CLEAN, ("fires", FIRES.format(**by_source)))
 
 
+MAILED = (
+    "mailed", "SELECT CASE WHEN length(url) % 2 = 0 THEN 'mail.' || url ELSE url END AS url, label FROM corpus"
+)
+
+
+def suffix_ctes(rules) -> tuple[tuple[str, str], ...]:
+    """CTE ``ruled``: parts of ``mailed`` with ``domain`` by every suffix of a host joined to a table of rules."""
+    kinds = {"*": "wildcard", "!": "exception"}
+    rows = ", ".join(f"('{kinds.get(r[0], 'plain')}', '{r.lstrip('*!').lstrip('.')}')" for r in rules)
+    tails = """
+    SELECT host, labels, d, array_to_string(labels[-d:], '.') AS tail
+    FROM (SELECT host, labels, unnest(range(1, len(labels) + 1)) AS d FROM (SELECT DISTINCT host, labels FROM parts))
+    """
+    depths = f"""
+    SELECT host, max(CASE WHEN kind = 'exception' THEN d - 1 END) AS excepted,
+      max(CASE WHEN kind = 'plain' THEN d WHEN kind = 'wildcard' AND len(labels) > d THEN d + 1 END) AS matched
+    FROM tails JOIN (VALUES {rows}) AS rules(kind, rule) ON rule = tail GROUP BY host
+    """
+    ruled = """
+    SELECT url, label, host, CASE WHEN is_ip THEN '' ELSE
+      array_to_string(labels[-(coalesce(excepted, matched, 1) + 1):], '.') END AS domain
+    FROM parts LEFT JOIN depths USING (host)
+    """
+    return (*CLEAN, MAILED, *parts_cte("mailed", "url, label"), ("tails", tails), ("depths", depths), ("ruled", ruled))
+
+
+KEYWORD_CTES = (
+    RAW, *parts_cte("raw", "row_id"),
+    ("short", "SELECT DISTINCT substr(md5(o_orderkey::VARCHAR), 1, 4) AS w FROM orders"),
+    ("long", "SELECT DISTINCT substr(md5(o_orderkey::VARCHAR), 7, 5) AS w FROM orders"),
+    *(
+        (f"in_{name}", f"""
+        SELECT row_id, count(*) AS n FROM (SELECT row_id, unnest(list_distinct(list_transform(
+          range(1, length(u) - {size} + 2), lambda i: substr(lower(u), i, {size})))) AS w FROM parts)
+        JOIN {name} USING (w) GROUP BY row_id
+        """)
+        for name, size in (("short", 4), ("long", 5))
+    ),
+)
+RULE_COLUMNS = (*FEATURE_NAMES, *COLLECTION_RULES)
+RULE_CTES = (
+    RAW, ("known_rows", "SELECT row_id, url, label FROM raw WHERE url IS NOT NULL"), *parts_cte("known_rows", "row_id, label"), RUNS,
+    ("feats", features_sql("row_id, label, contains(u, '://')::INT AS has_scheme, (u LIKE '%/')::INT AS ends_with_slash")),
+    ("long", "SELECT label, unnest([" + ", ".join(f"{{'f': '{n}', 'v': {n}::DOUBLE}}" for n in RULE_COLUMNS) + "]) AS r FROM feats"),
+    ("points", "SELECT r.f AS f, r.v AS v, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg "
+               "FROM long GROUP BY ALL"),
+    ("running", "SELECT f, v, sum(pos) OVER (PARTITION BY f ORDER BY v DESC) AS tp, sum(neg) OVER (PARTITION BY f ORDER BY v DESC) AS fp, "
+                "sum(pos) OVER (PARTITION BY f) AS p, sum(neg) OVER (PARTITION BY f) AS n FROM points"),
+    ("turns", "SELECT f, v, '>=' AS direction, 0 AS turn, tp, fp, p, n, tp + n - fp AS good FROM running UNION ALL "
+             "SELECT f, v, '<', 1, p - tp, n - fp, p, n, p + fp - tp FROM running"),
+)
+
+
 ORACLES: dict[str, str] = {
     "shards": with_ctes("SELECT url, CAST(label AS TINYINT) AS label FROM raw", RAW),
     "canonical_steps": with_ctes(
@@ -439,6 +493,27 @@ ORACLES: dict[str, str] = {
     "feature_store": with_ctes(
         features_sql("url, CAST(label AS TINYINT) AS label"), *CORPUS_PARTS, RUNS
     ),
+    "feature_store_delta": with_ctes(
+        features_sql("url, CAST(label AS TINYINT) AS label"),
+        *CLEAN, ("newer", "SELECT url, label FROM corpus WHERE url NOT LIKE '%88%'"),
+        *parts_cte("newer", "url, label"), RUNS,
+    ),
+    "corpus_merge": CORPUS_SELECT,
+    "suffix_rules": with_ctes(
+        "SELECT url, host, domain AS registered, CASE WHEN domain = '' THEN '' ELSE "
+        "left(host, greatest(length(host) - length(domain) - 1, 0)) END AS subdomain FROM ruled",
+        *suffix_ctes(SUFFIX_RULES),
+    ),
+    "suffix_rule_domains": with_ctes(RATES_BY_DOMAIN.replace("domains", "ruled"), *suffix_ctes(SUFFIX_RULES)),
+    "keyword_scan": with_ctes(
+        """
+        SELECT row_id, coalesce(s.n, 0)::DOUBLE AS num_suspicious_keywords,
+          (l.n IS NOT NULL AND split_part(registered, '.', 1) NOT IN (SELECT w FROM long))::INT::DOUBLE
+            AS brand_domain_mismatch
+        FROM parts LEFT JOIN in_short s USING (row_id) LEFT JOIN in_long l USING (row_id)
+        """,
+        *KEYWORD_CTES,
+    ),
     "split_train_val_test": with_ctes(
         "SELECT url, CAST(label AS TINYINT) AS label, split FROM split", *SPLIT
     ),
@@ -504,12 +579,38 @@ ORACLES: dict[str, str] = {
         f"(SELECT unnest({list(SWEEP_THRESHOLDS)}::DOUBLE[]) AS threshold) GROUP BY threshold)",
         *SCORED,
     ),
+    "threshold_choice": with_ctes(
+        """
+        SELECT wanted, round(threshold, 6) AS threshold, round(tp / (tp + fp), 6) AS precision,
+          round(tp / n1, 6) AS recall, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp
+        FROM wishes LEFT JOIN (
+          SELECT wanted AS w, p_phish AS threshold, tp, fp, n1 FROM points, wishes WHERE tp >= wanted * (tp + fp)
+          QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY tp DESC, p_phish DESC) = 1) ON w = wanted
+        """,
+        *SCORED_MANY, ("wishes", f"SELECT unnest({list(WANTED_PRECISIONS)}::DOUBLE[]) AS wanted"),
+        ("points", """
+        SELECT p_phish, sum(pos) OVER (ORDER BY p_phish DESC) AS tp, sum(neg) OVER (ORDER BY p_phish DESC) AS fp,
+          sum(pos) OVER () AS n1
+        FROM (SELECT p_phish, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+              FROM scored GROUP BY p_phish)
+        """),
+    ),
     "verdicts": with_ctes(
         "SELECT CASE WHEN prediction = 1 THEN 'PHISHING' ELSE 'legitimate' END AS verdict, "
         "round(p_phish, 4) AS p, url FROM scored",
         *SCORED,
     ),
     "rule_audit": with_ctes(rule_sql("raw", "raw") + " UNION ALL " + rule_sql("clean", "corpus"), *CLEAN),
+    "rule_search": with_ctes(
+        """
+        SELECT f AS feature, direction, round(v, 6) AS threshold, round(tp * 100 / p, 6) AS phishing_pct,
+          round(fp * 100 / n, 6) AS legitimate_pct, round(good * 100 / (p + n), 6) AS accuracy_pct,
+          round(greatest(p, n) * 100 / (p + n), 6) AS baseline_pct,
+          round(good * 100 / (p + n) - greatest(p, n) * 100 / (p + n), 6) AS gain_pct
+        FROM turns QUALIFY row_number() OVER (PARTITION BY f ORDER BY good DESC, turn, v) = 1
+        """,
+        *RULE_CTES,
+    ),
     "class_balance": with_ctes(
         """
         SELECT split, CAST(label AS TINYINT) AS label, n, round(n / sum(n) OVER w, 6) AS share,
@@ -593,6 +694,12 @@ ORACLES: dict[str, str] = {
         "SELECT page_id, coalesce(canonical, '') AS canonical_url, true AS p_ok, true AS prediction_ok FROM canon",
         ("raw", "SELECT page_id, url FROM pages"), CANON,
     ),
+    "scored_repeats": with_ctes(
+        "SELECT row_id, coalesce(canonical, '') AS canonical_url, true AS same FROM canon",
+        ("orders_raw", ORDERS_SQL),
+        ("raw", "SELECT row_id, CASE WHEN row_id % 3 = 0 THEN 'https://github.com/' ELSE url END AS url FROM orders_raw"),
+        CANON,
+    ),
     "evaluation": with_ctes(
         f"""
         SELECT model, (SELECT count(*) FROM split WHERE split = 'test') AS tested,
@@ -614,3 +721,4 @@ ORACLES: dict[str, str] = {
         *SPLIT, *(c for c in DISJOINT if c not in CLEAN and c[0] in ("keyed", "held")),
     ),
 }
+ORACLES["corpus_merge_audit"] = ORACLES["corpus_audit"]

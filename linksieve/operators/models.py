@@ -13,7 +13,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.sql import DataFrame
 
 from linksieve.operators.features import FEATURE_NAMES
 
@@ -46,6 +47,8 @@ _TREE_GROWTH = {"checkpointInterval": 10, "maxMemoryInMB": 1024}
 
 # The model's working columns; private names, so that no column of a user's table is hit.
 FEATURES, RAW, PROBABILITY, PREDICTION = "__features", "__raw", "__probability", "__prediction"
+#: All features of a row as one stored vector.
+VECTOR = "feature_vector"
 _COLUMNS = {"featuresCol": FEATURES, "predictionCol": PREDICTION}
 
 
@@ -89,10 +92,23 @@ def boosted_params(params: dict) -> dict:
     }
 
 
-def _pipeline(classifier, features: Sequence[str]) -> Pipeline:
+def with_vector(features: DataFrame, keep: Sequence[str], name: str = VECTOR) -> DataFrame:
+    """``keep`` and all feature columns as one vector, in the order of ``FEATURE_NAMES``.
+
+    Pipelines built with ``vector=name`` cut what they need out of it.
+    """
+    assembler = VectorAssembler(inputCols=list(FEATURE_NAMES), outputCol=name)
+    return assembler.transform(features).select(*keep, name)
+
+
+def _pipeline(classifier, features: Sequence[str], vector: str | None) -> Pipeline:
     classifier.setRawPredictionCol(RAW).setProbabilityCol(PROBABILITY)
-    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-    return Pipeline(stages=[assembler, classifier])
+    if vector is None:
+        inputs = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+    else:
+        places = [FEATURE_NAMES.index(f) for f in features]
+        inputs = VectorSlicer(inputCol=vector, outputCol=FEATURES, indices=places)
+    return Pipeline(stages=[inputs, classifier])
 
 
 def _merged(defaults: dict, overrides: dict) -> dict:
@@ -102,21 +118,25 @@ def _merged(defaults: dict, overrides: dict) -> dict:
     return {**defaults, **overrides}
 
 
-def build_random_forest(features: Sequence[str] = FEATURE_NAMES, **overrides) -> Pipeline:
+def build_random_forest(
+    features: Sequence[str] = FEATURE_NAMES, vector: str | None = None, **overrides
+) -> Pipeline:
     """M1. Random forest; ``max_features`` is ``sqrt``, ``log2`` or a share of the columns."""
     params = forest_params(_merged(FOREST_DEFAULTS, overrides))
     # Many deep trees: node ids are kept with the rows (and checkpointed), so that
     # executors need no copy of the growing trees. Boosting grows one small tree at
     # a time, where shipping it is faster.
     forest = RandomForestClassifier(maxBins=128, cacheNodeIds=True, **_COLUMNS, **_TREE_GROWTH, **params)
-    return _pipeline(forest, features)
+    return _pipeline(forest, features, vector)
 
 
-def build_boosted_trees(features: Sequence[str] = FEATURE_NAMES, **overrides) -> Pipeline:
+def build_boosted_trees(
+    features: Sequence[str] = FEATURE_NAMES, vector: str | None = None, **overrides
+) -> Pipeline:
     """M2. Gradient-boosted trees on histogram splits with log loss."""
     params = boosted_params(_merged(BOOSTED_DEFAULTS, overrides))
     trees = GBTClassifier(maxBins=256, lossType="logistic", **_COLUMNS, **_TREE_GROWTH, **params)
-    return _pipeline(trees, features)
+    return _pipeline(trees, features, vector)
 
 
 BUILDERS: dict[str, Callable[..., Pipeline]] = {
@@ -143,11 +163,12 @@ def _one_of(*values) -> Callable[[random.Random], object]:
     return lambda draw: draw.choice(values)
 
 
-# The ranges a search draws from; depths of 30 and more are one and the same here.
+# The ranges a search draws from. Of four depths two are Spark's deepest, which stands
+# for 30 and for 40 levels.
 SEARCH_SPACES: dict[str, dict[str, Callable[[random.Random], object]]] = {
     "random_forest": {
         "n_estimators": _whole(150, 400),
-        "max_depth": _one_of(None, 20),
+        "max_depth": _one_of(None, 20, 30, DEEPEST),
         "min_samples_split": _whole(2, 12),
         "min_samples_leaf": _whole(1, 5),
         "max_features": _one_of("sqrt", "log2", 0.4),

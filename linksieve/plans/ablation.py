@@ -5,15 +5,17 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES
 from linksieve.operators.metrics import score_metrics
-from linksieve.operators.models import BUILDERS, SEED
+from linksieve.operators.models import BUILDERS, SEED, VECTOR, with_vector
 from linksieve.operators.scoring import score_features
 from linksieve.operators.splits import CURVE_FRACTIONS, with_curve_step
-from linksieve.session import ensure_checkpoint_dir
+from linksieve.session import ensure_checkpoint_dir, scratch_path
+from linksieve.sources.journal import Journal, fingerprint
 
 RESULT_SCHEMA = """
 study string, config string, model string, n_features int, train_rows long,
@@ -40,10 +42,14 @@ def run_config(
     test: DataFrame,
     features: Sequence[str] = FEATURE_NAMES,
 ) -> dict:
-    """A2. Fit one model, score the test rows; metrics and wall time of both."""
+    """A2. Fit one model, score the test rows; metrics and wall time of both.
+
+    The features are cut out of the stored vector of :func:`vectors` where the table has one.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     started = time.perf_counter()
-    model = BUILDERS[name](features, **params).fit(train)
+    vector = VECTOR if VECTOR in train.columns else None
+    model = BUILDERS[name](features, vector=vector, **params).fit(train)
     metrics = score_metrics(score_features(model, test)).first().asDict()
     seconds = round(time.perf_counter() - started, 1)
     return {
@@ -52,22 +58,48 @@ def run_config(
     }
 
 
-def _table(spark, rows: list[dict]) -> DataFrame:
-    names = spark.createDataFrame([], RESULT_SCHEMA).columns
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], RESULT_SCHEMA)
+def vectors(table: DataFrame) -> DataFrame:
+    """A split feature table with all features as one vector, assembled and written once for all fits."""
+    if VECTOR in table.columns:
+        return table
+    path = scratch_path(table.sparkSession, "vectors")
+    with_vector(table, ["url", "label", "split"]).write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
+class _Study:
+    """Results of one study; those a journal has already are not computed again."""
+
+    def __init__(self, study: str, table: DataFrame, journal: str | None):
+        self.study, self.spark = study, table.sparkSession
+        self.table = vectors(table)
+        self.journal = Journal(self.spark, journal)
+        rows = ["url", "label", "split", vector_to_array(VECTOR)]
+        self.data = fingerprint(self.table, rows) if journal else ""
+        self.rows: list[dict] = []
+
+    def split(self, name: str) -> DataFrame:
+        return self.table.filter(F.col("split") == name)
 
+    def run(self, config: str, name: str, params: dict, *args) -> None:
+        identity = {"study": self.study, "config": config, "model": name, "params": params, "data": self.data}
+        result = self.journal.once(identity, lambda: run_config(name, params, *args))
+        self.rows.append({"study": self.study, "config": config, **result})
 
-def family_ablation(table: DataFrame, params: dict[str, dict]) -> DataFrame:
+    def results(self) -> DataFrame:
+        names = self.spark.createDataFrame([], RESULT_SCHEMA).columns
+        return self.spark.createDataFrame([tuple(r[n] for n in names) for r in self.rows], RESULT_SCHEMA)
+
+
+def family_ablation(table: DataFrame, params: dict[str, dict], journal: str | None = None) -> DataFrame:
     """A3. Every feature configuration with every model, on the same test rows."""
-    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
+    study = _Study("feature_group", table, journal)
+    train, test = study.split("train"), study.split("test")
     n = train.count()
-    rows = [
-        {"study": "feature_group", "config": config,
-         **run_config(name, params.get(name, {}), train, n, test, columns)}
-        for config, columns in feature_configs().items()
-        for name in params
-    ]
-    return _table(table.sparkSession, rows)
+    for config, columns in feature_configs().items():
+        for name in params:
+            study.run(config, name, params[name], train, n, test, columns)
+    return study.results()
 
 
 def learning_curve(
@@ -75,32 +107,28 @@ def learning_curve(
     params: dict[str, dict],
     fractions: tuple[float, ...] = CURVE_FRACTIONS,
     seed: int = SEED,
+    journal: str | None = None,
 ) -> DataFrame:
     """A4. Every model on nested stratified samples of the train rows."""
-    test = table.filter("split = 'test'")
-    stepped = with_curve_step(table.filter("split = 'train'"), fractions, seed)
-    rows = []
+    study = _Study("training_size", table, journal)
+    test = study.split("test")
+    stepped = with_curve_step(study.split("train"), fractions, seed)
     for step, fraction in enumerate(fractions):
         sample = stepped.filter(F.col("step") <= step)
         n = sample.count()
-        rows += [
-            {"study": "training_size", "config": f"{round(fraction * 100)}pct",
-             **run_config(name, params.get(name, {}), sample, n, test)}
-            for name in params
-        ]
-    return _table(table.sparkSession, rows)
+        for name in params:
+            study.run(f"{round(fraction * 100)}pct", name, params[name], sample, n, test)
+    return study.results()
 
 
-def split_strategy(disjoint: DataFrame, params: dict[str, dict]) -> DataFrame:
+def split_strategy(disjoint: DataFrame, params: dict[str, dict], journal: str | None = None) -> DataFrame:
     """A5. Every model on a domain-disjoint split (column ``split``)."""
-    train, test = disjoint.filter("split = 'train'"), disjoint.filter("split = 'test'")
+    study = _Study("split_strategy", disjoint, journal)
+    train, test = study.split("train"), study.split("test")
     n = train.count()
-    rows = [
-        {"study": "split_strategy", "config": "domain_disjoint",
-         **run_config(name, params.get(name, {}), train, n, test)}
-        for name in params
-    ]
-    return _table(disjoint.sparkSession, rows)
+    for name in params:
+        study.run("domain_disjoint", name, params[name], train, n, test)
+    return study.results()
 
 
 def memorisation_gap(results: DataFrame) -> DataFrame:
@@ -112,10 +140,17 @@ def memorisation_gap(results: DataFrame) -> DataFrame:
     ).withColumn("gap", F.col("random_f1") - F.col("disjoint_f1"))
 
 
-def ablation(table: DataFrame, disjoint: DataFrame, params: dict[str, dict]) -> DataFrame:
-    """A6. All three studies in one table, 24 rows with two models."""
+def ablation(
+    table: DataFrame, disjoint: DataFrame, params: dict[str, dict], journal: str | None = None
+) -> DataFrame:
+    """A6. All three studies in one table, 24 rows with two models.
+
+    Vectors are assembled once for each of both splits. ``journal`` names a folder that keeps
+    every result, so a broken job does only the fits that are left.
+    """
+    table = vectors(table)
     return (
-        family_ablation(table, params)
-        .unionByName(learning_curve(table, params))
-        .unionByName(split_strategy(disjoint, params))
+        family_ablation(table, params, journal)
+        .unionByName(learning_curve(table, params, journal=journal))
+        .unionByName(split_strategy(disjoint, params, journal))
     )

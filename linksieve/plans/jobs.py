@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linksieve.operators.corpus import audit, unanimous, url_groups
 from linksieve.operators.models import BUILDERS
-from linksieve.operators.scoring import THRESHOLD, score_urls, verdicts
+from linksieve.operators.scoring import score_urls, verdicts
 from linksieve.operators.splits import domain_disjoint_split, make_splits
 from linksieve.plans.ablation import ablation, memorisation_gap
 from linksieve.plans.evaluate import evaluate_models, write_evaluation
@@ -57,6 +57,7 @@ def split_table(spark: SparkSession, folder: str, name: str = "random") -> DataF
 def train_job(spark: SparkSession, folder: str, **options) -> list[dict]:
     """Tune, refit and store every model."""
     table = split_table(spark, folder)
+    options = {"journal": f"{folder}/journal/search", **options}
     return train_models(table, f"{folder}/models", f"{folder}/reports/best_params", **options)[1]
 
 
@@ -71,7 +72,8 @@ def evaluate_job(spark: SparkSession, folder: str) -> DataFrame:
 def ablation_job(spark: SparkSession, folder: str) -> DataFrame:
     """All ablation studies with the tuned parameters."""
     params = read_best_params(spark, f"{folder}/reports/best_params", BUILDERS)
-    results = ablation(split_table(spark, folder), split_table(spark, folder, "disjoint"), params)
+    tables = split_table(spark, folder), split_table(spark, folder, "disjoint")
+    results = ablation(*tables, params, journal=f"{folder}/journal/ablation")
     write_report(rounded(results), f"{folder}/reports/ablation_results")
     write_report(rounded(memorisation_gap(results)), f"{folder}/reports/memorisation_gap")
     return results
@@ -84,9 +86,9 @@ def score_job(
     output: str,
     model: str = DEFAULT_MODEL,
     url: str = "url",
-    threshold: float = THRESHOLD,
+    threshold: float | None = None,
 ) -> None:
-    """Verdicts for a table of raw URLs."""
+    """Verdicts for a table of raw URLs, by the model's own threshold if none is given."""
     scored = score_urls(load_model(f"{folder}/models", model), urls, url, threshold)
     verdicts(scored, url).write.mode("overwrite").parquet(output)
 

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linksieve.functions import canonical as C
+from linksieve.functions.lexicons import Lexicons
 from linksieve.functions.url_parts import PART_NAMES, with_url_parts
+from linksieve.functions.words import word_list
 from linksieve.operators import diagnostics as D
 from linksieve.operators import metrics as M
 from linksieve.operators import splits as L
@@ -29,6 +31,7 @@ from linksieve.operators.scoring import (
     feature_importance,
     featurize,
     importance_table,
+    score_repeated_urls,
     score_urls,
     top_features,
     verdicts,
@@ -36,9 +39,10 @@ from linksieve.operators.scoring import (
 from linksieve.operators.tuning import tune
 from linksieve.plans import ablation as A
 from linksieve.plans.evaluate import evaluate_models
-from linksieve.plans.sample_corpus import many_raw_urls, pages, raw_urls
+from linksieve.plans.sample_corpus import many_raw_urls, pages, raw_urls, table
 from linksieve.plans.train import train_models
 from linksieve.session import checkpointed, ensure_checkpoint_dir, scratch_path
+from linksieve.sources.corpus_state import CorpusState
 from linksieve.sources.features import load_features
 from linksieve.sources.models import load_model, save_model
 from linksieve.sources.reports import read_best_params, rounded
@@ -50,6 +54,7 @@ from linksieve.sources.urls import (
 )
 
 DIGITS = 6
+WANTED_PRECISIONS = (0.4, 0.45, 0.5, 0.6, 0.75, 0.9, 1.0)
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters small enough for a test run; the builders' defaults are the real ones.
@@ -223,6 +228,76 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(load_features(corpus, path), ["url", "label"], FEATURE_NAMES)
 
 
+#: S3. Rows that the second version of the test corpus changes, drops or adds.
+_CHANGED, _DROPPED, _ADDED = ("url LIKE '%77%'", "url LIKE '%88%'", "url LIKE '%99%'")
+
+
+def feature_store_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3. A stored feature table brought up to date with a corpus that differs in some buckets."""
+    corpus = _corpus(spark, sf_dir)
+    path = scratch_path(spark, "features-delta")
+    older = corpus.filter(f"NOT ({_ADDED})").withColumn(
+        "label", F.when(F.expr(_CHANGED), 1 - F.col("label")).otherwise(F.col("label")).cast("byte")
+    )
+    load_features(older, path)
+    newer = corpus.filter(f"NOT ({_DROPPED})")
+    return _doubles(load_features(newer, path), ["url", "label"], FEATURE_NAMES)
+
+
+def _merged_shards(spark: SparkSession, sf_dir: str) -> CorpusState:
+    """C7-C9. Three shards merged one after the other, one of them twice."""
+    raw = raw_urls(spark, sf_dir)
+    state = CorpusState(spark, scratch_path(spark, "corpus-state"), buckets=8)
+    for part in (0, 1, 2, 1):
+        state.merge(raw.filter(F.pmod("row_id", F.lit(3)) == part), f"shard-{part}")
+    return state
+
+
+def corpus_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_shards(spark, sf_dir).corpus()
+
+
+def corpus_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_merged_shards(spark, sf_dir).audit(), DIGITS)
+
+
+#: P11. Suffix rules of one to four labels, with wildcards and exceptions.
+SUFFIX_RULES = (
+    "com", "org", "uk", "duckdns.org", "*.co.uk", "!shop1007.co.uk", "!www.shop23.co.uk", "google.com",
+    "sites.google.com", "*.wikipedia.org", "*.verify-account.top", "en.wikipedia.org.test",
+    "mail.sites.google.com", "*.mail.paypal.com",
+)
+
+
+def _mail_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean corpus, half of it with one more label in front of the host."""
+    corpus = clean_corpus(raw_urls(spark, sf_dir))
+    return corpus.withColumn("url", F.expr("if(length(url) % 2 = 0, concat('mail.', url), url)"))
+
+
+def suffix_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11. Parts that depend on the suffix, by rules of any depth."""
+    parts = with_url_parts(_mail_hosts(spark, sf_dir), suffixes=SUFFIX_RULES)
+    return parts.select("url", "host", "registered", "subdomain")
+
+
+def suffix_rule_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3. Rates by domain under the same rules."""
+    return rounded(D.domain_rates(D.with_domain(_mail_hosts(spark, sf_dir), suffixes=SUFFIX_RULES)), DIGITS)
+
+
+def keyword_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F35, F37 with lists of thousands of words: four and five digits of hashed keys."""
+    keys = F.md5(F.col("o_orderkey").cast("string"))
+    orders = table(spark, sf_dir, "orders")
+    lexicons = Lexicons(
+        keywords=word_list(orders.select(F.substring(keys, 1, 4).alias("word")), "word"),
+        brands=word_list(orders.select(F.substring(keys, 7, 5).alias("word")), "word"),
+    )
+    names = ["num_suspicious_keywords", "brand_domain_mismatch"]
+    return _doubles(with_features(raw_urls(spark, sf_dir), features=names, lexicons=lexicons), ["row_id"], names)
+
+
 # -- splits --------------------------------------------------------------------
 
 
@@ -288,6 +363,11 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.threshold_sweep(_scored(spark, sf_dir)), DIGITS)
 
 
+def threshold_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8. Thresholds for wanted precisions among nearly as many scores as URLs."""
+    return rounded(M.threshold_choice(_scored_many(spark, sf_dir), WANTED_PRECISIONS), DIGITS)
+
+
 def verdict_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(_scored(spark, sf_dir))
 
@@ -302,6 +382,14 @@ def rule_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(D.rule_audit(raw.unionByName(clean), by=["form"]), DIGITS)
 
 
+def rule_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1. The best single rule of every feature, and of both collection rules, on raw rows."""
+    raw = raw_urls(spark, sf_dir).filter("url is not null").select("url", "label")
+    ruled = raw.withColumns({name: F.expr(sql).cast("int") for name, sql in D.COLLECTION_RULES.items()})
+    values = _doubles(with_features(ruled), ["label", *D.COLLECTION_RULES], FEATURE_NAMES)
+    return rounded(D.rule_search(values, [*FEATURE_NAMES, *D.COLLECTION_RULES]), DIGITS)
+
+
 def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(D.class_balance(L.make_splits(_corpus(spark, sf_dir)), ["split"]), DIGITS)
 
@@ -404,6 +492,17 @@ def scored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7. A table in which one URL holds a third of the rows: scored by URL, and row by row."""
+    model = _fitted(_split(spark, sf_dir))["boosted_trees"]
+    hot = F.when(F.pmod("row_id", F.lit(3)) == 0, F.lit("https://github.com/")).otherwise(F.col("url"))
+    urls = raw_urls(spark, sf_dir).select("row_id", hot.alias("url"))
+    by_row = score_urls(model, urls).select("row_id", F.struct("p_phish", "prediction").alias("by_row"))
+    by_url = score_repeated_urls(model, urls).join(by_row, "row_id")
+    same = F.struct("p_phish", "prediction") == F.col("by_row")
+    return by_url.select("row_id", "canonical_url", same.alias("same"))
+
+
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E7 + E6. Both models on the balanced test rows."""
     split = _split(spark, sf_dir)
@@ -537,6 +636,12 @@ QUERIES: dict[str, Query] = {
     "corpus_features": corpus_features,
     "page_features": page_features,
     "feature_store": feature_store,
+    "feature_store_delta": feature_store_delta,
+    "corpus_merge": corpus_merge,
+    "corpus_merge_audit": corpus_merge_audit,
+    "suffix_rules": suffix_rules,
+    "suffix_rule_domains": suffix_rule_domains,
+    "keyword_scan": keyword_scan,
     "split_train_val_test": split_train_val_test,
     "stratified_sample": stratified_sample,
     "curve_steps": curve_steps,
@@ -550,8 +655,10 @@ QUERIES: dict[str, Query] = {
     "roc_curve": roc_curve,
     "roc_curve_many": roc_curve_many,
     "threshold_sweep": threshold_sweep,
+    "threshold_choice": threshold_choice,
     "verdicts": verdict_rows,
     "rule_audit": rule_audit,
+    "rule_search": rule_search,
     "class_balance": class_balance,
     "domain_rates": domain_rates,
     "skewed_domains": skewed_domains,
@@ -562,6 +669,7 @@ QUERIES: dict[str, Query] = {
     "tuning": tuning,
     "training_summary": training_summary,
     "scored_pages": scored_pages,
+    "scored_repeats": scored_repeats,
     "evaluation": evaluation,
     "importances": importances,
     "strongest_features": strongest_features,

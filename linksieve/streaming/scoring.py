@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from linksieve.operators.scoring import THRESHOLD, score_urls
+from linksieve.operators.scoring import score_urls
 
 
 def scored_stream(
@@ -18,7 +18,7 @@ def scored_stream(
     path: str,
     checkpoint: str,
     url: str = "url",
-    threshold: float = THRESHOLD,
+    threshold: float | None = None,
 ) -> DataStreamWriter:
     """A writer that appends every scored micro-batch to Parquet, exactly once."""
     return (

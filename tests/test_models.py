@@ -1,26 +1,32 @@
 import math
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from linksieve.functions.lexicons import Lexicons
 from linksieve.operators import models as M
+from linksieve.operators import scoring
 from linksieve.operators.corpus import clean_corpus
 from linksieve.operators.diagnostics import family_shares, marginal_gains
 from linksieve.operators.features import FEATURE_NAMES
 from linksieve.operators.scoring import (
-    featurize, importance_table, score_urls, top_features, verdicts,
+    featurize, importance_table, score_repeated_urls, score_urls, top_features, verdicts,
 )
 from linksieve.operators.splits import domain_disjoint_split, make_splits
 from linksieve.operators.tuning import tune
-from linksieve.plans.ablation import feature_configs, learning_curve, memorisation_gap, run_config, split_strategy
+from linksieve.plans import ablation as ablation_plans
+from linksieve.plans.ablation import (
+    family_ablation, feature_configs, learning_curve, memorisation_gap, run_config, split_strategy,
+)
 from linksieve.plans.evaluate import evaluate_models, write_evaluation
 from linksieve.plans.sample_corpus import raw_urls
 from linksieve.plans.train import train_models
 from linksieve.session import checkpointed
 from linksieve.sources.features import load_features
-from linksieve.sources.models import load_model
+from linksieve.sources.models import load_model, save_model
 from linksieve.sources.reports import read_best_params
 from linksieve.sources.urls import urls_frame
 from linksieve.streaming.scoring import scored_stream
@@ -92,28 +98,22 @@ def test_draws_stay_in_their_ranges():
         assert 0.03 <= p["learning_rate"] <= 0.4 and 0.6 <= p["subsample"] <= 1
         assert 1 <= p["min_child_weight"] < 10 and 0 <= p["gamma"] <= 0.4
     for p in M.draw_params("random_forest", 200):
-        assert 150 <= p["n_estimators"] < 400 and p["max_depth"] in (None, 20)
+        assert 150 <= p["n_estimators"] < 400 and p["max_depth"] in (None, 20, 30)
         assert 2 <= p["min_samples_split"] < 12 and 1 <= p["min_samples_leaf"] < 5
         assert p["max_features"] in ("sqrt", "log2", 0.4)
 
 
 def test_feature_store_reuses_and_rebuilds(spark, corpus, features, work):
     path = f"{work}/features"
-
-    def files():
-        return sorted(spark.read.parquet(f"{path}/table").inputFiles())
-
-    first = files()
+    first = sorted(features.inputFiles())
     assert features.columns == ["url", "label", *FEATURE_NAMES]
-    load_features(corpus.repartition(5), path)
-    assert files() == first
+    assert sorted(load_features(corpus.repartition(5), path).inputFiles()) == first
     other = f"{work}/features2"
-    load_features(corpus, other)
-    before = spark.read.parquet(f"{other}/table").inputFiles()
+    before = set(load_features(corpus, other).inputFiles())
     changed = corpus.withColumn("label", 1 - F.col("label"))
-    assert load_features(changed, other).inputFiles() != before
-    before = spark.read.parquet(f"{other}/table").inputFiles()
-    assert load_features(changed, other, lexicons=Lexicons(brands=("acme",))).inputFiles() != before
+    after = set(load_features(changed, other).inputFiles())
+    assert not after & before
+    assert not set(load_features(changed, other, lexicons=Lexicons(brands=("acme",))).inputFiles()) & after
 
 
 def test_training_summary_and_artifacts(spark, trained, work):
@@ -225,3 +225,134 @@ def test_fresh_model_scores_after_observations(spark, trained):
     assert table.observe(seen, F.count(F.lit(1)).alias("n")).count() == seen.get["n"]
     for model in fitted.values():
         assert score_urls(model, table.select("url")).filter("p_phish is null").isEmpty()
+
+
+# -- searches and studies that go on where they broke off --------------------------
+
+
+class _Broken(Exception):
+    pass
+
+
+def test_a_broken_search_does_only_the_rest(trained, tmp_path, monkeypatch):
+    train = trained[0].filter("split = 'train'")
+    path = str(tmp_path / "journal")
+    options = dict(draws=3, folds=2, rows=300, fixed={"n_estimators": 3, "max_depth": 3}, parallelism=1)
+    whole = tune("random_forest", train, **options)
+    fit, fits = RandomForestClassifier.fit, []
+
+    def counted(self, *args):
+        if len(fits) == stop:
+            raise _Broken
+        fits.append(1)
+        return fit(self, *args)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    stop = 4
+    with pytest.raises(_Broken):
+        tune("random_forest", train, journal=path, **options)
+    assert len(fits) == 4
+    stop = None
+    assert tune("random_forest", train, journal=path, **options) == whole and len(fits) == 6
+    assert tune("random_forest", train, journal=path, **options) == whole and len(fits) == 6
+    # other rows are another search
+    other = train.filter("url <> 'github.com/files/one'").limit(200)
+    tune("random_forest", other, journal=path, **{**options, "rows": 100})
+    assert len(fits) == 12
+
+
+def test_studies_share_one_vector_and_a_journal(spark, trained, tmp_path, monkeypatch):
+    table = trained[0]
+    params = {"random_forest": {"n_estimators": 3, "max_depth": 3}}
+    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
+    n = train.count()
+
+    def without_time(row):
+        return {k: v for k, v in row.items() if k != "fit_seconds"}
+
+    direct = {
+        config: without_time(run_config("random_forest", params["random_forest"], train, n, test, columns))
+        for config, columns in feature_configs().items()
+    }
+    assembled = []
+    transform = VectorAssembler.transform
+    monkeypatch.setattr(VectorAssembler, "transform", lambda self, *a: assembled.append(1) or transform(self, *a))
+    path = str(tmp_path / "journal")
+    rows = {r.config: r.asDict() for r in family_ablation(table, params, path).collect()}
+    assert len(assembled) == 1
+    assert {c: without_time({k: v for k, v in r.items() if k not in ("study", "config")}) for c, r in rows.items()} == direct
+    monkeypatch.setattr(ablation_plans, "run_config", lambda *a: pytest.fail("known already"))
+    assert {r.config: r.asDict() for r in family_ablation(table, params, path).collect()} == rows
+
+
+# -- what a model expects ----------------------------------------------------------
+
+
+def test_a_model_of_other_lists_is_refused(spark, trained, tmp_path, monkeypatch):
+    model = trained[1]["random_forest"]
+    acme = Lexicons(brands=("acme",))
+    save_model(model, str(tmp_path), "mine", acme, threshold=0.9)
+    with pytest.raises(ValueError, match="other lists"):
+        load_model(str(tmp_path), "mine")
+    loaded = load_model(str(tmp_path), "mine", acme)
+    assert loaded.contract["columns"] == list(FEATURE_NAMES) and loaded.contract["threshold"] == 0.9
+    urls = urls_frame(spark, CLEAR)
+    with pytest.raises(ValueError, match="other lists"):
+        score_urls(loaded, urls)
+    rows = score_urls(loaded, urls, lexicons=acme).collect()
+    assert [r.prediction for r in rows] == [int(r.p_phish >= 0.9) for r in rows]
+    rows = score_urls(loaded, urls, threshold=0.1, lexicons=acme).collect()
+    assert [r.prediction for r in rows] == [int(r.p_phish >= 0.1) for r in rows]
+    monkeypatch.setattr("linksieve.operators.scoring.FEATURE_VERSION", 99)
+    with pytest.raises(ValueError, match="version"):
+        load_model(str(tmp_path), "mine", acme)
+
+
+def test_a_model_without_contract_or_with_other_columns_is_refused(spark, trained, tmp_path):
+    model = trained[1]["random_forest"]
+    model.write().overwrite().save(f"{tmp_path}/bare")
+    with pytest.raises(ValueError, match="no contract"):
+        load_model(str(tmp_path), "bare")
+    assert load_model(str(tmp_path), "bare", lexicons=None).stages
+    save_model(model, str(tmp_path), "changed")
+    row = spark.read.json(f"{tmp_path}/changed.contract").first()
+    other = row.contract.replace('"url_length", "hostname_length"', '"hostname_length", "url_length"')
+    assert other != row.contract
+    spark.createDataFrame([(other,)], "contract string").write.mode("overwrite").json(f"{tmp_path}/changed.contract")
+    with pytest.raises(ValueError, match="other columns"):
+        load_model(str(tmp_path), "changed")
+
+
+# -- tables that repeat URLs -------------------------------------------------------
+
+
+def test_repeated_urls_are_scored_once(spark, trained, monkeypatch):
+    model = trained[1]["random_forest"]
+    urls = ["http://hot.com/a/"] * 400 + [f"site{i % 90}.duckdns.org/x{i % 7}" for i in range(800)]
+    urls += [None, "", "http://http://x", "x /", "HTTPS://WWW.Example.COM/Path/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "row long, address string").repartition(6)
+    want = {tuple(r) for r in score_urls(model, df, "address").collect()}
+    for common in (1, 1000):
+        monkeypatch.setattr(scoring, "COMMON_URLS", common)
+        got = score_repeated_urls(model, df, "address")
+        rows = got.collect()
+        assert len(rows) == len(urls) and {tuple(r) for r in rows} == want
+        assert got.columns == ["row", "address", "canonical_url", "p_phish", "prediction"]
+    with pytest.raises(ValueError, match="rename"):
+        score_repeated_urls(model, df.withColumn("P_phish", F.lit(1)), "address")
+
+
+def test_a_hot_url_is_not_shuffled(spark, trained, monkeypatch):
+    model = trained[1]["random_forest"]
+    urls = ["http://hot.com/"] * 3000 + [f"site{i}.org" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(urls)), "row long, url string").repartition(6)
+    monkeypatch.setattr(scoring, "COMMON_URLS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = score_repeated_urls(model, df)
+        parts = out.filter("url <> 'x'").groupBy(F.spark_partition_id().alias("p"), "canonical_url").count()
+        hot = {r.p: r["count"] for r in parts.filter("canonical_url = 'hot.com'").collect()}
+        # the rows of the hot URL stay where they stood, in as many tasks
+        assert len(hot) == 6 and max(hot.values()) < 2 * min(hot.values())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
