@@ -82,19 +82,18 @@ def _pair_place(places: int) -> Column:
 
 def count_phrases(
     lang: str, texts: list[bytes], step: int, shards: int, words_at: np.ndarray, pairs_at: np.ndarray
-) -> tuple[list[bytes], int, list[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]]:
+) -> tuple[pa.Array, int, list[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]]:
     """What this scan counts in the texts of a language.
 
     Returns the words, the number of their occurrences, and for each length the starts, the
     numbers of the words (an array for every position) and the rows of its phrases.
     """
-    tokens = b"\n".join(texts).translate(_CLEANED).replace(b"\n", b" \n ").split(b" ")
-    words = list(set(tokens))
-    number = {w: i for i, w in enumerate(words)}
-    ids = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-    del tokens
-    ids = ids[ids != number.get(b"", -1)]
-    end, count = number.get(b"\n", -1), len(words)
+    whole = b"\n".join(texts).translate(_CLEANED).replace(b"\n", b" \n ")
+    tokens = pc.split_pattern(pa.array([whole], pa.binary()), pattern=b" ").flatten().dictionary_encode()
+    words, ids = tokens.dictionary, tokens.indices.to_numpy().astype(np.int64)
+    blank, end = (pc.index(words, pa.scalar(sign, pa.binary())).as_py() for sign in (b"", b"\n"))
+    ids = ids[ids != blank]
+    count = len(words)
     rows = np.bincount(ids, minlength=count)
     if end >= 0:
         rows[end] = 0
@@ -103,7 +102,7 @@ def count_phrases(
         some = np.flatnonzero(rows)
         found.append((1, np.zeros(len(some), np.int32), [some], rows[some]))
     mask = np.uint64(len(words_at) - 1)
-    hashes = _hashes(lang, words)
+    hashes = _hashes(lang, words.to_pylist())
     reached = words_at[hashes & mask].astype(np.int32)
     if end >= 0:
         reached[end] = _NEVER
@@ -149,9 +148,8 @@ def _scan(texts: DataFrame, step: int, shards: int, words_at: np.ndarray, pairs_
             words, total, found = count_phrases(lang, data, step, shards, words_at, pairs_at)
             if step < shards:
                 yield batch(lang, [0], pa.array([b""]), [total])
-            names = pa.array(words, pa.binary())
             for size, start, numbers, rows in found:
-                taken = [names.take(pa.array(n)) for n in numbers]
+                taken = [words.take(pa.array(n)) for n in numbers]
                 phrases = pc.binary_join_element_wise(*taken, pa.scalar(b" "))
                 yield batch(lang, -start if size == 3 else start, phrases, rows)
 
