@@ -4,10 +4,10 @@ Fixed patterns find assignments of credentials, access key ids and long hex stri
 token-efficiency test looks at every other unbroken run of letters, digits and ``+/_-``, with one
 or two ``=`` that pad its end, wherever it stands, also after the ``=`` of an assignment: prose, code
 and names were seen when a vocabulary was made and take few tokens, a random string takes
-about one for every two characters. So a run with few characters per token is reported as
-``random``, unless it is a known digest or identifier: only letters, only digits, a hex digest
-or UUID, a date or version, words joined by ``_``, ``-`` or ``/``, or a part of a span of a fixed
-pattern, which stays as it is.
+about one for every two characters. So the ratio decides: a run with few characters per token is
+reported as ``random``, unless it is a known digest or identifier: no letters (dates, numbers), a hex
+digest or UUID, or parts joined by ``_``, ``-``, ``+`` or ``/`` none of which is costly by itself.
+A part of a span of a fixed pattern stays as it is.
 
 Positions are in code points, end exclusive. Null and empty texts have no spans. Texts of any
 length are scanned whole, each row for itself, so repeated rows get the same spans.
@@ -31,6 +31,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 #: A run with fewer characters per token than this is a random string.
 CHARS_PER_TOKEN = 2.4
+#: The same for letters only, as rare and made-up words cost more than known ones.
+LETTERS_PER_TOKEN = 1.9
 
 #: The shortest run that is tested.
 SHORTEST = 20
@@ -45,12 +47,14 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+(?:={1,2}(?![A-Za-z0-9+/=_-]))?" % SHORTEST)
-HAS_LETTER, HAS_DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
-KNOWN = re.compile(
-    "(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)"  # digests
-    "|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
-    "|(?:[A-Za-z]+|[0-9]+)(?:[_/+-]+(?:[A-Za-z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}))+[_/=-]*"  # joined words, dates, versions
+HAS_LETTER = re.compile("[A-Za-z]")
+DIGEST = re.compile(
+    "(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # and UUID
 )
+JOINTS = re.compile("[_/+-]+")
+#: Parts of a joined run below this length say nothing; a number after a word is not part of it.
+SHORTEST_PART = 6
+NUMBERED = re.compile("[0-9]{0,4}$")
 
 Span = tuple[str, int, int]
 
@@ -84,16 +88,32 @@ class Efficiency:
     def ratio(self, string: str) -> float:
         return len(string) / len(self.encoding.encode_ordinary(string))
 
+    def costly(self, string: str) -> bool:
+        """Whether a string takes as many tokens as a random one."""
+        limit = LETTERS_PER_TOKEN if string.isalpha() else CHARS_PER_TOKEN
+        return bool(string) and self.ratio(string) < limit
+
+    def is_random(self, run: str) -> bool:
+        """A costly run of no known form. A joined one needs a costly part, as names are joined from words."""
+        if not HAS_LETTER.search(run) or not self.costly(run):
+            return False
+        body = run.rstrip("=")
+        if DIGEST.fullmatch(body):
+            return False
+        parts = JOINTS.split(body)
+        if len(parts) == 1:
+            return True
+        words = [NUMBERED.sub("", p, count=1) for p in parts]
+        return any(len(w) >= SHORTEST_PART and HAS_LETTER.search(w) and self.costly(w) for w in words)
+
     def random_spans(self, text: str, base: list[Span]) -> list[Span]:
         """Runs that are costly in tokens, no known form, and in no span of ``base``."""
         found = []
         for match in RUN.finditer(text):
-            run, start, end = match[0], *match.span()
-            if not (HAS_DIGIT.search(run) and HAS_LETTER.search(run)) or KNOWN.fullmatch(run):
-                continue
+            start, end = match.span()
             if any(s < end and start < e for _, s, e in base):
                 continue
-            if self.ratio(run) < CHARS_PER_TOKEN:
+            if self.is_random(match[0]):
                 found.append(("random", start, end))
         return found
 
