@@ -4,15 +4,15 @@
 shared by all grades, and the thresholds are kept in order. The model gives the expected grade and
 the probability of the top grade, by which documents are selected.
 
-Features are the distinct stems (first ``STEM`` bytes) of the words of the whole text, ASCII letters
-in lower case, hashed into
-``BUCKETS``, and a few measures of its form: symbols, exclamation marks, capitals, repetition. The
-model is fitted in one task on ``FIT_ROWS`` labelled documents at most, those whose ids hash lowest;
-buckets that fewer than ``LEAST_DOCUMENTS`` of them have get no weight. Scoring is one pass without a
-shuffle.
+Features are the distinct words of the whole text, ASCII letters in lower case, the stems of words
+(their first ``STEM`` bytes) and, of words with other letters, all runs of ``GRAM`` characters, hashed
+into ``BUCKETS``, and a few measures of its form: symbols, exclamation marks, capitals, repetition. The
+model is fitted in one task on ``FIT_ROWS`` labelled documents at most, those whose ids hash lowest. A
+lasso keeps rare features out: it is a share of the rows, so it acts alike at every number of them.
+Scoring is one pass without a shuffle.
 
 Null and empty texts have no words. Labels that lack a rating are left out; of several for one id the
-lowest grade counts. Without labels of two grades nothing can be told apart: all documents are kept
+lowest grade counts, and of several documents the text whose digest is lowest. Without labels of two grades nothing can be told apart: all documents are kept
 and the figures are null. Rows are scored each for itself.
 """
 
@@ -31,8 +31,8 @@ from linksieve.llm.texts import column, text_columns
 
 BUCKETS = 1 << 18
 FIT_ROWS = 16_000
-LEAST_DOCUMENTS = 20
 STEM = 4
+GRAM = 3
 LEAST_TAIL = 0.5
 
 STEPS = 200
@@ -49,12 +49,21 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, 0).otherwise(1) + F.when(toxic == 1, 0).otherwise(1)
 
 
+def _grams(word: bytes) -> list[bytes]:
+    """The runs of ``GRAM`` characters of a word with the blanks around it."""
+    text = f" {word.decode('utf-8', 'replace')} "
+    return [b"*" + text[i : i + GRAM].encode() for i in range(len(text) - GRAM + 1)]
+
+
 def features(text: str | None) -> set[bytes]:
-    """Distinct stems, and measures of form in steps; a stem cannot look like a measure."""
+    """Distinct words, stems and grams, and measures of form in steps; no word holds a sign of the others."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.lower().translate(_AS_WORDS).split()
     whole = set(words)
-    found = {word[:STEM] for word in whole}
+    found = whole | {b"^" + word[:STEM] for word in whole if word.isascii()}
+    for word in whole:
+        if not word.isascii():
+            found.update(_grams(word))
 
     def measure(name: bytes, share: float) -> None:
         found.add(b"%s=%d" % (name, max(0, round(2 * math.log2(share * 256))) if share else -1))
@@ -76,39 +85,51 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def negative_log_likelihood(
+    parameters: np.ndarray, ids: np.ndarray, of: np.ndarray, grades: np.ndarray, top: int
+) -> tuple[float, np.ndarray]:
+    """Mean over the rows, and its gradient.
+
+    ``parameters`` are the weights, the first threshold, and logarithms of the steps to the next
+    ones. Row ``of[i]`` has the feature ``ids[i]``.
+    """
+    count, known = len(grades), len(parameters) - top
+    weights, free = parameters[:known], parameters[known:]
+    thresholds = free[0] + np.r_[0, np.cumsum(np.exp(free[1:]))]
+    lower, upper = grades - 1, grades  # the grade lies between these thresholds
+    score = np.bincount(of, weights[ids], minlength=count)
+    below = np.where(lower < 0, 0.0, sigmoid(thresholds[np.maximum(lower, 0)] - score))
+    above = np.where(upper >= top, 1.0, sigmoid(thresholds[np.minimum(upper, top - 1)] - score))
+    chance = np.maximum(above - below, 1e-12)
+    slope_above, slope_below = above * (1 - above) / chance, below * (1 - below) / chance
+    by_score = (slope_above - slope_below) / count
+    gradient = np.empty_like(parameters)
+    gradient[:known] = np.bincount(ids, by_score[of], minlength=known)
+    by_threshold = np.zeros(top)
+    np.subtract.at(by_threshold, np.minimum(upper, top - 1), np.where(upper < top, slope_above, 0) / count)
+    np.add.at(by_threshold, np.maximum(lower, 0), np.where(lower >= 0, slope_below, 0) / count)
+    gradient[known] = by_threshold.sum()
+    for k in range(1, top):
+        gradient[known + k] = by_threshold[k:].sum() * math.exp(free[k])
+    return float(-np.log(chance).mean()), gradient
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds, by gradient steps on the penalised likelihood."""
     ids = np.concatenate(rows) if rows else np.empty(0, np.int64)
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    common = np.bincount(ids, minlength=BUCKETS) >= LEAST_DOCUMENTS
+    # the slope of a weight is at most its feature's share of the rows: up to the lasso it stays zero
+    common = np.bincount(ids, minlength=BUCKETS) > LASSO * len(rows)
     known = np.flatnonzero(common)
     place = np.cumsum(common) - 1
     of, ids = of[common[ids]], place[ids[common[ids]]]
-    count = len(rows)
-    # parameters: weights, first threshold, logarithms of the steps to the next ones
-    shares = np.clip(np.cumsum(np.bincount(grades, minlength=top + 1))[:-1] / count, 1e-3, 1 - 1e-3)
+    shares = np.clip(np.cumsum(np.bincount(grades, minlength=top + 1))[:-1] / len(rows), 1e-3, 1 - 1e-3)
     levels = np.log(shares / (1 - shares))
     free = np.r_[levels[0], np.log(np.maximum(np.diff(levels), 1e-2))]
     parameters = np.r_[np.zeros(len(known)), free]
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
-    lower, upper = grades - 1, grades  # the grade lies between these thresholds
     for step in range(1, STEPS + 1):
-        weights, free = parameters[: len(known)], parameters[len(known) :]
-        thresholds = free[0] + np.r_[0, np.cumsum(np.exp(free[1:]))]
-        score = np.bincount(of, weights[ids], minlength=count)
-        below = np.where(lower < 0, 0.0, sigmoid(thresholds[np.maximum(lower, 0)] - score))
-        above = np.where(upper >= top, 1.0, sigmoid(thresholds[np.minimum(upper, top - 1)] - score))
-        chance = np.maximum(above - below, 1e-12)
-        slope_above, slope_below = above * (1 - above) / chance, below * (1 - below) / chance
-        by_score = (slope_above - slope_below) / count  # of the negative log likelihood
-        gradient = np.empty_like(parameters)
-        gradient[: len(known)] = np.bincount(ids, by_score[of], minlength=len(known))
-        by_threshold = np.zeros(top)
-        np.subtract.at(by_threshold, np.minimum(upper, top - 1), np.where(upper < top, slope_above, 0) / count)
-        np.add.at(by_threshold, np.maximum(lower, 0), np.where(lower >= 0, slope_below, 0) / count)
-        gradient[len(known)] = by_threshold.sum()
-        for k in range(1, top):
-            gradient[len(known) + k] = by_threshold[k:].sum() * math.exp(free[k])
+        _, gradient = negative_log_likelihood(parameters, ids, of, grades, top)
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         scale = RATE * min(1.0, 4 * (1 - (step - 1) / STEPS)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
@@ -135,15 +156,19 @@ def train(documents: DataFrame, ratings: DataFrame, text: str = "text", key: str
     rated = (
         documents.select(column(key), column(text))
         .join(F.broadcast(sample), column(key) == column("\x00id"))  # FIT_ROWS rows
-        .select("\x00id", "\x00grade", column(text).alias("text"))
+        .select("\x00id", "\x00grade", F.sha2(column(text), 256).alias("\x00digest"), column(text).alias("text"))
     )
 
     def make():
         return lambda texts: [[sorted({bucket(f) for f in features(t)}) for t in texts]]
 
-    hashed = text_columns(
-        rated, make, [StructField("buckets", ArrayType(IntegerType()))], "text", ["\x00id", "\x00grade"]
-    ).dropDuplicates(["\x00id"])
+    hashed = (
+        text_columns(
+            rated, make, [StructField("buckets", ArrayType(IntegerType()))], "text", ["\x00id", "\x00grade", "\x00digest"]
+        )
+        .groupBy("\x00id", "\x00grade")
+        .agg(F.min_by("buckets", F.coalesce("\x00digest", F.lit(""))).alias("buckets"))
+    )
 
     def fitted(table: pa.Table) -> pa.Table:
         grades = np.array(table.column(1).to_pylist(), np.int64)

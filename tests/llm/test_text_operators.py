@@ -264,6 +264,62 @@ def test_random_strings_are_found_and_known_forms_are_not():
         assert efficiency.random_spans(f"See {known} there.", []) == [], known
 
 
+def plain_random(run, ratio):
+    """The rule for a run, written down once more."""
+
+    def costly(string):
+        return ratio(string) < (1.9 if all(c in string_letters for c in string) else 2.4)
+
+    string_letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    body = run.rstrip("=")
+    if not any(c in string_letters for c in run) or not costly(run):
+        return False
+    bare = body.removeprefix("0x")
+    if any(bare and all(c in digits for c in bare) for digits in ("0123456789abcdef", "0123456789ABCDEF")):
+        return False
+    if [len(p) for p in body.split("-")] == [8, 4, 4, 4, 12] and not set(body.lower()) - set("0123456789abcdef-"):
+        return False
+    parts = "".join(" " if c in "_/+-" else c for c in body).split(" ")
+    if len([p for p in parts if p]) == 1 and len(parts) == 1:
+        return True
+    for part in parts:
+        word = part[: -4] + part[-4:].rstrip("0123456789") if part else ""
+        if len(word) >= 6 and any(c in string_letters for c in word) and costly(word):
+            return True
+    return False
+
+
+def test_random_runs_against_the_rule(spark):
+    efficiency = secret_scans.Efficiency(secret_scans.RANKS)
+    draw = random.Random(9)
+    signs = ["ABCDEFghijklmnopqrstuvwxyz", "0123456789abcdef", "0123456789", "QzXkWvRtPlMnBv_-/+", "AbC1d2E3f4=-"]
+    words = ["identifier", "name", "of", "the", "value", "2024", "config", "xkqzwv", "v2"]
+    runs = ["".join(draw.choices(draw.choice(signs), k=draw.randint(20, 44))) for _ in range(400)]
+    runs += [draw.choice("_-/").join(draw.choices(words, k=draw.randint(4, 8))) for _ in range(200)]
+    found = 0
+    for run in runs:
+        match = secret_scans.RUN.fullmatch(run)
+        if match:
+            found += 1
+            assert efficiency.is_random(run) == plain_random(run, efficiency.ratio), run
+    assert found > 300
+
+
+@pytest.mark.parametrize("secret", [
+    "sk-XkQzWvRtPlMnBvCxZaSdQw42", "ghp_XkQzWvRtPlMnBvCxZaSdQwErTyUiOp12", "XkQzWvRtPl-MnBvCxZaSdQwEr7",
+    "QzXkWvRtPlMnBvCxZaSdQwErTy",
+])
+def test_keys_of_services_and_letters_only(secret):
+    efficiency = secret_scans.Efficiency(secret_scans.RANKS)
+    text = f"use {secret} here"
+    assert efficiency.random_spans(text, secret_scans.base_spans(text)) == [("random", 4, 4 + len(secret))]
+
+
+def test_clean_documents_have_no_random_spans(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert secret_scans.scan(docs, keep=["doc_id"]).filter("contains(spans, 'random')").count() == 0
+
+
 @pytest.mark.parametrize("before, after", [
     ("auth=", ""), ("export AWS_KEY=", "\n"), ('sig = "', '";'), ("auth='", "'"), ("https://a.org/x?sig=", "&b=1"), ("a==", "==="),
     ("see ", "=1"),
@@ -405,6 +461,43 @@ def test_classifier_gradient_is_that_of_the_likelihood():
     assert weights[1] < weights[8] < weights[15]
 
 
+@pytest.mark.parametrize("top", [1, 2, 3])
+def test_classifier_gradient_against_finite_differences(top):
+    draw = np.random.default_rng(top)
+    grades = draw.integers(0, top + 1, 60)
+    of, ids = np.repeat(np.arange(60), 3), draw.integers(0, 8, 180)
+    parameters = draw.normal(0, 0.5, 8 + top)
+    loss, gradient = quality_classifier.negative_log_likelihood(parameters, ids, of, grades, top)
+    for i in range(len(parameters)):
+        near = [parameters.copy(), parameters.copy()]
+        near[0][i] += 1e-5
+        near[1][i] -= 1e-5
+        up, down = (quality_classifier.negative_log_likelihood(p, ids, of, grades, top)[0] for p in near)
+        assert gradient[i] == pytest.approx((up - down) / 2e-5, abs=1e-7)
+    # what keeps rare features out: no slope exceeds its feature's share of the rows
+    shares = np.bincount(ids, minlength=8) / 60
+    assert (np.abs(gradient[:8]) <= shares + 1e-12).all()
+
+
+@pytest.mark.parametrize("good, bad", [("prefgood", "prefbad"), ("хорошо", "хорошее"), ("很好的文章", "很好的广告")])
+def test_classifier_reads_whole_words(spark, good, bad):
+    rows = [(i, f"same words here {good if i % 2 else bad} and there") for i in range(36)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    scores = {r.doc_id: r.expected_grade for r in quality_classifier.classify(docs, labels).collect()}
+    assert min(scores[i] for i in range(1, 36, 2)) > max(scores[i] for i in range(0, 36, 2)) + 0.3
+
+
+def test_classifier_of_rows_that_share_an_id(spark):
+    rows = [(i % 10, f"text {i} {'fine' if i % 3 else 'poor'} words {i % 7}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    runs = [
+        sorted(map(tuple, quality_classifier.classify(spark.createDataFrame(r, SCHEMA).repartition(n), labels).collect()))
+        for r, n in ((rows, 1), (rows[::-1], 5))
+    ]
+    assert runs[0] == runs[1]
+
+
 def test_classifier_without_grades_keeps_all(spark):
     docs = spark.createDataFrame(AWKWARD, SCHEMA)
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 1)], "doc_id long, quality int, toxic int")
