@@ -47,8 +47,13 @@ END = 1
 #: Parts in which the ranks of one length are counted.
 SALTS = 16
 
-#: Words, and pieces between white space, that a generation of an encoder's memory holds.
-REMEMBERED = 120_000
+#: Words, and pieces between white space, that a generation of an encoder's memory holds; longer ones
+#: are forgotten with their batch.
+REMEMBERED, LONGEST = 200_000, 64
+
+# Stands for the end of a piece; no id of a vocabulary.
+_END_MARK = 0xFFFFFFFF
+_MARK = _END_MARK.to_bytes(4, "little")
 
 
 class LibraryEncoder:
@@ -71,7 +76,7 @@ class LibraryEncoder:
             )
         self.pattern = regex.compile(f"{pattern}|\n")
         self.symbols = byte_symbols()
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"\n": _MARK}
         self.pieces: dict[str, bytes] = {}
         self.older_words: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
@@ -80,42 +85,49 @@ class LibraryEncoder:
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def _learn_words(self, words: set[str]) -> None:
-        for word in words:
-            if word in self.words:
-                continue
-            found = self.older_words.get(word)
-            if found is None:
+        if len(self.words) >= REMEMBERED:
+            self.words, self.older_words = {"\n": _MARK}, self.words
+        known, older = self.words, self.older_words
+        for word in words.difference(known):
+            if (found := older.get(word)) is None:
                 plain = word if word.isascii() else "".join(map(self.symbols.__getitem__, word.encode()))
                 found = self._word(plain)
-            self.words[word] = found
+            known[word] = found
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Have the ids of all ``pieces`` at hand; returns those that are too long to keep."""
         if len(self.pieces) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
             self.pieces, self.older_pieces = {}, self.pieces
-        if len(self.words) >= REMEMBERED:
-            self.words, self.older_words = {}, self.words
-        plain, unusual = [], []
-        for piece in pieces:
-            if piece in self.pieces:
-                continue
-            if (found := self.older_pieces.get(piece)) is not None:
-                self.pieces[piece] = found
-            elif max(piece) < "\u0100" and piece.isprintable():
-                plain.append(piece)  # composed already, of one case and class under every Unicode version
-            else:
-                unusual.append(piece)
+        new = pieces.difference(self.pieces)
+        moving = [p for p in new if p in self.older_pieces]
+        self.pieces.update(zip(moving, map(self.older_pieces.__getitem__, moving)))
+        new.difference_update(moving)
+        # composed already, of one case and class under every Unicode version
+        together = "".join(new)
+        unusual = []
+        if together and not (max(together) < "\u0100" and together.isprintable()):
+            unusual = [p for p in new if not (max(p) < "\u0100" and p.isprintable())]
+            new.difference_update(unusual)
+        plain = list(new)
         found = self.pattern.findall("\n".join([*plain, ""]).lower())
-        self._learn_words(set(found) - {"\n"})
-        at, parts = 0, []
-        for word in found:
-            if word == "\n":
-                self.pieces[plain[at]] = b"".join(parts)
-                at, parts = at + 1, []
-            else:
-                parts.append(self.words[word])
+        self._learn_words(set(found))
+        ids = b"".join(map(self.words.__getitem__, found))
+        ends = (4 * np.flatnonzero(np.frombuffer(ids, np.uint32) == _END_MARK)).tolist()
+        self.pieces.update(
+            (piece, ids[start:end]) for piece, start, end in zip(plain, [0, *(e + 4 for e in ends)], ends)
+        )
         for piece in unusual:
             split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
             self.pieces[piece] = b"".join([self._word(symbols) for symbols, _ in split])
+        return [p for p in (*plain, *unusual) if len(p) > LONGEST]
+
+    def _forget(self, pieces: list[str]) -> None:
+        """Strings of any length would make the memory unbounded, although their number is bounded."""
+        for piece in pieces:
+            del self.pieces[piece]
+            for word in self.pattern.findall(piece.lower()):
+                if len(word) > LONGEST:
+                    self.words.pop(word, None)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -127,13 +139,13 @@ class LibraryEncoder:
         split = [[] if o else t.split() for t, o in zip(texts, odd)]
         gc.disable()  # the model's many small results hold no cycles, and looking for them takes half of the time
         try:
-            self._learn(set().union(*split))
+            long = self._learn(set().union(*split))
         finally:
             gc.enable()
         known = self.pieces
-        return [
-            self._whole(t) if o else b"".join(map(known.__getitem__, pieces)) for t, o, pieces in zip(texts, odd, split)
-        ]
+        ids = [self._whole(t) if o else b"".join(map(known.__getitem__, found)) for t, o, found in zip(texts, odd, split)]
+        self._forget(long)
+        return ids
 
 
 def token_pieces(
