@@ -58,23 +58,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(keys: DataFrame, *by: str) -> DataFrame:
+    """Key columns dealt out over all cores. A test table may be one row group and so one task, in which
+    its URLs would all be spelled out; real tables have many and need no such step."""
+    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, url`` of the crawled pages."""
-    return table(spark, sf_dir, "pages").select("page_id", "url")
+    return _dealt(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id")
 
 
 def raw_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, url, label``: one row per order."""
     sql = ORDERS_SQL.replace("FROM orders", "FROM {orders}")
-    return spark.sql(sql, orders=table(spark, sf_dir, "orders"))
+    keys = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return spark.sql(sql, orders=_dealt(keys, "o_orderkey"))
 
 
 def many_raw_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id, url, label``: one row per line item, nearly all URLs distinct.
-
-    The table may be one row group and so one task: its three key columns are dealt
-    out before they are spelled out, always and at any size.
-    """
+    """``row_id, url, label``: one row per line item, nearly all URLs distinct."""
     sql = LINEITEM_SQL.replace("FROM lineitem", "FROM {lineitem}")
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return spark.sql(sql, lineitem=keys.repartition("l_orderkey", "l_linenumber"))
+    return spark.sql(sql, lineitem=_dealt(keys, "l_orderkey", "l_linenumber"))

@@ -5,6 +5,7 @@ from linksieve.operators.corpus import (
     canonical_urls, clean_corpus, cleaning_audit, distinct_pairs, drop_empty,
 )
 from linksieve.plans.sample_corpus import raw_urls, table
+from linksieve.session import checkpointed
 from linksieve.sources.urls import (
     load_corpus, load_raw, read_corpus_csv, urls_frame, write_corpus_csv,
 )
@@ -121,5 +122,5 @@ def test_one_url_with_a_third_of_all_rows(spark):
 
 
 def test_the_registered_clean_corpus_is_one_shuffle(spark, sf_dir):
-    plan = clean_corpus(raw_urls(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    plan = clean_corpus(checkpointed(raw_urls(spark, sf_dir)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1

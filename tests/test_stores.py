@@ -7,6 +7,7 @@ from linksieve.functions.lexicons import Lexicons
 from linksieve.operators.corpus import clean_corpus, cleaning_audit, url_groups
 from linksieve.operators.features import FEATURE_NAMES, with_features
 from linksieve.plans.sample_corpus import raw_urls
+from linksieve.session import checkpointed
 from linksieve.sources import features as S
 from linksieve.sources.corpus_state import CorpusState
 from linksieve.sources.journal import Journal, fingerprint
@@ -106,7 +107,7 @@ def test_claims_of_two_writers(spark, tmp_path):
 
 
 def parts(spark, n=3):
-    raw = raw_urls(spark, "/root/testdata/sf0.01")
+    raw = checkpointed(raw_urls(spark, "/root/testdata/sf0.01"))
     return raw, [raw.filter(F.pmod("row_id", F.lit(n)) == i) for i in range(n)]
 
 
