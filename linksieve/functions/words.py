@@ -2,11 +2,15 @@
 
 A byte search per word is fastest for a few dozen words, and its cost grows with their number. An
 Aho-Corasick automaton holds all words of a list and reads every character of a text once, however
-many words there are; it runs over Arrow batches and is built once in a task.
+many words there are; it runs over Arrow batches and is built once in a worker process.
+
+A list reaches the tasks as one string. As text of an expression every word would be a node of the
+parsed query, and the driver's memory would not hold a million of them.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -30,32 +34,43 @@ def word_list(table: DataFrame, word: str, most: int = MOST_CHARACTERS) -> tuple
     size = words.agg(F.sum(F.length("word"))).first()[0] or 0
     if size > most:
         raise ValueError(f"a list of {size} characters; at most {most} reach every task")
-    return tuple(sorted(r.word for r in words.collect()))
+    return tuple(sorted(words.toArrow().column("word").to_pylist()))
 
 
-def words_in(text: str, counted: Iterable[str], wanted: Iterable[str]) -> Column:
-    """A struct of ``counted``, how many distinct words of one list a text holds, and ``wanted``,
-    whether it holds any of the other. The column ``text`` must not be null."""
+def words_in(text: str, counted: Iterable[str], wanted: Iterable[str], label: str = "''") -> Column:
+    """A struct of ``counted``, how many distinct words of one list a text holds, ``wanted``,
+    whether it holds any of the other, and ``listed``, whether ``label`` is one of the other. The
+    column ``text`` and the SQL text ``label`` must not be null."""
     lists = [sorted(set(words)) for words in (counted, wanted)]
     for words in lists:
         if sum(map(len, words)) > MOST_CHARACTERS:
             raise ValueError(f"a word list of more than {MOST_CHARACTERS} characters")
 
-    @F.pandas_udf("counted int, wanted boolean")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    packed = [json.dumps(words) for words in lists]
+    # the empty word is in every text
+    always, some = ("" in words for words in lists)
+    del lists, words
+
+    @F.pandas_udf("counted int, wanted boolean, listed boolean")
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        import sys
+        import types
+
         import ahocorasick
 
-        automata = []
-        for words in lists:
-            automaton = ahocorasick.Automaton()
-            for i, word in enumerate(words):
-                if word:
-                    automaton.add_word(word, i)
-            automaton.make_automaton()
-            automata.append(automaton if len(automaton) else None)
-        # the empty word is in every text
-        first, second = automata
-        always, some = "" in lists[0], "" in lists[1]
+        # lives as long as the worker process, which Spark reuses from task to task
+        store = sys.modules.setdefault("_linksieve_words", types.ModuleType("_linksieve_words"))
+        if getattr(store, "packed", None) != packed:
+            store.automata = []
+            for words in map(json.loads, packed):
+                automaton = ahocorasick.Automaton()
+                for i, word in enumerate(words):
+                    if word:
+                        automaton.add_word(word, i)
+                automaton.make_automaton()
+                store.automata.append(automaton if len(automaton) else None)
+            store.packed = packed
+        first, second = store.automata
 
         def count(text: str) -> int:
             return always + (len({i for _, i in first.iter(text)}) if first else 0)
@@ -63,7 +78,16 @@ def words_in(text: str, counted: Iterable[str], wanted: Iterable[str]) -> Column
         def any_in(text: str) -> bool:
             return some or bool(second) and next(second.iter(text), None) is not None
 
-        for texts in batches:
-            yield pd.DataFrame({"counted": list(map(count, texts)), "wanted": list(map(any_in, texts))})
+        def is_word(label: str) -> bool:
+            return label in second if second and label else some and label == ""
+
+        for texts, labels in batches:
+            yield pd.DataFrame(
+                {
+                    "counted": list(map(count, texts)),
+                    "wanted": list(map(any_in, texts)),
+                    "listed": list(map(is_word, labels)),
+                }
+            )
 
-    return found(text)
+    return found(F.col(text), F.expr(label))

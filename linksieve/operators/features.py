@@ -122,8 +122,10 @@ def _structural(lex: Lexicons) -> dict[str, str]:
     }
 
 
+_FIRST_LABEL = "substring_index(__registered, '.', 1)"
+
+
 def _suspicion(lex: Lexicons) -> dict[str, str]:
-    first_label = "substring_index(__registered, '.', 1)"
     ranked = ", ".join(quoted(tld) for tld in lex.ranked_tlds)
     rank = f"array_position(array({ranked}), __tld)"
     return {
@@ -135,8 +137,9 @@ def _suspicion(lex: Lexicons) -> dict[str, str]:
         ),
         "has_suspicious_tld": in_list("__tld", lex.suspicious_tlds),
         "brand_domain_mismatch": (
-            f"NOT {in_list(first_label, lex.brands)} AND "
-            + ("__found.wanted" if many(lex.brands) else any_word_found("__lower_text", lex.brands))
+            "NOT __found.listed AND __found.wanted"
+            if many(lex.brands)
+            else f"NOT {in_list(_FIRST_LABEL, lex.brands)} AND {any_word_found('__lower_text', lex.brands)}"
         ),
         "digit_letter_ratio": "if(__letters > 0, __digits / __letters, double(__digits > 0))",
         **{name: f"__measured.{name}" for name in MEASURES},
@@ -190,7 +193,7 @@ def with_features(
     counted = lexicons.keywords if many(lexicons.keywords) and "num_suspicious_keywords" in features else ()
     wanted = lexicons.brands if many(lexicons.brands) and "brand_domain_mismatch" in features else ()
     if counted or wanted:
-        out = out.withColumn(_PREFIX + "found", words_in("__lower_text", counted, wanted))
+        out = out.withColumn(_PREFIX + "found", words_in("__lower_text", counted, wanted, _FIRST_LABEL))
     measures = {**_lexical(), **_structural(lexicons), **_suspicion(lexicons)}
     return out.selectExpr(
         *[column(name) for name in df.columns],

@@ -157,6 +157,15 @@ def test_word_lists_from_tables_are_bounded(spark, monkeypatch):
         W.words_in("url", ["abcd"], [])
 
 
+def test_a_long_list_is_no_part_of_the_plan(spark):
+    """A listed brand as the first label is no mismatch; no word of a long list becomes a literal."""
+    brands = tuple(f"brand{i}" for i in range(2000))
+    urls = ["brand7.com", "brand77.evil.com/brand7", "evil.com/brand1999", "evil.com", "", None]
+    out = with_features(urls_frame(spark, urls), features=["brand_domain_mismatch"], lexicons=Lexicons(brands=brands))
+    assert [r.brand_domain_mismatch for r in out.collect()] == [0, 1, 1, 0, 0, 0]
+    assert "brand1999" not in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_time_hardly_depends_on_the_length_of_the_list(spark):
     urls = spark.range(20_000, numPartitions=4).select(
         F.concat(F.lit("www.site"), F.md5(F.col("id").cast("string")), F.lit(".com/path/"), "id").alias("url")
