@@ -28,6 +28,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ SALTS = 16
 #: are forgotten with their batch.
 REMEMBERED, LONGEST = 200_000, 64
 
+#: Documents encoded at a time: the more, the fewer of their pieces are distinct.
+DOCUMENTS = 4096
+
 # Stands for the end of a piece; no id of a vocabulary.
 _END_MARK = 0xFFFFFFFF
 _MARK = _END_MARK.to_bytes(4, "little")
@@ -59,8 +63,9 @@ _MARK = _END_MARK.to_bytes(4, "little")
 class LibraryEncoder:
     """Ids by the tokenizers library's model, words and pieces between white space remembered.
 
-    All pieces of a batch that are not yet known are cut into words in one go, with line feeds
-    between them, and only words that are new reach the model.
+    Arrow splits a batch of texts and numbers its distinct pieces, so Python sees each piece of a batch
+    once. All pieces that are not yet known are cut into words in one go, with line feeds between them,
+    and only words that are new reach the model.
     """
 
     def __init__(self, path: str):
@@ -77,7 +82,7 @@ class LibraryEncoder:
         self.pattern = regex.compile(f"{pattern}|\n")
         self.symbols = byte_symbols()
         self.words: dict[str, bytes] = {"\n": _MARK}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
         self.older_words: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
 
@@ -94,32 +99,27 @@ class LibraryEncoder:
                 found = self._word(plain)
             known[word] = found
 
-    def _learn(self, pieces: set[str]) -> list[str]:
-        """Have the ids of all ``pieces`` at hand; returns those that are too long to keep."""
-        if len(self.pieces) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
-            self.pieces, self.older_pieces = {}, self.pieces
-        new = pieces.difference(self.pieces)
-        moving = [p for p in new if p in self.older_pieces]
-        self.pieces.update(zip(moving, map(self.older_pieces.__getitem__, moving)))
-        new.difference_update(moving)
+    def _learn(self, new: list[str]) -> list[str]:
+        """Have the ids of pieces that are not in ``pieces`` there; returns those too long to stay."""
+        known, older = self.pieces, self.older_pieces
+        if older:
+            known.update([(p, older[p]) for p in new if p in older])
+            new = [p for p in new if p not in older]
         # composed already, of one case and class under every Unicode version
         together = "".join(new)
         unusual = []
         if together and not (max(together) < "\u0100" and together.isprintable()):
             unusual = [p for p in new if not (max(p) < "\u0100" and p.isprintable())]
-            new.difference_update(unusual)
-        plain = list(new)
-        found = self.pattern.findall("\n".join([*plain, ""]).lower())
+            new = [p for p in new if max(p) < "\u0100" and p.isprintable()]
+        found = self.pattern.findall("\n".join([*new, ""]).lower())
         self._learn_words(set(found))
         ids = b"".join(map(self.words.__getitem__, found))
         ends = (4 * np.flatnonzero(np.frombuffer(ids, np.uint32) == _END_MARK)).tolist()
-        self.pieces.update(
-            (piece, ids[start:end]) for piece, start, end in zip(plain, [0, *(e + 4 for e in ends)], ends)
-        )
+        known.update([(piece, ids[start:end]) for piece, start, end in zip(new, [0, *(e + 4 for e in ends)], ends)])
         for piece in unusual:
             split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
-            self.pieces[piece] = b"".join([self._word(symbols) for symbols, _ in split])
-        return [p for p in (*plain, *unusual) if len(p) > LONGEST]
+            known[piece] = b"".join([self._word(symbols) for symbols, _ in split])
+        return [p for p in (*new, *unusual) if len(p) > LONGEST]
 
     def _forget(self, pieces: list[str]) -> None:
         """Strings of any length would make the memory unbounded, although their number is bounded."""
@@ -136,16 +136,34 @@ class LibraryEncoder:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         texts = [t or "" for t in texts]
         odd = [NOT_SPACE.search(t) is not None or any(s in t for s in self.special) for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd)]
+        # Arrow's white space is Python's; a text that begins or ends with some gets an empty piece there
+        split = pc.utf8_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        if len(self.pieces) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
+            self.pieces, self.older_pieces = {"": b""}, self.pieces
+        known = self.pieces
+        of_piece = list(map(known.get, pieces))
+        new = [i for i, ids in enumerate(of_piece) if ids is None]
         gc.disable()  # the model's many small results hold no cycles, and looking for them takes half of the time
         try:
-            long = self._learn(set().union(*split))
+            long = self._learn([pieces[i] for i in new])
         finally:
             gc.enable()
-        known = self.pieces
-        ids = [self._whole(t) if o else b"".join(map(known.__getitem__, found)) for t, o, found in zip(texts, odd, split)]
+        for i in new:
+            of_piece[i] = known[pieces[i]]
         self._forget(long)
-        return ids
+        # the ids of every piece of the batch in a row, by the places where those of its distinct piece begin
+        lengths = np.fromiter(map(len, of_piece), np.int64, len(of_piece)) // 4
+        codes = coded.indices.to_numpy()
+        sizes = lengths[codes]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(lengths) - lengths)[codes] - (ends - sizes)
+        places = np.repeat(shift, sizes)
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(of_piece), "<u4")[places].tobytes()
+        cuts = (4 * np.r_[0, ends][split.offsets.to_numpy()]).tolist()
+        return [self._whole(t) if o else ids[i:j] for t, o, i, j in zip(texts, odd, cuts, cuts[1:])]
 
 
 def token_pieces(
@@ -176,7 +194,7 @@ def token_pieces(
 
     made = ("piece", "start", "length", "ids")
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
-    cut = text_columns(df, make, [StructField("ids", ArrayType(BinaryType()))], text, kept)
+    cut = text_columns(df, make, [StructField("ids", ArrayType(BinaryType()))], text, kept, DOCUMENTS)
     return (
         cut.select(*map(column, kept), F.posexplode("ids").alias("piece", "ids"))
         .withColumn("start", F.col("piece").cast("long") * capacity)

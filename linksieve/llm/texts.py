@@ -6,7 +6,9 @@ import sys
 import types
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -14,6 +16,8 @@ from pyspark.sql.types import StructField, StructType
 
 #: Rows computed at a time: bounds a worker's memory also where texts are long.
 ROWS_AT_ONCE = 128
+#: Bytes of text computed at a time where an operator asks for more rows; one text is never cut.
+BYTES_AT_ONCE = 16_000_000
 
 Compute = Callable[[list], list]
 
@@ -29,18 +33,32 @@ def worker_store() -> dict:
     return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
+def text_bounds(texts: pa.Array, rows: int, most: int = BYTES_AT_ONCE) -> list[int]:
+    """Where to cut ``texts``: at most ``rows`` and, beyond one text, ``most`` bytes to a part."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    bounds = [0]
+    while bounds[-1] < len(texts):
+        start = bounds[-1]
+        before = ends[start - 1] if start else 0
+        fits = int(np.searchsorted(ends, before + most, side="right"))
+        bounds.append(max(start + 1, min(start + rows, fits)))
+    return bounds
+
+
 def text_columns(
     df: DataFrame,
     make: Callable[[], Compute],
     fields: list[StructField],
     text: str = "text",
     keep: list[str] | None = None,
+    rows: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """``keep`` (default: all columns) and new ``fields`` computed from whole texts.
 
     ``make`` runs once in a task and returns the function that turns a list of texts
     (``None`` for null) into one list per field. A kept column with the name of a field,
-    in whatever case, is replaced by the field. An empty table gives an empty one.
+    in whatever case, is replaced by the field. An empty table gives an empty one. The function gets
+    at most ``rows`` texts at a time, fewer where they are long.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
@@ -52,9 +70,11 @@ def text_columns(
     def run(batches):
         compute = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(start, ROWS_AT_ONCE)
-                columns = part.columns
+            bounds = [*range(0, batch.num_rows, rows), batch.num_rows]
+            if rows > ROWS_AT_ONCE:
+                bounds = text_bounds(batch.columns[-1], rows)
+            for start, end in zip(bounds, bounds[1:]):
+                columns = batch.slice(start, end - start).columns
                 made = compute(columns[-1].to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [

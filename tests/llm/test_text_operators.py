@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken  # noqa: F401  (the secret scan needs it)
 from tokenizers import Tokenizer
@@ -23,6 +24,7 @@ from linksieve.llm import (
     sharding,
 )
 from linksieve.llm.queries import LLM_ORACLES, LLM_QUERIES
+from linksieve.llm.texts import text_bounds
 
 LONG = " ".join(f"word{i % 997} seldom{i}." for i in range(60_000))
 AWKWARD = [
@@ -140,6 +142,30 @@ def test_long_words_and_forgetting(monkeypatch):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_batch_sees_each_piece_once(monkeypatch):
+    """Pieces of a batch reach Python once each, whatever stands around them; ids equal the library's."""
+    encoder = packing.LibraryEncoder(packing.VOCABULARY)
+    texts = ["one two  one\ttwo\u3000one", " two\none ", "", None, " ", "one\x1ctwo one", "Zwölf éé 日本 one"] * 3
+    asked = []
+
+    class Known(dict):
+        def get(self, piece, default=None):
+            asked.append(piece)
+            return super().get(piece, default)
+
+    encoder.pieces = Known(encoder.pieces)
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == whole
+    assert sorted(asked) == sorted({"one", "two", "", "Zwölf", "éé", "日本"})
+
+
+def test_long_texts_are_fewer_at_a_time():
+    texts = pa.array(["a" * 10, None, "b" * 30, "", "c", "d"], pa.string())
+    assert text_bounds(texts, 4, 20) == [0, 2, 3, 6]
+    assert text_bounds(texts, 2, 100) == [0, 2, 4, 6]
+    assert text_bounds(texts.slice(0, 0), 2, 100) == [0]
+
+
 def test_decode_column(spark):
     docs = bpe.encode_texts(spark.createDataFrame([(1, "Hello there"), (2, None)], SCHEMA))
     rows = bpe.decode_ids(docs.selectExpr("*", "if(doc_id = 2, null, ids) as some"), "some").orderBy("doc_id").collect()
