@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from tokenizers import Tokenizer
 
 from linksieve.llm.bpe import NOT_SPACE, VOCABULARY, byte_symbols
-from linksieve.llm.texts import column, text_columns, worker_store
+from linksieve.llm.texts import ROWS_AT_ONCE, column, text_columns, worker_store
 from linksieve.session import checkpointed
 
 CAPACITY = 4096
@@ -52,7 +52,8 @@ SALTS = 16
 #: are forgotten with their batch.
 REMEMBERED, LONGEST = 200_000, 64
 
-#: Documents encoded at a time: the more, the fewer of their pieces are distinct.
+#: Documents encoded at a time where only checksums go on: the more, the fewer of their pieces are
+#: distinct, and the more memory a worker takes. With ids carried along it is ``ROWS_AT_ONCE``.
 DOCUMENTS = 4096
 
 # Stands for the end of a piece; no id of a vocabulary.
@@ -172,6 +173,7 @@ def token_pieces(
     keep: list[str] | None = None,
     capacity: int = CAPACITY,
     vocabulary: str = VOCABULARY,
+    documents: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """A row per piece: the kept columns, ``piece`` int, ``start`` and ``length`` long, ``ids``.
 
@@ -194,7 +196,7 @@ def token_pieces(
 
     made = ("piece", "start", "length", "ids")
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
-    cut = text_columns(df, make, [StructField("ids", ArrayType(BinaryType()))], text, kept, DOCUMENTS)
+    cut = text_columns(df, make, [StructField("ids", ArrayType(BinaryType()))], text, kept, documents)
     return (
         cut.select(*map(column, kept), F.posexplode("ids").alias("piece", "ids"))
         .withColumn("start", F.col("piece").cast("long") * capacity)
@@ -366,7 +368,7 @@ def pack(
 
 def digests(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """As ``pack``, with a checksum of the ids in place of the ids."""
-    pieces = token_pieces(df, text, [key]).select(
+    pieces = token_pieces(df, text, [key], documents=DOCUMENTS).select(
         column(key), "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
     )
     return place(checkpointed(pieces), key=key)
