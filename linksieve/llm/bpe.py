@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 from tokenizers import Tokenizer
 
-from linksieve.llm.texts import text_columns, worker_store
+from linksieve.llm.texts import remembered, text_columns
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -191,10 +191,7 @@ def decode_ids(df: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) ->
 
 def loaded(path: str) -> Bpe:
     """The encoder of this worker process, kept from task to task."""
-    store = worker_store()
-    if path not in store:
-        store[path] = Bpe(path)
-    return store[path]
+    return remembered(("bpe", path), lambda: Bpe(path))
 
 
 def round_trip(df: DataFrame, text: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY) -> DataFrame:

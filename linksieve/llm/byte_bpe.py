@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField
 
-from linksieve.llm.texts import text_columns, worker_store
+from linksieve.llm.texts import remembered, text_columns
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -171,11 +171,7 @@ class ByteBpe:
 
 def loaded(path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> ByteBpe:
     """The encoder of this worker process, kept from task to task."""
-    store = worker_store()
-    key = ("byte_bpe", path, pattern)
-    if key not in store:
-        store[key] = ByteBpe(path, pattern)
-    return store[key]
+    return remembered(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_texts(

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import json
+import re
 from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -37,7 +38,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from tokenizers import Tokenizer
 
 from linksieve.llm.bpe import NOT_SPACE, VOCABULARY, byte_symbols
-from linksieve.llm.texts import ROWS_AT_ONCE, column, text_columns, worker_store
+from linksieve.llm.texts import column, remembered, text_columns
 from linksieve.session import checkpointed
 
 CAPACITY = 4096
@@ -52,9 +53,13 @@ SALTS = 16
 #: are forgotten with their batch.
 REMEMBERED, LONGEST = 200_000, 64
 
-#: Documents encoded at a time where only checksums go on: the more, the fewer of their pieces are
-#: distinct, and the more memory a worker takes. With ids carried along it is ``ROWS_AT_ONCE``.
-DOCUMENTS = 4096
+#: All but the printable characters of Latin-1, which are composed already and of one case and class under
+#: every Unicode version.
+UNUSUAL = re.compile("[^!-~\u00a1-\u00ac\u00ae-\u00ff]")
+
+#: Documents encoded at a time, where their ids are carried along and where only checksums go on: the more,
+#: the fewer of their pieces are distinct, and the more memory a worker takes.
+CARRIED, DOCUMENTS = 1024, 4096
 
 # Stands for the end of a piece; no id of a vocabulary.
 _END_MARK = 0xFFFFFFFF
@@ -62,11 +67,13 @@ _MARK = _END_MARK.to_bytes(4, "little")
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library's model, words and pieces between white space remembered.
+    """Ids by the tokenizers library's model, words remembered.
 
     Arrow splits a batch of texts and numbers its distinct pieces, so Python sees each piece of a batch
-    once. All pieces that are not yet known are cut into words in one go, with line feeds between them,
-    and only words that are new reach the model.
+    once. All pieces are cut into words in one go, with line feeds between them, and only words that are
+    new reach the model. Arrow then puts the ids of the pieces in the order of the texts. Nine in ten
+    pieces of a large batch were not in the one before, so only those that took a way of their own are
+    remembered.
     """
 
     def __init__(self, path: str):
@@ -90,45 +97,43 @@ class LibraryEncoder:
     def _word(self, symbols: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
-    def _learn_words(self, words: set[str]) -> None:
-        if len(self.words) >= REMEMBERED:
+    def _learn_words(self, words: set[str]) -> list[str]:
+        """Have the ids of ``words`` in ``words``; returns those too long to stay."""
+        if len(self.words) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
             self.words, self.older_words = {"\n": _MARK}, self.words
         known, older = self.words, self.older_words
-        for word in words.difference(known):
+        new = words.difference(known)
+        for word in new:
             if (found := older.get(word)) is None:
                 plain = word if word.isascii() else "".join(map(self.symbols.__getitem__, word.encode()))
                 found = self._word(plain)
             known[word] = found
-
-    def _learn(self, new: list[str]) -> list[str]:
-        """Have the ids of pieces that are not in ``pieces`` there; returns those too long to stay."""
-        known, older = self.pieces, self.older_pieces
-        if older:
-            known.update([(p, older[p]) for p in new if p in older])
-            new = [p for p in new if p not in older]
-        # composed already, of one case and class under every Unicode version
-        together = "".join(new)
-        unusual = []
-        if together and not (max(together) < "\u0100" and together.isprintable()):
-            unusual = [p for p in new if not (max(p) < "\u0100" and p.isprintable())]
-            new = [p for p in new if max(p) < "\u0100" and p.isprintable()]
-        found = self.pattern.findall("\n".join([*new, ""]).lower())
-        self._learn_words(set(found))
-        ids = b"".join(map(self.words.__getitem__, found))
-        ends = (4 * np.flatnonzero(np.frombuffer(ids, np.uint32) == _END_MARK)).tolist()
-        known.update([(piece, ids[start:end]) for piece, start, end in zip(new, [0, *(e + 4 for e in ends)], ends)])
-        for piece in unusual:
-            split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
-            known[piece] = b"".join([self._word(symbols) for symbols, _ in split])
-        return [p for p in (*new, *unusual) if len(p) > LONGEST]
-
-    def _forget(self, pieces: list[str]) -> None:
-        """Strings of any length would make the memory unbounded, although their number is bounded."""
+        return [w for w in new if len(w) > LONGEST]
+
+    def _together(self, pieces: list[str]) -> pa.Array:
+        """Ids of pieces of usual characters, which need no normalizer but lower case."""
+        found = self.pattern.findall("\n".join([*pieces, ""]).lower())
+        long = self._learn_words(set(found))
+        ids = np.frombuffer(b"".join(map(self.words.__getitem__, found)), np.uint32)
+        for word in long:  # strings of any length would make the memory unbounded, although their number is bounded
+            del self.words[word]
+        marks = ids == _END_MARK
+        ends = np.flatnonzero(marks) - np.arange(len(pieces))
+        return _binary(ids[~marks], np.r_[0, ends])
+
+    def _alone(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of any characters, each by the library's normalizer and splitter."""
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces, self.older_pieces = {"": b""}, self.pieces
+        made = []
         for piece in pieces:
-            del self.pieces[piece]
-            for word in self.pattern.findall(piece.lower()):
-                if len(word) > LONGEST:
-                    self.words.pop(word, None)
+            if (ids := self.older_pieces.get(piece)) is None:
+                split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
+                ids = b"".join([self._word(symbols) for symbols, _ in split])
+            if len(piece) <= LONGEST:
+                self.pieces[piece] = ids
+            made.append(ids)
+        return made
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -141,39 +146,48 @@ class LibraryEncoder:
         split = pc.utf8_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.string()))
         coded = split.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        if len(self.pieces) >= REMEMBERED:  # what is in use moves on, the rest is forgotten
-            self.pieces, self.older_pieces = {"": b""}, self.pieces
-        known = self.pieces
-        of_piece = list(map(known.get, pieces))
-        new = [i for i, ids in enumerate(of_piece) if ids is None]
+        own = list(map(self.pieces.get, pieces))  # ids of pieces that go a way of their own
+        usual = [ids is None for ids in own]
         gc.disable()  # the model's many small results hold no cycles, and looking for them takes half of the time
         try:
-            long = self._learn([pieces[i] for i in new])
+            if UNUSUAL.search("".join(pieces)):
+                alone = [i for i, p in enumerate(pieces) if usual[i] and UNUSUAL.search(p)]
+                for i, ids in zip(alone, self._alone([pieces[i] for i in alone])):
+                    own[i], usual[i] = ids, False
+            together = self._together([p for p, u in zip(pieces, usual) if u])
         finally:
             gc.enable()
-        for i in new:
-            of_piece[i] = known[pieces[i]]
-        self._forget(long)
-        # the ids of every piece of the batch in a row, by the places where those of its distinct piece begin
-        lengths = np.fromiter(map(len, of_piece), np.int64, len(of_piece)) // 4
-        codes = coded.indices.to_numpy()
-        sizes = lengths[codes]
-        ends = np.cumsum(sizes)
-        shift = (np.cumsum(lengths) - lengths)[codes] - (ends - sizes)
-        places = np.repeat(shift, sizes)
-        places += np.arange(len(places))
-        ids = np.frombuffer(b"".join(of_piece), "<u4")[places].tobytes()
-        cuts = (4 * np.r_[0, ends][split.offsets.to_numpy()]).tolist()
+        # the place of every distinct piece: first those encoded together, then the others
+        usual = np.array(usual, bool)
+        place = np.where(usual, np.cumsum(usual) - 1, len(together) + np.cumsum(~usual) - 1)
+        distinct = pa.concat_arrays([together, pa.array([ids for ids in own if ids is not None], pa.large_binary())])
+        ordered = distinct.take(pa.array(place[coded.indices.to_numpy()], pa.int64()))
+        ids, ends = _contents(ordered)
+        cuts = ends[split.offsets.to_numpy()].tolist()
         return [self._whole(t) if o else ids[i:j] for t, o, i, j in zip(texts, odd, cuts, cuts[1:])]
 
 
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """An Arrow array of the stretches of ``ids`` between ``ends``, as bytes."""
+    offsets = (ends.astype(np.int64) * ids.itemsize).tobytes()
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers)
+
+
+def _contents(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All bytes of an array of large binaries that begins its buffers, and where each value begins and ends."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(values) + 1) if len(values) else np.zeros(1, np.int64)
+    return data.to_pybytes() if data is not None else b"", ends
+
+
 def token_pieces(
     df: DataFrame,
     text: str = "text",
     keep: list[str] | None = None,
     capacity: int = CAPACITY,
     vocabulary: str = VOCABULARY,
-    documents: int = ROWS_AT_ONCE,
+    documents: int = CARRIED,
 ) -> DataFrame:
     """A row per piece: the kept columns, ``piece`` int, ``start`` and ``length`` long, ``ids``.
 
@@ -182,11 +196,8 @@ def token_pieces(
     """
 
     def make():
-        store = worker_store()
-        name = ("library", vocabulary)
-        if name not in store:
-            store[name] = LibraryEncoder(vocabulary)
-        encoder, end, most = store[name], END.to_bytes(4, "little"), 4 * capacity
+        encoder = remembered(("library", vocabulary), lambda: LibraryEncoder(vocabulary))
+        end, most = END.to_bytes(4, "little"), 4 * capacity
 
         def compute(texts):
             whole = [ids + end for ids in encoder.encode(texts)]

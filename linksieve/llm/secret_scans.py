@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from linksieve.llm.texts import column, text_columns, worker_store
+from linksieve.llm.texts import column, remembered, text_columns
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -119,10 +119,7 @@ class Efficiency:
 
 
 def loaded(path: str) -> Efficiency:
-    store = worker_store()
-    if ("efficiency", path) not in store:
-        store["efficiency", path] = Efficiency(path)
-    return store["efficiency", path]
+    return remembered(("efficiency", path), lambda: Efficiency(path))
 
 
 def joined(spans: list[Span]) -> str:

@@ -19,6 +19,8 @@ ROWS_AT_ONCE = 128
 #: Bytes of text computed at a time where an operator asks for more rows; one text is never cut.
 BYTES_AT_ONCE = 16_000_000
 
+_STORE = "_linksieve_llm_worker"
+
 Compute = Callable[[list], list]
 
 
@@ -27,10 +29,23 @@ def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def worker_store() -> dict:
-    """A dict that lives as long as this Python process, which Spark reuses from task to task."""
-    name = "_linksieve_llm_worker"
-    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+def remembered(name, make: Callable[[], object]):
+    """What ``make`` gives, kept under ``name`` as long as this Python process, which Spark reuses from task to task.
+
+    One operator's memory is kept at a time: stages that follow each other run in the same processes, and what
+    all of them remember would add up.
+    """
+    store = vars(sys.modules.setdefault(_STORE, types.ModuleType(_STORE)))
+    held = store.setdefault("held", {})
+    if name not in held:
+        held.clear()
+        held[name] = make()
+    return held[name]
+
+
+def give_back() -> None:
+    """Return to the system what Arrow has freed but holds: about 100 MB a process after batches of long texts."""
+    pa.default_memory_pool().release_unused()
 
 
 def text_bounds(texts: pa.Array, rows: int, most: int = BYTES_AT_ONCE) -> list[int]:
@@ -83,5 +98,6 @@ def text_columns(
                     ],
                     schema=arrow,
                 )
+            give_back()
 
     return source.mapInArrow(run, schema)

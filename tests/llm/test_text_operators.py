@@ -159,6 +159,19 @@ def test_a_batch_sees_each_piece_once(monkeypatch):
     assert sorted(asked) == sorted({"one", "two", "", "Zwölf", "éé", "日本"})
 
 
+def test_pieces_of_usual_characters_are_not_kept():
+    """Only pieces that the library's normalizer has to see are remembered; ids stand in the order of the texts."""
+    encoder = packing.LibraryEncoder(packing.VOCABULARY)
+    long = "ab" * packing.LONGEST
+    texts = [f"one Zwölf 日本 {long} two,three 日本", f"日本{long} one", "İstanbul one Σ", "", "two é é"]
+    for batch in (texts, texts[::-1], texts[:1]):
+        whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(batch)] == whole
+    assert not {"one", "Zwölf", "two,three", long, f"日本{long}"} & set(encoder.pieces)
+    assert {"日本", "İstanbul"} <= set(encoder.pieces)
+    assert long not in encoder.words and "one" in encoder.words
+
+
 def test_long_texts_are_fewer_at_a_time():
     texts = pa.array(["a" * 10, None, "b" * 30, "", "c", "d"], pa.string())
     assert text_bounds(texts, 4, 20) == [0, 2, 3, 6]
