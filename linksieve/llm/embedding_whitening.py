@@ -2,8 +2,9 @@
 
 The leading eigenvectors of the covariance V of all vectors come from products V·Q with a thin
 block Q. A product is one pass over the stored vectors: every task sums centred x·(xᵀQ) over its
-rows, and the sums of all tasks are added up in a shuffle by dimension. Neither V nor any row
-reaches the driver, only the product, which has the size of Q.
+rows, and one more task adds up the sums. A pass has a few tasks for every core, however many files or
+splits the vectors come in, so what that task reads depends on the cluster and the size of Q, not on the
+number of rows. Neither V nor any row reaches the driver, only the product, which has the size of Q.
 
 A round filters the block by a Chebyshev polynomial of V. The polynomial stays within -1 and 1 on
 the interval of the unwanted spectrum, zero to the lowest Ritz value of the block, and grows
@@ -41,8 +42,9 @@ GAIN, DEGREES = 1e4, (4, 40)
 #: Residuals, as shares of the largest eigenvalue, that certify the wanted vectors.
 CERTIFIED = 1e-14
 ROUNDS = 60
-#: Rows that a task multiplies at a time.
+#: Rows that a task multiplies at a time, and tasks of a pass for each core.
 BLOCK = 4096
+TASKS = 4
 
 
 def integer_vectors(df: DataFrame, vector: str, key: str) -> DataFrame:
@@ -70,7 +72,9 @@ class Vectors:
     """Stored integer vectors of one length: their exact sums, and products with their covariance."""
 
     def __init__(self, table: DataFrame, size: int):
-        self.table, self.size = table, size
+        # some hundred passes, each with a result for every task: many small splits would take most of the time
+        self.table = table.coalesce(TASKS * table.sparkSession.sparkContext.defaultParallelism)
+        self.size = size
 
         def run(batches):
             count, high, low, least, most = 0, 0, 0, None, None
@@ -86,7 +90,8 @@ class Vectors:
                     [pa.array(c, pa.int64()) for c in columns], names=["i", "n", "high", "low", "least", "most"]
                 )
 
-        parts = table.select("x").mapInArrow(run, "i long, n long, high long, low long, least long, most long")
+        made = self.table.select("x").mapInArrow(run, "i long, n long, high long, low long, least long, most long")
+        parts = made.repartition(1)  # a row per task and dimension
         wide = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("n", "high", "low")]
         rows = parts.groupBy("i").agg(*wide, F.min("least").alias("least"), F.max("most").alias("most")).collect()
         ordered = sorted(rows, key=lambda r: r.i)  # a row per dimension
@@ -112,7 +117,7 @@ class Vectors:
 
         schema = "i int, " + ", ".join(f"c{j} double" for j in range(width))
         made = self.table.select("x").mapInArrow(run, schema)
-        added = made.groupBy("i").agg(*(F.sum(f"c{j}").alias(f"c{j}") for j in range(width)))
+        added = made.repartition(1).groupBy("i").agg(*(F.sum(f"c{j}").alias(f"c{j}") for j in range(width)))
         found = added.toPandas().sort_values("i")  # the size of a block, whatever the table's
         return found[[f"c{j}" for j in range(width)]].to_numpy()
 

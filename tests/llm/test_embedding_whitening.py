@@ -100,3 +100,15 @@ def test_deviations_beyond_a_long(spark):
     rows = {r.vec_id: r.deviation for r in W.whiten(df).collect()}
     exact = [d if d < 2**63 else None for d in dense(vectors)[0]]
     assert [rows[i] for i in range(3)] == exact and None in exact and exact[2] is not None
+
+
+def test_passes_have_few_tasks(spark):
+    """However many splits the vectors come in, a pass has some tasks for each core, and one adds up their sums."""
+    draw = np.random.default_rng(1).integers(0, 50, (300, 12)).tolist()
+    most = W.TASKS * spark.sparkContext.defaultParallelism
+    table = spark.createDataFrame(list(enumerate(draw)), "key long, x array<long>").repartition(most + 20)
+    vectors = W.Vectors(table, 12)
+    assert vectors.table.rdd.getNumPartitions() == most
+    assert vectors.sums == np.sum(draw, axis=0).tolist() and vectors.n == 300
+    covariance = np.cov(np.array(draw).T, bias=True)
+    assert vectors.times_covariance(np.eye(12)) == pytest.approx(covariance, abs=1e-9)
