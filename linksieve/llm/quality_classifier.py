@@ -18,6 +18,7 @@ and the figures are null. Rows are scored each for itself.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField
 
-from linksieve.llm.texts import column, text_columns
+from linksieve.llm.texts import column, remembered, text_columns
 
 BUCKETS = 1 << 18
 FIT_ROWS = 16_000
@@ -207,10 +208,11 @@ def score(df: DataFrame, model, text: str = "text", keep: list[str] | None = Non
     if model is None:
         return text_columns(df, lambda: lambda t: [[None] * len(t), [None] * len(t), [True] * len(t)], fields, text, keep)
     shared = df.sparkSession.sparkContext.broadcast(model)
+    model_id = hashlib.sha256(b"".join(model)).hexdigest()
 
     def make():
         weights, thresholds = (np.frombuffer(b) for b in shared.value)
-        known = _Weights(weights)
+        known = remembered(("classifier", model_id), lambda: _Weights(weights))
 
         def compute(texts):
             scores = np.array([math.fsum(map(known.__getitem__, features(t))) for t in texts])

@@ -24,7 +24,7 @@ from linksieve.llm import (
     sharding,
 )
 from linksieve.llm.queries import LLM_ORACLES, LLM_QUERIES
-from linksieve.llm.texts import text_bounds
+from linksieve.llm.texts import remembered, text_bounds
 
 LONG = " ".join(f"word{i % 997} seldom{i}." for i in range(60_000))
 AWKWARD = [
@@ -549,3 +549,17 @@ def test_classifier_awkward_rows(awkward, spark):
     labels = spark.createDataFrame([(6, 1, 0), (6, 0, 0), (4, 1, 0), (8, 1, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality_classifier.classify(awkward, labels).count() == len(AWKWARD)
     assert set(quality_classifier.select_documents(awkward, labels).columns) == set(awkward.columns)
+
+
+def test_one_memory_at_a_time():
+    """Stages share worker processes: what one remembers goes when another one starts to."""
+    made = []
+
+    def make(name):
+        return lambda: made.append(name) or [name]
+
+    first = remembered("first", make("first"))
+    assert remembered("first", make("again")) is first
+    assert remembered("second", make("second")) == ["second"]
+    assert remembered("first", make("first")) == ["first"]
+    assert made == ["first", "second", "first"]
