@@ -6,6 +6,7 @@ import pytest
 from plain_features import plain_features
 from pyspark.sql import types as T
 
+from linksieve.functions import measures
 from linksieve.functions.lexicons import DEFAULT_LEXICONS, MULTI_LABEL_SUFFIXES, Lexicons
 from linksieve.functions.measures import MEASURES
 from linksieve.operators.features import FEATURE_FAMILIES, FEATURE_NAMES, with_features
@@ -126,6 +127,18 @@ def test_hand_values(spark, url, expected):
     assert {k: row[k] for k in expected} == expected
 
 
+@pytest.mark.parametrize("kinds", [20, measures.WIDEST])
+def test_measures_of_many_kinds_of_characters(spark, kinds):
+    """Characters beyond ASCII are numbered batch by batch, counted in a table or, beyond its width, as pairs."""
+    draw = random.Random(kinds)
+    signs = [chr(0x400 + i) for i in range(kinds - 1)] + ["\U0001f600", "a", "b", "."]
+    urls = ["", "".join(signs)] + ["".join(draw.choices(signs, k=draw.randint(0, 40))) for _ in range(200)]
+    df = spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1)
+    for row in with_features(df, features=MEASURES).collect():
+        want = plain_features(row.url)
+        assert [row[m] for m in MEASURES] == pytest.approx([want[m] for m in MEASURES], abs=1e-5)
+
+
 def test_schema_is_fixed_even_without_rows(spark):
     out = with_features(spark.createDataFrame([], "url string"))
     assert out.columns == ["url", *FEATURE_NAMES]
