@@ -11,11 +11,14 @@ neighbours in that order that share ``LONG`` tokens or more, on ``PAGES`` distin
 are boilerplate. A block that lies mostly in such runs is removed, and the unique runs stay. Pages
 with equal streams count as one, and a page never loses its whole text this way.
 
-A host's pages are dealt by the hash of their id into shards of about ``SHARD`` pages, so no
-host, however large, is one group. What repeats is decided for the whole host all the same: every
-shard of a large host gives its distinct runs of ``LONG`` tokens as hashes, each with the digests of
-up to ``PAGES`` streams it stands in. These are dealt by run into slices, the distinct streams of a
-run are counted there, and each shard gets back those of its runs that are repeated.
+Pages are parsed once, where they are read; what is shuffled is their blocks, ``PIECE`` pages of a
+host compressed together. The pieces of a host are dealt into shards of about ``SHARD`` pages, so no
+host, however large, is one group. What repeats is decided for the whole host all the same, in two
+steps. Every shard of a large host first gives its runs of ``LONG`` tokens as short hashes, sorted
+and packed, about a byte or two each; those that reach ``PAGES`` streams by this count are the only
+ones that can. Of these few each shard then gives the long hashes, each with the digests of up to
+``PAGES`` streams it stands in, and the distinct streams of a run are counted. Both are dealt by run
+into slices, and each shard gets back those of its runs that are repeated.
 
 Null and empty html give the empty text. Unclosed and cut tags end with the page. Pages without a
 host form hosts of their own name ``''``. Repeated rows get the same text each. Columns of the
@@ -26,26 +29,31 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from linksieve.llm.texts import column
 from linksieve.session import checkpointed
 
 #: Tokens and distinct pages from which a repeated substring is boilerplate, the share of a block
-#: that it must cover, pages in a shard, shards to a slice, and the most large hosts that are broadcast.
+#: that it must cover, pages in a piece and in a shard, bytes of html whose runs are one slice, and the
+#: most large hosts that are broadcast.
 LONG = 8
 PAGES = 3
 COVERED = 0.8
+PIECE = 32
 SHARD = 256
-SLICE = 4
+SLICE = 32 << 20
 BROADCAST_HOSTS = 50_000
+LEVEL = 3  # of compression
 
 # Names that markup uses.
 BLOCKS = frozenset(
@@ -167,10 +175,10 @@ def page_blocks(page: str | None) -> list[tuple[str, int]]:
 def repeated_tokens(tokens: np.ndarray, page_of: np.ndarray, pages: int = PAGES) -> np.ndarray:
     """Whether each token lies in a run of ``LONG`` tokens that stands on ``pages`` pages.
 
-    ``tokens`` are the concatenated streams; a run does not cross pages.
+    ``tokens`` are the concatenated streams, as numbers from 0; a run does not cross pages.
     """
     inside = np.zeros(len(tokens), bool)
-    rank, width = np.unique(tokens, return_inverse=True)[1].astype(np.int64), 1
+    rank, width = tokens.astype(np.int64), 1
     while width < LONG:  # ranks of suffixes by their first width tokens, doubled
         if len(rank) <= width:
             return inside
@@ -190,7 +198,13 @@ def repeated_tokens(tokens: np.ndarray, page_of: np.ndarray, pages: int = PAGES)
     return inside
 
 
-def run_hashes(words: list[str], tokens: np.ndarray, page_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_numbers(streams: list[bytes]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """Distinct words of streams, none empty, that are divided by single blanks, and the index of each word."""
+    words = pc.split_pattern(pa.array(streams, pa.large_binary()), b" ").flatten().dictionary_encode()
+    return words.dictionary, words.indices.to_numpy()
+
+
+def run_hashes(words: pa.LargeBinaryArray, tokens: np.ndarray, page_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the runs of ``LONG`` tokens that cross no page, and the hashes of these runs.
 
     ``tokens`` are indices of ``words``.
@@ -198,7 +212,10 @@ def run_hashes(words: list[str], tokens: np.ndarray, page_of: np.ndarray) -> tup
     count = len(tokens) - LONG + 1
     if count < 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashed = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)[tokens]
+    _, ends, values = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1].tolist()
+    values = values.to_pybytes()
+    hashed = np.array([xxhash.xxh3_64_intdigest(values[i:j]) for i, j in zip(ends, ends[1:])], np.uint64)[tokens]
     rolled = hashed[:count].copy()
     for shift in range(1, LONG):
         rolled *= np.uint64(0x9E3779B97F4A7C15)
@@ -221,56 +238,110 @@ def distinct_pairs(runs: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, n
     return runs, streams, np.arange(len(runs)) - np.repeat(firsts, np.diff(np.r_[firsts, len(runs)]))
 
 
-def shard_runs(pages: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct runs of a shard's pages, each with the digests of up to ``PAGES`` streams: by digest."""
-    numbers: dict[str, int] = {}
-    tokens: list[int] = []
-    sizes: dict[int, int] = {}  # digest of a distinct stream -> its tokens
-    for page in pages:
-        blocks = [text for text, _ in page_blocks(page)]
-        digest = xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass"))
-        if digest not in sizes:
-            words = [w for text in blocks for w in text.split()]
-            sizes[digest] = len(words)
-            tokens += [numbers.setdefault(w, len(numbers)) for w in words]
-    stream_of = np.repeat(np.array(list(sizes), np.uint64), list(sizes.values()))
-    starts, runs = run_hashes(list(numbers), np.array(tokens, np.int64), stream_of)
-    runs, streams, place = distinct_pairs(runs, stream_of[starts])
-    runs, streams = runs[place < PAGES], streams[place < PAGES]
-    order = np.argsort(streams, kind="stable")
-    return runs[order], streams[order]
-
-
-def repeated_runs(sharded: DataFrame) -> DataFrame:
+def packed_blocks(pages: list[list[tuple[str, int]]]) -> tuple[int, bytes]:
+    """Bytes of the blocks of pages, and these bytes compressed; no block has white space but blanks."""
+    plain = "\x1d".join("\n".join(f"{kind}{text}" for text, kind in blocks) for blocks in pages)
+    plain = plain.encode()
+    return len(plain), pa.Codec("zstd", compression_level=LEVEL).compress(plain, asbytes=True)
+
+
+def unpacked_blocks(pieces: pa.Table) -> list[list[tuple[str, int]]]:
+    """The blocks of the pages of ``pieces``, from its columns ``size`` and ``blocks``."""
+    pages = []
+    for size, packed in zip(pieces.column("size").to_pylist(), pieces.column("blocks").to_pylist()):
+        plain = pa.decompress(packed, size, "zstd", asbytes=True).decode()
+        for page in plain.split("\x1d"):
+            pages.append([(block[1:], int(block[0])) for block in page.split("\n")] if page else [])
+    return pages
+
+
+def packed_values(values: np.ndarray) -> bytes:
+    """Sorted 32-bit values as differences, byte by byte, compressed."""
+    steps = np.diff(values.astype("<u4"), prepend=np.uint32(0)).astype("<u4")
+    planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.Codec("zstd", compression_level=LEVEL).compress(planes, asbytes=True)
+
+
+def unpacked_values(packed: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * count, "zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def run_slices(runs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each run of a host with ``size`` bytes of html: its slice, and its short hash there.
+
+    There are as many short hashes as bytes or more, several to a token.
+    """
+    slices = max(1, -(-size // SLICE))
+    space = 1 << min(32, (size // slices).bit_length())
+    return runs % np.uint64(slices), (runs // np.uint64(slices) % np.uint64(space)).astype(np.uint32)
+
+
+def shard_runs(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of a shard's distinct streams, as often as they stand there, each with the stream's digest."""
+    streams: dict[int, bytes] = {}  # by digest
+    for blocks in pages:
+        whole = "\n".join([text for text, _ in blocks]).encode()
+        if whole:
+            streams.setdefault(xxhash.xxh3_64_intdigest(whole), whole.replace(b"\n", b" "))
+    words, tokens = word_numbers(list(streams.values()))
+    sizes = [stream.count(b" ") + 1 for stream in streams.values()]
+    stream_of = np.repeat(np.array(list(streams), np.uint64), np.array(sizes, np.int64))
+    starts, runs = run_hashes(words, tokens, stream_of)
+    return runs, stream_of[starts]
+
+
+def repeated_runs(pieces: DataFrame) -> DataFrame:
     """``host, shard, runs``: the runs of each shard that stand in ``PAGES`` streams of its host or more.
 
-    ``sharded`` has the html, host, shard and number of shards as its columns from the third on; a
-    host in one shard, whose number is null, is left out.
+    ``pieces`` have ``host``, ``shard``, ``bytes``, ``size`` and ``blocks``; a host in one shard,
+    whose ``bytes`` are null, is left out.
     """
 
-    def give(table: pa.Table) -> pa.Table:
-        host, shard, shards = (table.column(i)[0].as_py() for i in (3, 4, 5))
+    def rows(table: pa.Table, made: list[tuple], **columns: pa.DataType) -> pa.Table:
+        host, shard = table.column("host")[0], table.column("shard")[0]
+        values = list(zip(*made)) if made else [()] * len(columns)
+        named = {"host": pa.array([host.as_py()] * len(made), pa.string())}
+        named["shard"] = pa.array([shard.as_py()] * len(made), pa.int64())
+        return pa.table(named | {n: pa.array(v, t) for (n, t), v in zip(columns.items(), values)})
+
+    def give_short(table: pa.Table) -> pa.Table:
         made = []
-        if shards is not None:
-            runs, streams = shard_runs(table.column(2).to_pylist())
-            slices = -(-shards // SLICE)
-            slice_of = runs % np.uint64(slices)
-            for number in range(slices):
-                own = slice_of == number
-                if own.any():
-                    digests, counts = np.unique(streams[own], return_counts=True)  # streams are in this order
-                    made.append((number, digests.tobytes(), counts.astype("<u4").tobytes(), runs[own].tobytes()))
-        numbers, digests, counts, runs = zip(*made) if made else [()] * 4
-        return pa.table(
-            {
-                "host": pa.array([host] * len(made), pa.string()),
-                "shard": pa.array([shard] * len(made), pa.int64()),
-                "slice": pa.array(numbers, pa.int64()),
-                "digests": pa.array(digests, pa.binary()),
-                "counts": pa.array(counts, pa.binary()),
-                "runs": pa.array(runs, pa.binary()),
-            }
-        )
+        size = table.column("bytes")[0].as_py()
+        if size is not None:
+            runs, _, place = distinct_pairs(*shard_runs(unpacked_blocks(table)))
+            slice_of, short = run_slices(runs[place < PAGES], size)
+            for number in np.unique(slice_of):
+                own = np.sort(short[slice_of == number])
+                made.append((int(number), len(own), packed_values(own)))
+        return rows(table, made, slice=pa.int64(), n=pa.int64(), short=pa.binary())
+
+    def count_short(table: pa.Table) -> pa.Table:
+        given = zip(table.column("short").to_pylist(), table.column("n").to_pylist())
+        given = [unpacked_values(*g) for g in given]
+        every = np.sort(np.concatenate(given))
+        last = PAGES - 1
+        often = np.unique(every[last:][every[last:] == every[: len(every) - last]])  # equal ones stand together
+        found = [f[np.isin(f, often)] for f in map(np.unique, given)]
+        named = {"n": pa.array([len(f) for f in found], pa.int64())}
+        named["short"] = pa.array([packed_values(f) for f in found], pa.binary())
+        kept = pa.table({c: table.column(c) for c in ("host", "shard", "slice")} | named)
+        return kept.filter(pa.array([len(f) > 0 for f in found], pa.bool_()))
+
+    def give(table: pa.Table, often: pa.Table) -> pa.Table:
+        made = []
+        if often.num_rows:
+            runs, streams = shard_runs(unpacked_blocks(table))
+            slice_of, short = run_slices(runs, table.column("bytes")[0].as_py())
+            for number, *packed in zip(*(often.column(c).to_pylist() for c in ("slice", "short", "n"))):
+                own = np.flatnonzero(slice_of == number)
+                own = own[np.isin(short[own], unpacked_values(*packed))]
+                own_runs, own_streams, place = distinct_pairs(runs[own], streams[own])
+                own_runs, own_streams = own_runs[place < PAGES], own_streams[place < PAGES]
+                own_runs = own_runs[np.argsort(own_streams, kind="stable")]
+                digests, counts = np.unique(own_streams, return_counts=True)
+                made.append((number, digests.tobytes(), counts.astype("<u4").tobytes(), own_runs.tobytes()))
+        return rows(table, made, slice=pa.int64(), digests=pa.binary(), counts=pa.binary(), runs=pa.binary())
 
     def count(table: pa.Table) -> pa.Table:
         runs_of = [np.frombuffer(r, np.uint64) for r in table.column("runs").to_pylist()]
@@ -285,35 +356,41 @@ def repeated_runs(sharded: DataFrame) -> DataFrame:
         values = pa.array([f.tobytes() for f in found], pa.binary())
         return table.select(["host", "shard"]).append_column("runs", values).filter(some)
 
-    given = sharded.groupBy("\x00host", "\x00shard").applyInArrow(
+    shards = pieces.groupBy("host", "shard")
+    short = "host string, shard long, slice long, n long, short binary"
+    often = shards.applyInArrow(give_short, short).groupBy("host", "slice").applyInArrow(count_short, short)
+    given = shards.cogroup(often.groupBy("host", "shard")).applyInArrow(
         give, "host string, shard long, slice long, digests binary, counts binary, runs binary"
     )
     return given.groupBy("host", "slice").applyInArrow(count, "host string, shard long, runs binary")
 
 
 def host_texts(pages: list[str | None], known: np.ndarray | None = None) -> tuple[list[str], list[int]]:
-    """Main texts of pages of one host, and how many tokens of each lie in repeated runs.
+    """Main texts of pages of one host, and how many tokens of each lie in repeated runs."""
+    return block_texts([page_blocks(p) for p in pages], known)
+
+
+def block_texts(
+    parsed: list[list[tuple[str, int]]], known: np.ndarray | None = None
+) -> tuple[list[str], list[int]]:
+    """``host_texts`` of pages whose blocks are given.
 
     ``known`` has hashes of further runs that are repeated, on pages of the host that are not here.
     """
-    parsed = [page_blocks(p) for p in pages]
-    numbers: dict[str, int] = {}
     streams: dict[tuple, int] = {}  # distinct stream -> its page
-    tokens: list[int] = []
-    sizes, ends = {}, {}  # of the blocks of such a page: token counts, and where they end
+    sizes, ends, total = {}, {}, 0  # of the blocks of such a page: token counts, and where they end
     same = []
     for i, blocks in enumerate(parsed):
-        same.append(streams.setdefault(tuple(text for text, _ in blocks), i))
+        same.append(streams.setdefault(tuple([text for text, _ in blocks]), i))
         if same[-1] == i:
-            words = [text.split() for text, _ in blocks]
-            sizes[i] = np.array([len(w) for w in words], np.int64)
-            ends[i] = len(tokens) + np.cumsum(sizes[i])
-            for block in words:
-                tokens += [numbers.setdefault(w, len(numbers)) for w in block]
+            sizes[i] = np.array([text.count(" ") + 1 for text, _ in blocks], np.int64)
+            ends[i] = total + np.cumsum(sizes[i])
+            total += int(sizes[i].sum())
+    words, tokens = word_numbers([" ".join(texts).encode() for texts in streams if texts])
     page_of = np.repeat(list(sizes), [n.sum() for n in sizes.values()]).astype(np.int64)
-    lies_in = repeated_tokens(np.array(tokens, np.int64), page_of)
+    lies_in = repeated_tokens(tokens, page_of)
     if known is not None and len(known):
-        starts, runs = run_hashes(list(numbers), np.array(tokens, np.int64), page_of)
+        starts, runs = run_hashes(words, tokens, page_of)
         starts = starts[np.isin(runs, known)]
         for shift in range(LONG):
             lies_in[starts + shift] = True
@@ -336,11 +413,11 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
     host = F.coalesce(F.regexp_extract(F.lower(column(url)), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
     source = df.select(column(key), column(url), column(page).alias("\x00html"), host.alias("\x00host"))
     dealt = F.xxhash64(column(key), column(url))
+    size = F.sum(F.coalesce(F.octet_length("\x00html"), F.lit(0))).alias("\x00bytes")
+    hosts = source.groupBy(column("\x00host").alias("\x00large")).agg(F.count(F.lit(1)).alias("\x00n"), size)
     large = checkpointed(
-        source.groupBy(column("\x00host").alias("\x00large")).count().filter(F.col("count") > SHARD).withColumn(
-            "\x00shards", F.ceil(F.col("count") / SHARD)
-        )
-    ).drop("count")
+        hosts.filter(column("\x00n") > SHARD).withColumn("\x00shards", F.ceil(column("\x00n") / SHARD)).drop("\x00n")
+    )
     n_large = large.count()
     if n_large <= BROADCAST_HOSTS:
         dealt_pages = source.join(F.broadcast(large), column("\x00host") == column("\x00large"), "left")
@@ -353,23 +430,48 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
             (column("\x00host") == column("\x00large")) & (column("\x00salt") == column("\x00part")),
             "left",
         )
-    shard = F.pmod(dealt, F.coalesce(column("\x00shards"), F.lit(1)))
-    sharded = dealt_pages.select(
-        column(key), column(url), "\x00html", "\x00host", shard.alias("\x00shard"), "\x00shards"
+    dealt_pages = dealt_pages.select(
+        column(key), column(url), "\x00html", "\x00host", dealt.alias("\x00dealt"), "\x00shards", "\x00bytes"
     )
+    rows = dealt_pages.schema.fields[:2]
+    held = [StructField("host", StringType()), StructField("shard", LongType()), StructField("bytes", LongType())]
+    held += [StructField("size", LongType()), StructField("blocks", BinaryType())]
+    held += [StructField(f"column{i}", ArrayType(f.dataType)) for i, f in enumerate(rows)]
+    held_arrow = to_arrow_schema(StructType(held))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows_of: dict[str, list[int]] = {}
+            for row, name in enumerate(batch.column(3).to_pylist()):
+                rows_of.setdefault(name, []).append(row)
+            found = [own[i : i + PIECE] for own in rows_of.values() for i in range(0, len(own), PIECE)]
+            firsts = pa.array([own[0] for own in found], pa.int64())
+            hosts, numbers, shards, sizes = (batch.column(i).take(firsts) for i in range(3, 7))
+            shard = [d % (n or 1) for d, n in zip(numbers.to_pylist(), shards.to_pylist())]
+            made = [packed_blocks([page_blocks(batch.column(2)[r].as_py()) for r in own]) for own in found]
+            columns = [hosts.cast(pa.string()), pa.array(shard, pa.int64()), sizes]
+            columns += [pa.array([n for n, _ in made], pa.int64()), pa.array([z for _, z in made], pa.binary())]
+            order = pa.array([r for own in found for r in own], pa.int64())
+            ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            for i, kind in enumerate(held_arrow.types[5:]):
+                values = batch.column(i).take(order).cast(kind.value_type)
+                columns.append(pa.ListArray.from_arrays(ends, values, type=kind))
+            yield pa.RecordBatch.from_arrays(columns, schema=held_arrow)
+
     longs = [StructField("n_chars", LongType()), StructField("n_repeated", LongType())]
-    schema = StructType([*sharded.schema.fields[:2], StructField("text", StringType()), *longs])
+    schema = StructType([*rows, StructField("text", StringType()), *longs])
     arrow = to_arrow_schema(schema)
 
     def texts(table: pa.Table, runs: pa.Table | None = None) -> pa.Table:
         packed = runs.column("runs").to_pylist() if runs is not None else []
-        made, repeated = host_texts(table.column(2).to_pylist(), np.frombuffer(b"".join(packed), np.uint64))
+        made, repeated = block_texts(unpacked_blocks(table), np.frombuffer(b"".join(packed), np.uint64))
         values = made, [len(t) for t in made], repeated
-        columns = [table.column(i).cast(arrow.field(i).type) for i in range(2)]
+        columns = [table.column(f"column{i}").combine_chunks().flatten().cast(arrow.field(i).type) for i in range(2)]
         return pa.Table.from_arrays([*columns, *map(pa.array, values, arrow.types[2:])], schema=arrow)
 
-    pages = sharded.groupBy("\x00host", "\x00shard")
+    held_pages = dealt_pages.mapInArrow(pieces, StructType(held))
+    pages = held_pages.groupBy("host", "shard")
     if not n_large:
         return pages.applyInArrow(lambda table: texts(table), schema)
-    runs = repeated_runs(sharded).groupBy("host", "shard")
+    runs = repeated_runs(held_pages).groupBy("host", "shard")
     return pages.cogroup(runs).applyInArrow(lambda table, runs: texts(table, runs), schema)

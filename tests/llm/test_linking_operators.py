@@ -340,6 +340,67 @@ def test_a_large_host_repeats_what_it_would_as_a_small_one(spark, monkeypatch, b
     assert all(r.n_repeated == 0 for r in got if r.page_id >= 1000) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_short_hashes_only_choose_what_is_counted(spark, monkeypatch, crowded):
+    def crowded_slices(runs, size):  # three slices of four short hashes, which all runs share
+        return runs % np.uint64(3), (runs // np.uint64(3) % np.uint64(4)).astype(np.uint32)
+
+    draw = np.random.default_rng(4)
+    shared = [" ".join(f"s{i}w{k}" for k in range(10)) for i in range(80)]
+    pages = []
+    for i in range(120):  # passages on one to a dozen pages, some of them in equal streams only
+        own = " ".join(f"p{i}w{k}" for k in range(12))
+        pages.append(f"<p>{shared[int(draw.exponential(15)) % 80]}</p><p>{own}</p>\x1d<p>{shared[i % 80]}</p>")
+    pages += [pages[7]] * 9 + [None, "", "<p>a b</p>", "<article>x\x1dy &lt; z</article>"]
+    want = dict(enumerate(zip(*html_extraction.host_texts(pages))))
+    monkeypatch.setattr(html_extraction, "SHARD", 10)
+    monkeypatch.setattr(html_extraction, "PIECE", 3)
+    monkeypatch.setattr(html_extraction, "SLICE", 2_000)
+    if crowded:
+        monkeypatch.setattr(html_extraction, "run_slices", crowded_slices)
+    rows = [(str(i), f"http://one.org/{i}", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "host string, shard string, html string")
+    got = html_extraction.extract(df, url="shard", key="host").collect()
+    assert len(got) == len(rows) and len({n for _, n in want.values()}) > 2
+    assert {int(r.host): (r.text, r.n_repeated) for r in got} == want
+
+
+def test_packed_values():
+    for values in ([], [0], [0, 0, 0, 5, 2**32 - 1, 2**32 - 1], range(0, 90_000, 7)):
+        values = np.array(values, np.uint32)
+        assert (html_extraction.unpacked_values(html_extraction.packed_values(values), len(values)) == values).all()
+
+
+def shuffled_bytes(df):
+    """What the shuffles of a collected frame wrote, each counted once."""
+    found, seen = {}, [df._jdf.queryExecution().executedPlan()]
+    while seen:
+        node = seen.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            found[node.id()] = node.metrics().apply("shuffleBytesWritten").value()
+        if kind == "AdaptiveSparkPlanExec":
+            seen.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            seen.append(node.plan())
+        elif kind == "ReusedExchangeExec":
+            seen.append(node.child())
+        else:
+            seen += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(found.values())
+
+
+def test_pages_of_a_large_host_travel_once_and_packed(spark, tmp_path):
+    draw = np.random.default_rng(5)
+    pages = [" ".join("".join(map(chr, draw.integers(97, 105, 5))) for _ in range(300)) for _ in range(2000)]
+    rows = [(i, f"http://one.org/{i}", f"<p>{p}</p>") for i, p in enumerate(pages)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    size = sum(p.stat().st_size for p in (tmp_path / "pages").glob("*.parquet"))
+    df = html_extraction.extract(spark.read.parquet(f"{tmp_path}/pages"))
+    assert {r.page_id: r.text for r in df.collect()} == dict(enumerate(pages))
+    assert 0.2 * size < shuffled_bytes(df) < 1.5 * size
+
+
 def test_pages_of_the_table(spark, sf_dir):
     rows = html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
