@@ -13,12 +13,13 @@ with equal streams count as one, and a page never loses its whole text this way.
 
 Pages are parsed once, where they are read; what is shuffled is their blocks, ``PIECE`` pages of a
 host compressed together. The pieces of a host are dealt into shards of about ``SHARD`` pages, so no
-host, however large, is one group. What repeats is decided for the whole host all the same, in two
-steps. Every shard of a large host first gives its runs of ``LONG`` tokens as short hashes, sorted
-and packed, about a byte or two each; those that reach ``PAGES`` streams by this count are the only
-ones that can. Of these few each shard then gives the long hashes, each with the digests of up to
-``PAGES`` streams it stands in, and the distinct streams of a run are counted. Both are dealt by run
-into slices, and each shard gets back those of its runs that are repeated.
+host, however large, is one group. What repeats is decided for the whole host all the same. Every
+shard of a large host first gives its runs of ``LONG`` tokens as short hashes, sorted and packed,
+about a byte or two each; a stream that several shards hold is counted in one of them. Runs that
+reach ``PAGES`` streams by this count are the only ones that can. Of these few each shard then gives
+the long hashes, each with the digests of up to ``PAGES`` streams it stands in, and the distinct
+streams of a run are counted. All this is dealt by run or by stream into slices, and each shard gets
+back those of its runs that are repeated.
 
 Null and empty html give the empty text. Unclosed and cut tags end with the page. Pages without a
 host form hosts of their own name ``''``. Repeated rows get the same text each. Columns of the
@@ -44,14 +45,15 @@ from linksieve.llm.texts import column
 from linksieve.session import checkpointed
 
 #: Tokens and distinct pages from which a repeated substring is boilerplate, the share of a block
-#: that it must cover, pages in a piece and in a shard, bytes of html whose runs are one slice, and the
-#: most large hosts that are broadcast.
+#: that it must cover, pages in a piece and in a shard, bytes of html whose runs and whose streams are
+#: one slice, and the most large hosts that are broadcast.
 LONG = 8
 PAGES = 3
 COVERED = 0.8
 PIECE = 32
 SHARD = 256
 SLICE = 32 << 20
+STREAM_SLICE = 2 << 30
 BROADCAST_HOSTS = 50_000
 LEVEL = 3  # of compression
 
@@ -277,13 +279,19 @@ def run_slices(runs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return runs % np.uint64(slices), (runs // np.uint64(slices) % np.uint64(space)).astype(np.uint32)
 
 
-def shard_runs(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of a shard's distinct streams, as often as they stand there, each with the stream's digest."""
-    streams: dict[int, bytes] = {}  # by digest
+def distinct_streams(pages: list[list[tuple[str, int]]]) -> dict[int, bytes]:
+    """Streams of pages that have words, by their digest."""
+    streams: dict[int, bytes] = {}
     for blocks in pages:
         whole = "\n".join([text for text, _ in blocks]).encode()
         if whole:
             streams.setdefault(xxhash.xxh3_64_intdigest(whole), whole.replace(b"\n", b" "))
+    return streams
+
+
+def shard_runs(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of a shard's distinct streams, as often as they stand there, each with the stream's digest."""
+    streams = distinct_streams(pages)
     words, tokens = word_numbers(list(streams.values()))
     sizes = [stream.count(b" ") + 1 for stream in streams.values()]
     stream_of = np.repeat(np.array(list(streams), np.uint64), np.array(sizes, np.int64))
@@ -305,24 +313,54 @@ def repeated_runs(pieces: DataFrame) -> DataFrame:
         named["shard"] = pa.array([shard.as_py()] * len(made), pa.int64())
         return pa.table(named | {n: pa.array(v, t) for (n, t), v in zip(columns.items(), values)})
 
-    def give_short(table: pa.Table) -> pa.Table:
+    def give_streams(table: pa.Table) -> pa.Table:
         made = []
         size = table.column("bytes")[0].as_py()
         if size is not None:
-            runs, _, place = distinct_pairs(*shard_runs(unpacked_blocks(table)))
-            slice_of, short = run_slices(runs[place < PAGES], size)
-            for number in np.unique(slice_of):
-                own = np.sort(short[slice_of == number])
-                made.append((int(number), len(own), packed_values(own)))
-        return rows(table, made, slice=pa.int64(), n=pa.int64(), short=pa.binary())
+            digests = np.array(list(distinct_streams(unpacked_blocks(table))), np.uint64)
+            slice_of = digests % np.uint64(max(1, -(-size // STREAM_SLICE)))
+            made = [(int(number), digests[slice_of == number].tobytes()) for number in np.unique(slice_of)]
+        return rows(table, made, slice=pa.int64(), digests=pa.binary())
+
+    def find_copies(table: pa.Table) -> pa.Table:
+        """Of each shard the streams that another one counts."""
+        given = [np.frombuffer(d, np.uint64) for d in table.column("digests").to_pylist()]
+        digests = np.concatenate(given)
+        shards = np.repeat(table.column("shard").to_numpy(), [len(d) for d in given])
+        order = np.lexsort((shards, digests))
+        copied = np.zeros(len(digests), bool)
+        copied[order[1:]] = digests[order[1:]] == digests[order[:-1]]
+        ends = np.cumsum([len(d) for d in given])
+        found = [d[copied[end - len(d) : end]] for d, end in zip(given, ends)]
+        values = pa.array([f.tobytes() for f in found], pa.binary())
+        some = pa.array([len(f) > 0 for f in found], pa.bool_())
+        return table.select(["host", "shard", "slice"]).append_column("digests", values).filter(some)
+
+    def give_short(table: pa.Table, copies: pa.Table) -> pa.Table:
+        made = []
+        size = table.column("bytes")[0].as_py() if table.num_rows else None
+        if size is not None:
+            runs, streams = shard_runs(unpacked_blocks(table))
+            copied = np.isin(streams, np.frombuffer(b"".join(copies.column("digests").to_pylist()), np.uint64))
+            asked = runs[copied]
+            runs, _, place = distinct_pairs(runs[~copied], streams[~copied])
+            runs, asked = runs[place < PAGES], np.setdiff1d(asked, runs)
+            (slice_of, short), (asked_slice, asked) = run_slices(runs, size), run_slices(asked, size)
+            for number in np.union1d(slice_of, asked_slice):
+                own, other = np.sort(short[slice_of == number]), np.unique(asked[asked_slice == number])
+                made.append((int(number), len(own), packed_values(own), len(other), packed_values(other)))
+        values = {"n": pa.int64(), "short": pa.binary(), "n_asked": pa.int64(), "asked": pa.binary()}
+        return rows(table, made, slice=pa.int64(), **values)
 
     def count_short(table: pa.Table) -> pa.Table:
-        given = zip(table.column("short").to_pylist(), table.column("n").to_pylist())
-        given = [unpacked_values(*g) for g in given]
+        given, asked = (
+            [unpacked_values(*g) for g in zip(table.column(values).to_pylist(), table.column(n).to_pylist())]
+            for values, n in (("short", "n"), ("asked", "n_asked"))
+        )
         every = np.sort(np.concatenate(given))
         last = PAGES - 1
-        often = np.unique(every[last:][every[last:] == every[: len(every) - last]])  # equal ones stand together
-        found = [f[np.isin(f, often)] for f in map(np.unique, given)]
+        often = np.unique(every[last:][every[last:] == every[: max(0, len(every) - last)]])  # equal ones stand together
+        found = [f[np.isin(f, often)] for f in map(np.union1d, given, asked)]
         named = {"n": pa.array([len(f) for f in found], pa.int64())}
         named["short"] = pa.array([packed_values(f) for f in found], pa.binary())
         kept = pa.table({c: table.column(c) for c in ("host", "shard", "slice")} | named)
@@ -357,8 +395,13 @@ def repeated_runs(pieces: DataFrame) -> DataFrame:
         return table.select(["host", "shard"]).append_column("runs", values).filter(some)
 
     shards = pieces.groupBy("host", "shard")
+    streams = "host string, shard long, slice long, digests binary"
+    copies = shards.applyInArrow(give_streams, streams).groupBy("host", "slice").applyInArrow(find_copies, streams)
     short = "host string, shard long, slice long, n long, short binary"
-    often = shards.applyInArrow(give_short, short).groupBy("host", "slice").applyInArrow(count_short, short)
+    given = shards.cogroup(copies.groupBy("host", "shard")).applyInArrow(
+        give_short, f"{short}, n_asked long, asked binary"
+    )
+    often = given.groupBy("host", "slice").applyInArrow(count_short, short)
     given = shards.cogroup(often.groupBy("host", "shard")).applyInArrow(
         give, "host string, shard long, slice long, digests binary, counts binary, runs binary"
     )
@@ -411,30 +454,11 @@ def block_texts(
 def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
     """``key``, ``url``, ``text``, ``n_chars`` (code points) and ``n_repeated`` (tokens) of every row."""
     host = F.coalesce(F.regexp_extract(F.lower(column(url)), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
-    source = df.select(column(key), column(url), column(page).alias("\x00html"), host.alias("\x00host"))
     dealt = F.xxhash64(column(key), column(url))
-    size = F.sum(F.coalesce(F.octet_length("\x00html"), F.lit(0))).alias("\x00bytes")
-    hosts = source.groupBy(column("\x00host").alias("\x00large")).agg(F.count(F.lit(1)).alias("\x00n"), size)
-    large = checkpointed(
-        hosts.filter(column("\x00n") > SHARD).withColumn("\x00shards", F.ceil(column("\x00n") / SHARD)).drop("\x00n")
-    )
-    n_large = large.count()
-    if n_large <= BROADCAST_HOSTS:
-        dealt_pages = source.join(F.broadcast(large), column("\x00host") == column("\x00large"), "left")
-    else:  # a large host's row is repeated, so that its pages meet it in many places
-        salts = 64
-        salted = source.withColumn("\x00salt", F.pmod(dealt, F.lit(salts)).cast("int"))
-        repeated = large.withColumn("\x00part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        dealt_pages = salted.join(
-            repeated,
-            (column("\x00host") == column("\x00large")) & (column("\x00salt") == column("\x00part")),
-            "left",
-        )
-    dealt_pages = dealt_pages.select(
-        column(key), column(url), "\x00html", "\x00host", dealt.alias("\x00dealt"), "\x00shards", "\x00bytes"
-    )
-    rows = dealt_pages.schema.fields[:2]
-    held = [StructField("host", StringType()), StructField("shard", LongType()), StructField("bytes", LongType())]
+    source = df.select(column(key), column(url), column(page).alias("html"), host.alias("host"), dealt.alias("dealt"))
+    rows = source.schema.fields[:2]
+    source = source.toDF("column0", "column1", *source.columns[2:])
+    held = [StructField("host", StringType()), StructField("dealt", LongType())]
     held += [StructField("size", LongType()), StructField("blocks", BinaryType())]
     held += [StructField(f"column{i}", ArrayType(f.dataType)) for i, f in enumerate(rows)]
     held_arrow = to_arrow_schema(StructType(held))
@@ -446,18 +470,33 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
                 rows_of.setdefault(name, []).append(row)
             found = [own[i : i + PIECE] for own in rows_of.values() for i in range(0, len(own), PIECE)]
             firsts = pa.array([own[0] for own in found], pa.int64())
-            hosts, numbers, shards, sizes = (batch.column(i).take(firsts) for i in range(3, 7))
-            shard = [d % (n or 1) for d, n in zip(numbers.to_pylist(), shards.to_pylist())]
             made = [packed_blocks([page_blocks(batch.column(2)[r].as_py()) for r in own]) for own in found]
-            columns = [hosts.cast(pa.string()), pa.array(shard, pa.int64()), sizes]
+            columns = [batch.column(3).take(firsts).cast(pa.string()), batch.column(4).take(firsts)]
             columns += [pa.array([n for n, _ in made], pa.int64()), pa.array([z for _, z in made], pa.binary())]
             order = pa.array([r for own in found for r in own], pa.int64())
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-            for i, kind in enumerate(held_arrow.types[5:]):
+            for i, kind in enumerate(held_arrow.types[4:]):
                 values = batch.column(i).take(order).cast(kind.value_type)
                 columns.append(pa.ListArray.from_arrays(ends, values, type=kind))
             yield pa.RecordBatch.from_arrays(columns, schema=held_arrow)
 
+    size = F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes")
+    hosts = source.groupBy(F.col("host").alias("large")).agg(F.count(F.lit(1)).alias("n"), size)
+    shards = F.ceil(F.col("n") / SHARD).alias("shards")
+    large = checkpointed(hosts.filter(F.col("n") > SHARD).select("large", "bytes", shards))
+    n_large = large.count()
+    packed = source.mapInArrow(pieces, StructType(held))
+    if n_large <= BROADCAST_HOSTS:
+        dealt_pieces = packed.join(F.broadcast(large), F.col("host") == F.col("large"), "left")
+    else:  # a large host's row is repeated, so that its pieces meet it in many places
+        salts = 64
+        salted = packed.withColumn("salt", F.pmod("dealt", F.lit(salts)).cast("int"))
+        repeated = large.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = (F.col("host") == F.col("large")) & (F.col("salt") == F.col("part"))
+        dealt_pieces = salted.join(repeated, met, "left")
+    shard = F.pmod("dealt", F.coalesce("shards", F.lit(1))).alias("shard")
+    held_pages = dealt_pieces.select("host", shard, "bytes", "size", "blocks", "column0", "column1")
+
     longs = [StructField("n_chars", LongType()), StructField("n_repeated", LongType())]
     schema = StructType([*rows, StructField("text", StringType()), *longs])
     arrow = to_arrow_schema(schema)
@@ -469,7 +508,6 @@ def extract(df: DataFrame, page: str = "html", url: str = "url", key: str = "pag
         columns = [table.column(f"column{i}").combine_chunks().flatten().cast(arrow.field(i).type) for i in range(2)]
         return pa.Table.from_arrays([*columns, *map(pa.array, values, arrow.types[2:])], schema=arrow)
 
-    held_pages = dealt_pages.mapInArrow(pieces, StructType(held))
     pages = held_pages.groupBy("host", "shard")
     if not n_large:
         return pages.applyInArrow(lambda table: texts(table), schema)

@@ -356,6 +356,7 @@ def test_short_hashes_only_choose_what_is_counted(spark, monkeypatch, crowded):
     monkeypatch.setattr(html_extraction, "SHARD", 10)
     monkeypatch.setattr(html_extraction, "PIECE", 3)
     monkeypatch.setattr(html_extraction, "SLICE", 2_000)
+    monkeypatch.setattr(html_extraction, "STREAM_SLICE", 4_000)
     if crowded:
         monkeypatch.setattr(html_extraction, "run_slices", crowded_slices)
     rows = [(str(i), f"http://one.org/{i}", p) for i, p in enumerate(pages)]
@@ -390,9 +391,11 @@ def shuffled_bytes(df):
     return sum(found.values())
 
 
-def test_pages_of_a_large_host_travel_once_and_packed(spark, tmp_path):
+@pytest.mark.parametrize("copies", [1, 4])
+def test_pages_of_a_large_host_travel_once_and_packed(spark, tmp_path, copies):
     draw = np.random.default_rng(5)
-    pages = [" ".join("".join(map(chr, draw.integers(97, 105, 5))) for _ in range(300)) for _ in range(2000)]
+    pages = [" ".join("".join(map(chr, draw.integers(97, 105, 5))) for _ in range(300)) for _ in range(2000 // copies)]
+    pages *= copies
     rows = [(i, f"http://one.org/{i}", f"<p>{p}</p>") for i, p in enumerate(pages)]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
     size = sum(p.stat().st_size for p in (tmp_path / "pages").glob("*.parquet"))
